@@ -211,7 +211,7 @@ _BODIES = {
                cast(sum(owed) AS DOUBLE) AS amount_past_due, (SELECT count(*) FROM flagged) AS members_flagged
         FROM marked""",
     "member_detail_high_risk": "SELECT * FROM scored WHERE risk_tier = 'High Risk'",
-    "member_detail_city": "SELECT * FROM scored WHERE city = 'FRANCE' AND risk_score >= 20",
+    "member_detail_city": "SELECT * FROM scored WHERE city = 'NATION_7' AND risk_score >= 20",
     "member_drill_loans": "SELECT * FROM summary WHERE member_id = (SELECT member_id FROM worst)",
     "member_drill_payments": "SELECT * FROM detail WHERE member_id = (SELECT member_id FROM worst)",
     "member_monthly_status": """

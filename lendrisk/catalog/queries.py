@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendrisk import fixed_values as V
-from lendrisk.functions.measures import credit_band
+from lendrisk.functions.measures import credit_band, dollars
 from lendrisk.functions.text import capitalize_first, null_if_in
 from lendrisk.operators.cleaning import clean_loan_type, dedup_keep_first, missing_flag
 from lendrisk.plans import drill, marts, quality, scoring
@@ -185,7 +185,9 @@ QUERIES: dict[str, Query] = {
     "payments_clean": _clean_query(lambda book: book.payments),
     "member_credit_bands": _clean_query(member_credit_bands),
     "loan_payment_stats": _clean_query(
-        lambda book: book.payment_stats().withColumn("past_due", c("past_due").cast("double"))
+        lambda book: book.payment_stats().select(
+            "loan_id", "total_payments", "late_payments", "missed_payments", dollars(c("past_due_cents")).alias("past_due")
+        )
     ),
     "member_delinquency": _book_query(marts.member_delinquency),
     "member_delinquency_min12": _book_query(lambda book: marts.member_delinquency(book, min_late=12)),
@@ -210,7 +212,7 @@ QUERIES: dict[str, Query] = {
     "highest_delinquency": _book_query(lambda book: quality.highest_delinquency(marts.member_delinquency(book))),
     "kpi_overview": _book_query(lambda book: drill.kpi_overview(book, marts.member_delinquency(book))),
     "member_detail_high_risk": _book_query(lambda book: drill.member_detail(_scored(book), tier="High Risk")),
-    "member_detail_city": _book_query(lambda book: drill.member_detail(_scored(book), city="FRANCE", min_score=20.0)),
+    "member_detail_city": _book_query(lambda book: drill.member_detail(_scored(book), city="NATION_7", min_score=20.0)),
     "member_drill_loans": _book_query(lambda book: drill.member_drill_loans(book, _worst_member(book))),
     "member_drill_payments": _book_query(lambda book: drill.member_drill_payments(book, _worst_member(book))),
     "member_monthly_status": _book_query(marts.member_monthly_status),

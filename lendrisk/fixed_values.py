@@ -98,6 +98,3 @@ RAW_PAYMENTS = T.StructType([
     T.StructField("actual_amount", T.DoubleType()),
     T.StructField("payment_status", T.StringType()),
 ])
-
-# Sums of money are exact decimals; they leave the library as doubles.
-MONEY = T.DecimalType(18, 2)

@@ -20,12 +20,18 @@ def shortfall(expected: str = "expected_amount", actual: str = "actual_amount")
     return F.col(expected) - F.col(actual)
 
 
-def past_due(status: str = "payment_status") -> Column:
-    """Shortfall of a delinquent payment, 0 otherwise, as exact money (A3).
+def past_due_cents(status: str = "payment_status") -> Column:
+    """Shortfall of a delinquent payment in whole cents, 0 otherwise (A3).
 
-    Only late and missed payments count: a late payment made in full adds 0, a partial payment adds nothing.
+    Only late and missed payments count: a late payment made in full adds 0, a partial payment adds nothing. Whole cents
+    make sums exact, free of row order and eight bytes wide; they hold amounts up to 9.2e16.
     """
-    return F.when(is_delinquent(status), shortfall()).otherwise(F.lit(0.0)).cast(V.MONEY)
+    return F.when(is_delinquent(status), F.rint(shortfall() * F.lit(100.0)).cast("bigint")).otherwise(F.lit(0))
+
+
+def dollars(cents: Column) -> Column:
+    """Cents as the nearest double."""
+    return cents / F.lit(100.0)
 
 
 def rate_pct(part: Column, whole: Column) -> Column:

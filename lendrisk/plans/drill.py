@@ -2,33 +2,35 @@
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lendrisk.functions.measures import past_due, rate_pct
-from lendrisk.operators.rollups import payment_counts
+from lendrisk.functions.measures import dollars, past_due_cents, rate_pct
+from lendrisk.operators.rollups import payment_counts, sum_measures
 from lendrisk.operators.skew import broadcast_if_small
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.marts import member_loan_summary, payment_detail
 
 
 def kpi_overview(book: LoanBook, delinquency: DataFrame) -> DataFrame:
-    """One row of headline numbers over the cleaned tables, with the flagged members."""
+    """One row of headline numbers over the cleaned tables, with the flagged members.
 
-    def rows(table: DataFrame):
+    Payment measures come from the written per-loan statistics if the book has them, else from one pass over payments.
+    """
+
+    def rows(table: DataFrame) -> Column:
         return table.agg(F.count(F.lit(1)).alias("rows")).scalar()
 
-    payments = book.payments.agg(
-        F.count(F.lit(1)).alias("payments"),
-        *payment_counts(),
-        F.sum(past_due()).alias("past_due"),
-    )
-    return payments.select(
+    if book.stats is None:
+        totals = book.payments.agg(*payment_counts(), F.sum(past_due_cents()).alias("past_due_cents"))
+    else:
+        totals = book.stats.agg(*sum_measures(("total_payments", "late_payments", "past_due_cents")))
+    return totals.select(
         rows(book.members).alias("members"),
         rows(book.loans).alias("loans"),
-        "payments",
+        rows(book.payments).alias("payments"),
         "late_payments",
         rate_pct(F.col("late_payments"), F.col("total_payments")).alias("delinquency_rate_pct"),
-        F.col("past_due").cast("double").alias("amount_past_due"),
+        dollars(F.col("past_due_cents")).alias("amount_past_due"),
         rows(delinquency).alias("members_flagged"),
     )
 

@@ -7,7 +7,7 @@ shuffle that grows with it. ``payment_detail`` and the monthly tables read payme
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendrisk import fixed_values as V
-from lendrisk.functions.measures import credit_band, days_late, due_month, rate_pct, shortfall
+from lendrisk.functions.measures import credit_band, days_late, dollars, due_month, rate_pct, shortfall
 from lendrisk.functions.text import full_name
 from lendrisk.operators.rollups import payment_counts, sum_measures
 from lendrisk.plans.book import LoanBook
@@ -42,7 +42,7 @@ def member_delinquency(book: LoanBook, min_late: int = V.MIN_LATE_PAYMENTS, stat
         "account_status",
         F.col("late_payments").alias("late_payment_count"),
         F.col("missed_payments").alias("missed_payment_count"),
-        F.col("past_due").cast("double").alias("total_amount_past_due"),
+        dollars(F.col("past_due_cents")).alias("total_amount_past_due"),
         "total_payments",
         _rate().alias("delinquency_rate"),
     )
@@ -54,7 +54,7 @@ def delinquency_by_loan_type(book: LoanBook) -> DataFrame:
     Loans are first reduced to one row per id and type on the join's own partitioning, which makes the distinct count a
     plain count.
     """
-    measures = ("total_payments", "late_payments", "past_due")
+    measures = ("total_payments", "late_payments", "past_due_cents")
     per_loan = book.loans_with_stats("loan_type").groupBy("loan_id", "loan_type").agg(*sum_measures(measures))
     per_type = per_loan.groupBy("loan_type").agg(F.count("loan_id").alias("total_loans"), *sum_measures(measures))
     return per_type.select(
@@ -63,7 +63,7 @@ def delinquency_by_loan_type(book: LoanBook) -> DataFrame:
         "late_payments",
         "total_payments",
         _rate().alias("delinquency_rate_pct"),
-        F.col("past_due").cast("double").alias("amount_at_risk"),
+        dollars(F.col("past_due_cents")).alias("amount_at_risk"),
     ).orderBy(F.desc("delinquency_rate_pct"), F.desc("loan_type"))
 
 
@@ -108,7 +108,7 @@ def member_loan_summary(book: LoanBook) -> DataFrame:
         "total_payments",
         "late_payments",
         "missed_payments",
-        F.col("past_due").cast("double").alias("amount_past_due"),
+        dollars(F.col("past_due_cents")).alias("amount_past_due"),
         _rate().alias("loan_delinquency_rate"),
     )
 

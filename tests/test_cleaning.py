@@ -1,0 +1,83 @@
+"""Cleaning whole tables, and which duplicate counts as first."""
+
+from helpers import loan, member, payment, plan_text, rows
+
+from lendrisk import fixed_values as V
+from lendrisk.operators.cleaning import clean_members, dedup_keep_first
+from lendrisk.plans.book import LoanBook
+from lendrisk.sources.raw import read_csv
+
+
+def test_first_duplicate_wins_whatever_the_partitioning(spark, make_raw):
+    raw = make_raw(members=[
+        member("M1", 2, account_status="Closed"), member("M1", 1, account_status="Active"),
+        member("M2", 3, account_status="Inactive"), member(None, 5), member(None, 4, city="Hurst"),
+    ])
+    expected = {"M1": "Active", "M2": "Inactive", None: "Active"}
+    for n in (1, 17):
+        clean = clean_members(raw.members.repartition(n))
+        assert {row["member_id"]: row["account_status"] for row in clean.collect()} == expected
+        assert {row["city"] for row in clean.collect() if row["member_id"] is None} == {"Hurst"}
+
+
+def test_dedup_limits_groups_before_the_shuffle(make_raw):
+    raw = make_raw(members=[member("M1", 1)])
+    plan = plan_text(dedup_keep_first(raw.members, ["member_id"], "ingest_seq"))
+    before_shuffle = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
+def test_members(make_raw):
+    raw = make_raw(members=[
+        member("M1", first_name="MARY ANN", last_name="  smith", credit_score=None, email=" ", phone="n/a"),
+        member("M2", first_name=None, phone=" "),
+    ])
+    first, second = sorted(rows(LoanBook.from_raw(raw).members), key=lambda row: row["member_id"])
+    assert (first["first_name"], first["last_name"]) == ("Mary ann", "Smith")
+    assert (first["email"], first["phone"], first["credit_score_missing"]) == (None, None, 1)
+    assert (second["first_name"], second["phone"], second["credit_score_missing"]) == (None, " ", 0)
+    assert list(first) == [*V.RAW_MEMBERS.names, "credit_score_missing"]
+
+
+def test_loans_and_payments(make_raw):
+    raw = make_raw(
+        loans=[
+            loan("L1", "M1", original_amount=-5.0, interest_rate=None, loan_type="auto loan"),
+            loan("L1", "M1", original_amount=None, loan_type=None),
+        ],
+        payments=[
+            payment("P1", "L1", "ON TIME", payment_date="", actual_amount=-5.0),
+            payment("P1", "L1", None, payment_date=" ", actual_amount=None),
+        ],
+    )
+    book = LoanBook.from_raw(raw)
+    fixed, kept = sorted(rows(book.loans), key=lambda row: row["rate_missing"], reverse=True)
+    assert (fixed["original_amount"], fixed["rate_missing"], fixed["loan_type"]) == (5.0, 1, "Auto loan")
+    assert (kept["original_amount"], kept["rate_missing"], kept["loan_type"]) == (None, 0, None)
+    assert {(row["payment_status"], row["payment_date"], row["actual_amount"]) for row in rows(book.payments)} == {
+        ("On time", None, 5.0), (None, None, None),
+    }
+    assert LoanBook.from_raw(raw, canonical_types=True).loans.where("loan_type = 'Auto Loan'").count() == 1
+
+
+def test_first_means_place_in_the_files(spark, tmp_path):
+    """200 members, each with a copy in a later file and a later line of the same file, over four files."""
+    directory = tmp_path / "raw_members.csv"
+    directory.mkdir()
+    header = ",".join(V.RAW_MEMBERS.names)
+    for part in range(4):
+        lines = [header]
+        for copy in range(2):
+            for i in range(200):
+                status = "Active" if part == 0 and copy == 0 else "Closed"
+                lines.append(f"M{i:03d},Ann,Lee,01/15/2015,City{part}-{copy},TX,700,a@example.com,1,{status}")
+        (directory / f"part-{part}.csv").write_text("\r\n".join(lines) + "\r\n")
+    members = read_csv(spark, str(directory), V.RAW_MEMBERS)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        clean = clean_members(read_csv(spark, str(directory), V.RAW_MEMBERS))
+        assert members.rdd.getNumPartitions() > 4
+        assert {(row["city"], row["account_status"]) for row in clean.collect()} == {("City0-0", "Active")}
+        assert clean.count() == 200
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
