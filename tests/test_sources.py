@@ -1,0 +1,173 @@
+"""CSV in, tables and CSV out, and the whole run."""
+
+import csv
+import math
+
+import pytest
+from helpers import BruteForce, as_set, band, messy_data, rows
+
+from lendrisk import fixed_values as V
+from lendrisk.plans import drill, marts
+from lendrisk.plans.book import LoanBook
+from lendrisk.plans.pipeline import run_pipeline
+from lendrisk.sources.raw import read_csv, read_raw, register, row_counts
+from lendrisk.sources.sinks import export_csv, scratch_path, write_table
+
+
+def write_csv(path, names, data):
+    with open(path, "w", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow(names)
+        writer.writerows([["" if row[name] is None else row[name] for name in names] for row in data])
+
+
+def write_raw(directory, data):
+    members = sorted(data["members"], key=lambda row: row["ingest_seq"])
+    write_csv(directory / "raw_members.csv", V.RAW_MEMBERS.names, members)
+    write_csv(directory / "raw_loans.csv", V.RAW_LOANS.names, data["loans"])
+    write_csv(directory / "raw_payments.csv", V.RAW_PAYMENTS.names, data["payments"])
+
+
+def read_export(directory, name):
+    found = []
+    for part in sorted((directory / f"{name}.csv").glob("part-*.csv")):
+        with open(part, newline="") as f:
+            found += list(csv.DictReader(f))
+    return found
+
+
+def test_null_tokens_and_types(spark, tmp_path):
+    path = tmp_path / "raw_loans.csv"
+    path.write_text(
+        "loan_id,member_id,loan_type,original_amount,interest_rate,term_months,origination_date,loan_status\r\n"
+        'L1,M1,"Auto, ""used""", 25000.5 ,N/A,60,2020-01-01,Current\r\n'
+        "L2,,  auto loan,-5,NaN,60.0,,None\r\n"
+        "L3,M3,Mortgage,abc,3.5,,2020-01-01,NA\r\n"
+    )
+    first, second, third = rows(read_csv(spark, str(path), V.RAW_LOANS).drop("ingest_seq").orderBy("loan_id"))
+    assert first["loan_type"] == 'Auto, "used"' and first["original_amount"] == 25000.5
+    assert (first["interest_rate"], first["term_months"]) == (None, 60)
+    assert (second["member_id"], second["loan_type"], second["origination_date"]) == (None, "  auto loan", None)
+    assert (second["original_amount"], second["interest_rate"], second["term_months"]) == (-5.0, None, 60)
+    # Free text keeps its tokens; unreadable numbers are missing.
+    assert (second["loan_status"], third["loan_status"], third["original_amount"]) == ("None", "NA", None)
+
+
+def test_members_called_none_survive(spark, tmp_path):
+    path = tmp_path / "raw_members.csv"
+    path.write_text(",".join(V.RAW_MEMBERS.names) + "\nM1,NA,None,01/15/2015,Dallas,TX,nan,None,n/a,Active\n")
+    row = rows(read_csv(spark, str(path), V.RAW_MEMBERS))[0]
+    assert (row["first_name"], row["last_name"]) == ("NA", "None")
+    assert (row["credit_score"], row["email"], row["phone"]) == (None, None, None)
+
+
+def test_wrong_header_is_an_error(spark, tmp_path):
+    path = tmp_path / "raw_loans.csv"
+    path.write_text(",".join(reversed(V.RAW_LOANS.names)) + "\n" + ",".join("abcdefgh") + "\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, str(path), V.RAW_LOANS).collect()
+
+
+def test_register_and_count(spark, make_raw):
+    data = messy_data(9)
+    tables = make_raw(**data).named()
+    register(tables)
+    register(tables)
+    expected = [(len(data[name.removeprefix("raw_")]), name) for name in tables]
+    assert as_set(row_counts({name: spark.table(name) for name in tables})) == sorted(expected, key=repr)
+
+
+def test_write_table_replaces(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert write_table(spark.range(5), path).count() == 5
+    assert write_table(spark.range(2), path).count() == 2
+
+
+def test_export(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("  a, b", 25000000.5, None), (None, 0.125, ""), ('say "x"', None, "z ")],
+        "name string, original_amount double, note string",
+    )
+    path = str(tmp_path / "e.csv")
+    assert export_csv(df, path) == 3
+    assert export_csv(df.limit(2), path) == 2
+    assert export_csv(df, path) == 3
+    found = read_export(tmp_path, "e")
+    assert sorted(row["original_amount"] for row in found) == ["", "0.125", "25000000.50"]
+    assert {row["name"] for row in found} == {"  a, b", "", 'say "x"'}
+    # Reading back gives the same texts; an empty one is a missing one in CSV.
+    back = spark.read.options(header=True, escape='"').csv(path)
+    assert as_set(back.select("name", "note")) == as_set(df.select("name", "note").replace({"": None}))
+
+
+def test_scratch_path_is_in_the_shared_folder(spark):
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir")) and first != second
+
+
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_whole_run(spark, tmp_path, file_format):
+    data = messy_data(10)
+    # A CSV cannot tell a missing text from an empty one.
+    for row in data["members"]:
+        row["email"] = row["email"] or ""
+    source = tmp_path / "raw"
+    source.mkdir()
+    write_raw(source, data)
+    if file_format == "parquet":
+        for name, table in read_raw(spark, str(source)).named().items():
+            table.drop("ingest_seq").coalesce(1).write.parquet(str(source / f"{name}.parquet"))
+    out = tmp_path / "out"
+    for _ in range(2 if file_format == "csv" else 1):  # a second run replaces the first
+        result = run_pipeline(spark, str(source), str(out), file_format=file_format)
+
+    truth = BruteForce(**data)
+    exported = {row["table"]: row["rows"] for row in rows(result.exported)}
+    assert tuple(exported) == V.EXPORTED_TABLES
+    assert exported["payment_detail"] == len(truth.joined) and exported["members_clean"] == len(truth.members)
+    for name in V.EXPORTED_TABLES:
+        assert len(read_export(out / "export", name)) == exported[name]
+    loaded = {row["table"]: row["rows"] for row in rows(result.loaded)}
+    assert loaded == {f"raw_{name}": len(found) for name, found in data.items()}
+
+    def numbers(found, *names):
+        return [tuple(float(row[name]) if row[name] else None for name in names) for row in found]
+
+    cities = read_export(out / "export", "delinquency_by_city")
+    expected = truth.by_member_group(lambda who: who["city"])
+    assert {(row["city"] or None, int(row["late_payments"])) for row in cities} == {(e[0], e[2]) for e in expected}
+    rates = [rate for rate, in numbers(cities, "delinquency_rate_pct")]
+    assert rates == sorted(rates, reverse=True)
+    tiers = read_export(out / "export", "delinquency_by_credit_tier")
+    expected = truth.by_member_group(lambda who: band(who["credit_score"]))
+    assert {(row["credit_tier"], int(row["member_count"])) for row in tiers} == {(e[0], e[1]) for e in expected}
+
+    scored = read_export(out / "export", "member_delinquency_scored")
+    flagged = {row[0]: row for row in truth.member_delinquency()}
+    assert {row["member_id"] for row in scored} == set(flagged)
+    for row in scored:
+        assert math.isclose(float(row["total_amount_past_due"]), flagged[row["member_id"]][7], abs_tol=1e-9)
+    scores = [score for score, in numbers(scored, "risk_score")]
+    assert scores == sorted(scores, reverse=True)
+    detail = read_export(out / "export", "payment_detail")
+    keys = [(row["member_id"], row["due_date"]) for row in detail]
+    assert keys == sorted(keys)
+
+    report = {row["measure"]: row["value"] for row in rows(result.quality)}
+    assert report["members_flagged"] == len(flagged)
+    assert report["duplicate_rows_removed"] == len(data["members"]) - len(truth.members)
+    assert sum(row["members"] for row in rows(result.risk_tiers)) == len(flagged)
+    # Afterwards the tables answer SQL by name.
+    assert spark.sql("SELECT count(*) FROM member_delinquency_scored").first()[0] == len(flagged)
+    assert spark.sql("SELECT count(*) FROM payments_clean WHERE payment_status = 'Late'").first()[0] == sum(
+        row["payment_status"] == "Late" for row in truth.payments
+    )
+
+
+def test_trend_from_csv_is_the_trend_from_memory(spark, tmp_path, make_raw):
+    data = messy_data(11)
+    write_raw(tmp_path, data)
+    trend = marts.monthly_delinquency_trend(LoanBook.from_raw(read_raw(spark, str(tmp_path))))
+    assert as_set(trend) == as_set(marts.monthly_delinquency_trend(LoanBook.from_raw(make_raw(**data))))
+    book = LoanBook.from_raw(make_raw(**data))
+    assert rows(drill.kpi_overview(book, marts.member_delinquency(book)))[0]["payments"] == len(data["payments"])
