@@ -1,6 +1,7 @@
 """Every named query: ``(spark, directory of the provided tables) -> DataFrame``. Each runs over its whole tables."""
 
 from collections.abc import Callable
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,26 +11,29 @@ from lendrisk.functions.text import capitalize_first, null_if_in
 from lendrisk.operators.cleaning import clean_loan_type, dedup_keep_first, missing_flag
 from lendrisk.plans import drill, marts, quality, scoring
 from lendrisk.plans.book import LoanBook
-from lendrisk.plans.pipeline import mart_tables
+from lendrisk.plans.pipeline import store_results
 from lendrisk.sources.provided import raw_from_provided
 from lendrisk.sources.raw import RawTables, read_csv, read_raw, register, row_counts
-from lendrisk.sources.sinks import export_csv, export_tables, scratch_path
+from lendrisk.sources.sinks import export_csv, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 c = F.col
 
 
-def _raw_query(build: Callable[[RawTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(raw_from_provided(spark, sf_dir))
+class Opened:
+    """The provided tables, opened once for any number of queries."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.raw = raw_from_provided(spark, sf_dir)
 
-def _book_query(build: Callable[[LoanBook], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(LoanBook.from_raw(raw_from_provided(spark, sf_dir)))
+    @cached_property
+    def clean(self) -> LoanBook:
+        """Cleaned tables for queries that join nothing, so without the look for hot ids."""
+        return LoanBook.from_raw(self.raw, find_hot_keys=False)
 
-
-def _clean_query(build: Callable[[LoanBook], DataFrame]) -> Query:
-    """A query on one cleaned table: nothing is joined, so no look for hot ids."""
-    return lambda spark, sf_dir: build(LoanBook.from_raw(raw_from_provided(spark, sf_dir), find_hot_keys=False))
+    @cached_property
+    def book(self) -> LoanBook:
+        return self.clean.with_hot_keys()
 
 
 # --- sources and cleaning operators ---------------------------------------------------------------------------------
@@ -101,6 +105,13 @@ def member_credit_bands(book: LoanBook) -> DataFrame:
     return book.members.select("member_id", "credit_score", credit_band(c("credit_score")).alias("credit_tier"))
 
 
+def loan_payment_stats(book: LoanBook) -> DataFrame:
+    """A1, A3, A4 per loan, with money as it leaves the library."""
+    return book.payment_stats().select(
+        "loan_id", "total_payments", "late_payments", "missed_payments", dollars(c("past_due_cents")).alias("past_due")
+    )
+
+
 def _write_raw_csv(raw: RawTables, directory: str, *names: str) -> None:
     for name in names:
         table = raw.named()[name]
@@ -141,10 +152,12 @@ def _worst_member(book: LoanBook) -> str:
     return quality.highest_delinquency(marts.member_delinquency(book)).first()["member_id"]
 
 
-def data_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_from_provided(spark, sf_dir)
-    book = LoanBook.from_raw(raw)
-    return quality.data_quality_report(raw, book, marts.member_delinquency(book))
+def _quality(t: Opened) -> DataFrame:
+    return quality.data_quality_report(t.raw, t.book, marts.member_delinquency(t.book))
+
+
+def _canonical(t: Opened) -> LoanBook:
+    return LoanBook.from_raw(t.raw, canonical_types=True)
 
 
 def population_ranges(book: LoanBook) -> DataFrame:
@@ -153,68 +166,71 @@ def population_ranges(book: LoanBook) -> DataFrame:
 
 
 def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nine tables exported to CSV, with the rows counted on the way out and on reading back."""
+    """The nine tables stored and exported, their rows counted on the way out and on reading back."""
     directory = scratch_path(spark, "export")
     book = LoanBook.from_raw(raw_from_provided(spark, sf_dir))
-    exported = export_tables(mart_tables(book, _scored(book)), directory)
+    exported = store_results(book, directory).exported
     read_back = row_counts({
-        name: spark.read.options(header=True, escape='"').csv(f"{directory}/{name}.csv") for name in V.EXPORTED_TABLES
+        name: spark.read.options(header=True, escape='"').csv(f"{directory}/export/{name}.csv")
+        for name in V.EXPORTED_TABLES
     })
     return exported.withColumnRenamed("rows", "rows_written").join(
         read_back.withColumnRenamed("rows", "rows_read"), "table"
     )
 
 
+# Queries over opened tables.
+OPENED_QUERIES: dict[str, Callable[[Opened], DataFrame]] = {
+    "dedup_members": lambda t: dedup_keep_first(t.raw.members, ["member_id"], t.raw.member_order),
+    "normalize_names": lambda t: normalize_names(t.raw),
+    "null_tokens_members": lambda t: null_tokens_members(t.raw),
+    "null_tokens_payments": lambda t: null_tokens_payments(t.raw),
+    "missing_flags_members": lambda t: missing_flags_members(t.raw),
+    "missing_flags_loans": lambda t: missing_flags_loans(t.raw),
+    "abs_amounts_loans": lambda t: abs_amounts_loans(t.raw),
+    "abs_amounts_payments": lambda t: abs_amounts_payments(t.raw),
+    "normalize_loan_type": lambda t: normalize_loan_type(t.raw),
+    "canonical_loan_type": lambda t: canonical_loan_type(t.raw),
+    "normalize_status": lambda t: normalize_status(t.raw),
+    "members_clean": lambda t: t.clean.members,
+    "loans_clean": lambda t: t.clean.loans,
+    "payments_clean": lambda t: t.clean.payments,
+    "member_credit_bands": lambda t: member_credit_bands(t.clean),
+    "loan_payment_stats": lambda t: loan_payment_stats(t.clean),
+    "member_delinquency": lambda t: marts.member_delinquency(t.book),
+    "member_delinquency_min12": lambda t: marts.member_delinquency(t.book, min_late=12),
+    "delinquency_by_loan_type": lambda t: marts.delinquency_by_loan_type(t.book),
+    "delinquency_by_canonical_loan_type": lambda t: marts.delinquency_by_loan_type(_canonical(t)),
+    "monthly_delinquency_trend": lambda t: marts.monthly_delinquency_trend(t.clean),
+    "delinquency_by_credit_tier": lambda t: marts.delinquency_by_credit_tier(t.book),
+    "delinquency_by_city": lambda t: marts.delinquency_by_city(t.book),
+    "member_loan_summary": lambda t: marts.member_loan_summary(t.book),
+    "payment_detail": lambda t: marts.payment_detail(t.book),
+    "payment_detail_sorted": lambda t: marts.sorted_payment_detail(t.book),
+    "population_ranges": lambda t: population_ranges(t.book),
+    "member_delinquency_scored": lambda t: _scored(t.book),
+    "member_delinquency_scored_documented_tiers": lambda t: _scored(t.book, "documented"),
+    "risk_tier_counts": lambda t: scoring.risk_tier_counts(_scored(t.book)),
+    "risk_tier_counts_documented": lambda t: scoring.risk_tier_counts(_scored(t.book, "documented"), "documented"),
+    "data_quality_report": _quality,
+    "highest_delinquency": lambda t: quality.highest_delinquency(marts.member_delinquency(t.book)),
+    "kpi_overview": lambda t: drill.kpi_overview(t.book, marts.member_delinquency(t.book)),
+    "member_detail_high_risk": lambda t: drill.member_detail(_scored(t.book), tier="High Risk"),
+    "member_detail_city": lambda t: drill.member_detail(_scored(t.book), city="NATION_7", min_score=20.0),
+    "member_drill_loans": lambda t: drill.member_drill_loans(t.book, _worst_member(t.book)),
+    "member_drill_payments": lambda t: drill.member_drill_payments(t.book, _worst_member(t.book)),
+    "member_monthly_status": lambda t: marts.member_monthly_status(t.book),
+}
+
+
+def _open_and_run(query: Callable[[Opened], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query(Opened(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "load_counts": load_counts,
     "csv_ingest_members": csv_ingest_members,
     "csv_ingest_trend": csv_ingest_trend,
-    "dedup_members": _raw_query(lambda raw: dedup_keep_first(raw.members, ["member_id"], raw.member_order)),
-    "normalize_names": _raw_query(normalize_names),
-    "null_tokens_members": _raw_query(null_tokens_members),
-    "null_tokens_payments": _raw_query(null_tokens_payments),
-    "missing_flags_members": _raw_query(missing_flags_members),
-    "missing_flags_loans": _raw_query(missing_flags_loans),
-    "abs_amounts_loans": _raw_query(abs_amounts_loans),
-    "abs_amounts_payments": _raw_query(abs_amounts_payments),
-    "normalize_loan_type": _raw_query(normalize_loan_type),
-    "canonical_loan_type": _raw_query(canonical_loan_type),
-    "normalize_status": _raw_query(normalize_status),
-    "members_clean": _clean_query(lambda book: book.members),
-    "loans_clean": _clean_query(lambda book: book.loans),
-    "payments_clean": _clean_query(lambda book: book.payments),
-    "member_credit_bands": _clean_query(member_credit_bands),
-    "loan_payment_stats": _clean_query(
-        lambda book: book.payment_stats().select(
-            "loan_id", "total_payments", "late_payments", "missed_payments", dollars(c("past_due_cents")).alias("past_due")
-        )
-    ),
-    "member_delinquency": _book_query(marts.member_delinquency),
-    "member_delinquency_min12": _book_query(lambda book: marts.member_delinquency(book, min_late=12)),
-    "delinquency_by_loan_type": _book_query(marts.delinquency_by_loan_type),
-    "delinquency_by_canonical_loan_type": lambda spark, sf_dir: marts.delinquency_by_loan_type(
-        LoanBook.from_raw(raw_from_provided(spark, sf_dir), canonical_types=True)
-    ),
-    "monthly_delinquency_trend": _clean_query(marts.monthly_delinquency_trend),
-    "delinquency_by_credit_tier": _book_query(marts.delinquency_by_credit_tier),
-    "delinquency_by_city": _book_query(marts.delinquency_by_city),
-    "member_loan_summary": _book_query(marts.member_loan_summary),
-    "payment_detail": _book_query(marts.payment_detail),
-    "payment_detail_sorted": _book_query(marts.sorted_payment_detail),
-    "population_ranges": _book_query(population_ranges),
-    "member_delinquency_scored": _book_query(_scored),
-    "member_delinquency_scored_documented_tiers": _book_query(lambda book: _scored(book, "documented")),
-    "risk_tier_counts": _book_query(lambda book: scoring.risk_tier_counts(_scored(book))),
-    "risk_tier_counts_documented": _book_query(
-        lambda book: scoring.risk_tier_counts(_scored(book, "documented"), "documented")
-    ),
-    "data_quality_report": data_quality_report,
-    "highest_delinquency": _book_query(lambda book: quality.highest_delinquency(marts.member_delinquency(book))),
-    "kpi_overview": _book_query(lambda book: drill.kpi_overview(book, marts.member_delinquency(book))),
-    "member_detail_high_risk": _book_query(lambda book: drill.member_detail(_scored(book), tier="High Risk")),
-    "member_detail_city": _book_query(lambda book: drill.member_detail(_scored(book), city="NATION_7", min_score=20.0)),
-    "member_drill_loans": _book_query(lambda book: drill.member_drill_loans(book, _worst_member(book))),
-    "member_drill_payments": _book_query(lambda book: drill.member_drill_payments(book, _worst_member(book))),
-    "member_monthly_status": _book_query(marts.member_monthly_status),
+    **{name: partial(_open_and_run, query) for name, query in OPENED_QUERIES.items()},
     "export_round_trip": export_round_trip,
 }

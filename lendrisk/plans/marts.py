@@ -21,6 +21,11 @@ def _member_name() -> Column:
     return full_name(F.col("first_name"), F.col("last_name")).alias("member_name")
 
 
+def worst_first(df: DataFrame, key: str) -> DataFrame:
+    """Groups by falling rate; equal rates by falling key (O1)."""
+    return df.orderBy(F.desc("delinquency_rate_pct"), F.desc(key))
+
+
 def member_rollup(book: LoanBook) -> DataFrame:
     """Payment measures per member id.
 
@@ -64,7 +69,7 @@ def delinquency_by_loan_type(book: LoanBook) -> DataFrame:
         "total_payments",
         _rate().alias("delinquency_rate_pct"),
         dollars(F.col("past_due_cents")).alias("amount_at_risk"),
-    ).orderBy(F.desc("delinquency_rate_pct"), F.desc("loan_type"))
+    ).transform(worst_first, "loan_type")
 
 
 def monthly_delinquency_trend(book: LoanBook) -> DataFrame:
@@ -82,7 +87,7 @@ def _by_member_group(book: LoanBook, group: Column, name: str) -> DataFrame:
     grouped = members.groupBy(name).agg(F.count("member_id").alias("member_count"), *sum_measures(measures))
     return grouped.select(
         name, "member_count", "late_payments", "total_payments", _rate().alias("delinquency_rate_pct")
-    ).orderBy(F.desc("delinquency_rate_pct"), F.desc(name))
+    ).transform(worst_first, name)
 
 
 def delinquency_by_credit_tier(book: LoanBook) -> DataFrame:
@@ -141,15 +146,23 @@ def payment_detail(book: LoanBook) -> DataFrame:
     return _payment_detail(book, book.payments)
 
 
-def sorted_payment_detail(book: LoanBook) -> DataFrame:
-    """M7 by member and due date, as it is exported (O3).
+def with_place(scan: DataFrame) -> DataFrame:
+    """Add each row's place in a file scan, for ``by_member_and_due_date``."""
+    return scan.withColumn("_place", F.monotonically_increasing_id())
+
 
-    A range-partitioned sort. The last key is the payment's place in its scan, so that neither one member's payments nor
-    equal copies of one payment have to share a range.
+def by_member_and_due_date(placed: DataFrame) -> DataFrame:
+    """Sort payment detail rows by member and due date (O3).
+
+    A range-partitioned sort. The last key is the row's place in a scan, so that neither one member's payments nor equal
+    copies of one payment have to share a range, and a repeated task finds the same places again.
     """
-    placed = book.payments.withColumn("_place", F.monotonically_increasing_id())
-    rows = _payment_detail(book, placed, "_place")
-    return rows.orderBy("member_id", "due_date", "loan_id", "payment_id", "_place").drop("_place")
+    return placed.orderBy("member_id", "due_date", "loan_id", "payment_id", "_place").drop("_place")
+
+
+def sorted_payment_detail(book: LoanBook) -> DataFrame:
+    """M7 by member and due date, placed by the payments scan."""
+    return by_member_and_due_date(_payment_detail(book, with_place(book.payments), "_place"))
 
 
 def member_monthly_status(book: LoanBook) -> DataFrame:

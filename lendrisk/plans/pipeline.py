@@ -1,6 +1,8 @@
 """The whole batch run: raw files in, cleaned tables, marts, scores, reports and CSV exports out."""
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +12,25 @@ from lendrisk.plans.book import LoanBook
 from lendrisk.sources.raw import RawTables, read_raw, register, row_counts
 from lendrisk.sources.sinks import export_tables, write_table
 
+# Row order of the exported files; the others have none.
+EXPORT_ORDER: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "member_delinquency_scored": scoring.by_risk,
+    "delinquency_by_loan_type": partial(marts.worst_first, key="loan_type"),
+    "monthly_delinquency_trend": lambda df: df.orderBy("month"),
+    "delinquency_by_credit_tier": partial(marts.worst_first, key="credit_tier"),
+    "delinquency_by_city": partial(marts.worst_first, key="city"),
+    "payment_detail": lambda df: marts.by_member_and_due_date(marts.with_place(df)),
+}
+
+
+@dataclass(frozen=True)
+class StoredResults:
+    """Result tables as stored, by name, and the row counts of their exports."""
+
+    book: LoanBook
+    tables: dict[str, DataFrame]
+    exported: DataFrame
+
 
 @dataclass(frozen=True)
 class PipelineResult:
@@ -22,20 +43,35 @@ class PipelineResult:
     exported: DataFrame
 
 
-def mart_tables(book: LoanBook, scored: DataFrame) -> dict[str, DataFrame]:
-    """The nine tables of a run by name, in export order."""
+def store_results(book: LoanBook, directory: str, scheme: str = "code") -> StoredResults:
+    """Store every mart as parquet below ``<directory>/tables`` and export nine of them below ``<directory>/export``.
+
+    Deduplicated members and per-loan statistics are stored first, so each mart starts from plain scans, and a lost
+    executor costs no more than the running step. The exports sort stored tables: a range sort reads its input twice, and
+    this way that is a scan and not a join.
+    """
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return write_table(df, f"{directory}/tables/{name}")
+
+    book = replace(book, members=store(book.members, "members_clean"), loans=store(book.loans, "loans_clean"))
+    book = replace(book, stats=store(book.payment_stats(), "loan_payment_stats"))
+    delinquency = store(marts.member_delinquency(book), "member_delinquency")
     tables = {
-        "member_delinquency_scored": scoring.by_risk(scored),
+        "member_delinquency_scored": scoring.member_delinquency_scored(delinquency, scheme),
         "delinquency_by_loan_type": marts.delinquency_by_loan_type(book),
         "monthly_delinquency_trend": marts.monthly_delinquency_trend(book),
         "delinquency_by_credit_tier": marts.delinquency_by_credit_tier(book),
         "delinquency_by_city": marts.delinquency_by_city(book),
         "member_loan_summary": marts.member_loan_summary(book),
-        "payment_detail": marts.sorted_payment_detail(book),
-        "members_clean": book.members,
-        "loans_clean": book.loans,
+        "payment_detail": marts.payment_detail(book),
     }
-    return {name: tables[name] for name in V.EXPORTED_TABLES}
+    tables = {name: store(df, name) for name, df in tables.items()}
+    tables |= {"members_clean": book.members, "loans_clean": book.loans}
+    exports = {name: EXPORT_ORDER.get(name, lambda df: df)(tables[name]) for name in V.EXPORTED_TABLES}
+    exported = export_tables(exports, f"{directory}/export")
+    tables |= {"member_delinquency": delinquency, "loan_payment_stats": book.stats}
+    return StoredResults(book, tables, exported)
 
 
 def run_pipeline(
@@ -49,37 +85,22 @@ def run_pipeline(
 ) -> PipelineResult:
     """Read the raw tables below ``raw_dir``, write parquet tables and CSV exports below ``out_dir`` (full refresh, S7).
 
-    Raw CSV is parsed once and stored columnar. Deduplicated members, per-loan statistics and the flagged members are
-    written too, so every mart starts from plain scans and a lost executor costs no more than the running step. Loans and
-    payments are cleaned while they are scanned. Afterwards every table can be queried by name in the session.
-    ``out_dir`` must be reachable by every executor.
+    Raw CSV is parsed once and stored columnar; payments are cleaned while they are scanned. Afterwards every table can be
+    queried by name in the session. ``out_dir`` must be reachable by every executor.
     """
-    tables = f"{out_dir.rstrip('/')}/tables"
-
-    def store(df: DataFrame, name: str) -> DataFrame:
-        return write_table(df, f"{tables}/{name}")
-
+    out_dir = out_dir.rstrip("/")
     raw = read_raw(spark, raw_dir, file_format)
     if file_format == "csv":
-        raw = RawTables(**{name.removeprefix("raw_"): store(df, name) for name, df in raw.named().items()})
-    book = LoanBook.from_raw(raw, canonical_types=canonical_types)
-    book = replace(book, members=store(book.members, "members_clean"))
-    book = replace(book, stats=store(book.payment_stats(), "loan_payment_stats"))
-    delinquency = store(marts.member_delinquency(book), "member_delinquency")
-    scored = store(scoring.member_delinquency_scored(delinquency, scheme), "member_delinquency_scored")
-    results = mart_tables(book, scored)
-
-    register({
-        **raw.named(),
-        "payments_clean": book.payments,
-        "loan_payment_stats": book.stats,
-        "member_delinquency": delinquency,
-        **results,
-    })
+        stored = {name: write_table(df, f"{out_dir}/tables/{name}") for name, df in raw.named().items()}
+        raw = RawTables(**{name.removeprefix("raw_"): df for name, df in stored.items()})
+    results = store_results(LoanBook.from_raw(raw, canonical_types=canonical_types), out_dir, scheme)
+    register({**raw.named(), "payments_clean": results.book.payments, **results.tables})
+
+    delinquency = results.tables["member_delinquency"]
     return PipelineResult(
         loaded=row_counts(raw.named()),
-        quality=quality.data_quality_report(raw, book, delinquency),
+        quality=quality.data_quality_report(raw, results.book, delinquency),
         highest_delinquency=quality.highest_delinquency(delinquency),
-        risk_tiers=scoring.risk_tier_counts(scored, scheme),
-        exported=export_tables(results, f"{out_dir.rstrip('/')}/export"),
+        risk_tiers=scoring.risk_tier_counts(results.tables["member_delinquency_scored"], scheme),
+        exported=results.exported,
     )
