@@ -44,10 +44,13 @@ class LoanBook:
     def payment_stats(self) -> DataFrame:
         return loan_payment_stats(self.payments) if self.stats is None else self.stats
 
-    def loans_with_stats(self, *columns: str) -> DataFrame:
-        """Loans that have payments, with the chosen loan columns and the loan's payment measures."""
-        return join_unique(self.loans.select("loan_id", *columns), self.payment_stats(), "loan_id", self.hot_loans)
+    def with_stats(self, loans: DataFrame) -> DataFrame:
+        """Loan rows that have payments, with the loan's payment measures."""
+        return join_unique(loans, self.payment_stats(), "loan_id", self.hot_loans)
 
     def with_members(self, loans: DataFrame, *columns: str) -> DataFrame:
-        """Loan-grained rows that have a member, with the chosen member columns."""
+        """Loan rows that have a member, with the chosen member columns.
+
+        Use it before ``with_stats`` or a join with payments: if members are hot, ``loans`` is read once for each branch.
+        """
         return join_unique(loans, self.members.select("member_id", *columns), "member_id", self.hot_members)

@@ -32,7 +32,8 @@ def member_rollup(book: LoanBook) -> DataFrame:
     Summed per member before members are joined, so a member with very many loans is combined first and the join is
     one row to one row on an existing partitioning.
     """
-    return book.loans_with_stats("member_id").groupBy("member_id").agg(*sum_measures())
+    loans = book.loans.select("loan_id", "member_id")
+    return book.with_stats(loans).groupBy("member_id").agg(*sum_measures())
 
 
 def member_delinquency(book: LoanBook, min_late: int = V.MIN_LATE_PAYMENTS, status: str = V.ACTIVE) -> DataFrame:
@@ -60,7 +61,8 @@ def delinquency_by_loan_type(book: LoanBook) -> DataFrame:
     plain count.
     """
     measures = ("total_payments", "late_payments", "past_due_cents")
-    per_loan = book.loans_with_stats("loan_type").groupBy("loan_id", "loan_type").agg(*sum_measures(measures))
+    loans = book.with_stats(book.loans.select("loan_id", "loan_type"))
+    per_loan = loans.groupBy("loan_id", "loan_type").agg(*sum_measures(measures))
     per_type = per_loan.groupBy("loan_type").agg(F.count("loan_id").alias("total_loans"), *sum_measures(measures))
     return per_type.select(
         "loan_type",
@@ -104,11 +106,16 @@ LOAN_SUMMARY_COLUMNS = ("loan_type", "original_amount", "interest_rate", "loan_s
 
 
 def member_loan_summary(book: LoanBook) -> DataFrame:
-    """M6: measures per member and loan (A8). Equal copies of a loan share one row and add up."""
-    loans = book.loans_with_stats("member_id", *LOAN_SUMMARY_COLUMNS)
-    rows = book.with_members(loans, "first_name", "last_name").withColumn("member_name", _member_name())
+    """M6: measures per member and loan (A8). Equal copies of a loan share one row and add up.
+
+    The grouping that adds up copies works on the partitioning of the join with the statistics and shuffles nothing.
+    """
+    loans = book.loans.select("loan_id", "member_id", *LOAN_SUMMARY_COLUMNS)
+    owned = book.with_members(loans, "first_name", "last_name").select(
+        "loan_id", "member_id", _member_name(), *LOAN_SUMMARY_COLUMNS
+    )
     keys = ("member_id", "member_name", "loan_id", *LOAN_SUMMARY_COLUMNS)
-    return rows.groupBy(*keys).agg(*sum_measures()).select(
+    return book.with_stats(owned).groupBy(*keys).agg(*sum_measures()).select(
         *keys,
         "total_payments",
         "late_payments",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendrisk.operators.cleaning import clean_members
 from lendrisk.operators.skew import broadcast_if_small, hot_keys, join_unique
-from lendrisk.plans import marts
+from lendrisk.plans import drill, marts
 from lendrisk.plans.book import LoanBook
 from lendrisk.sources.raw import RawTables
 
@@ -121,6 +121,9 @@ def test_payments_are_shuffled_once(spark, setting):
     by_type = plan_text(marts.delinquency_by_loan_type(book))
     # loans and statistics by loan, then the few types; the distinct count adds none.
     assert by_type.count("Exchange hashpartitioning") == 3
+    summary = plan_text(marts.member_loan_summary(book))
+    # members: dedup; loans: by member, then by loan; statistics by loan. Adding up copies adds none.
+    assert summary.count("Exchange hashpartitioning") == 4
     by_city = plan_text(marts.delinquency_by_city(book))
     # dedup, loans and statistics by loan, member sums, the few cities; the member join adds none.
     assert by_city.count("Exchange hashpartitioning") == 5
@@ -130,3 +133,51 @@ def test_broadcast_only_below_the_limit(spark):
     few = spark.range(10).toDF("k")
     assert "broadcast" in broadcast_if_small(few, 10)._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in broadcast_if_small(few, 9)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_copies_of_one_payment_are_sorted_in_many_ranges(spark, setting):
+    """A third of the payments equal in every column: the sort by member and due date still spreads them."""
+    setting(adaptive__enabled="false", shuffle__partitions="12")
+    raw = skewed(spark)
+    same = F.col("loan_id") == "L0"
+    payments = raw.payments.withColumn("payment_id", F.when(same, "P0").otherwise(F.col("payment_id"))).withColumn(
+        "payment_status", F.lit("Late")
+    )
+    book = LoanBook.from_raw(RawTables(raw.members, raw.loans, payments)).with_hot_keys(min_rows=1000)
+    sizes = marts.sorted_payment_detail(book).groupBy(F.spark_partition_id()).count().collect()
+    total = sum(row["count"] for row in sizes)
+    assert total == marts.payment_detail(book).count() and max(row["count"] for row in sizes) < total / 4
+
+
+def test_scans_read_only_what_is_used(spark, setting, tmp_path):
+    """Over stored tables, filters and column choices reach the parquet scans."""
+    setting(maxMetadataStringLength="2000")
+    raw = skewed(spark, 300)
+    stored = {name: f"{tmp_path}/{name}" for name in raw.named()}
+    for name, table in raw.named().items():
+        table.write.parquet(stored[name])
+    members, loans, payments = (spark.read.parquet(path) for path in stored.values())
+    book = LoanBook.from_raw(RawTables(members, loans, payments))
+    book.members.write.parquet(f"{tmp_path}/members_clean")
+    book = LoanBook(spark.read.parquet(f"{tmp_path}/members_clean"), book.loans, book.payments)
+
+    def scans(df):
+        return {
+            re.search(r"/(\w+)\]", line).group(1): line for line in plan_text(df).splitlines() if "FileScan parquet" in line
+        }
+
+    trend = scans(marts.monthly_delinquency_trend(book))
+    assert "ReadSchema: struct<payment_id:string,due_date:string,payment_status:string>" in trend["raw_payments"]
+    flagged = scans(marts.member_delinquency(book))
+    assert "EqualTo(account_status,Active)" in flagged["members_clean"]
+    assert "ReadSchema: struct<loan_id:string,member_id:string>" in flagged["raw_loans"]
+    assert "due_date" not in flagged["raw_payments"] and "IsNotNull(loan_id)" in flagged["raw_payments"]
+    one = scans(drill.member_drill_payments(book, "M7"))
+    assert "EqualTo(member_id,M7)" in one["raw_loans"] and "EqualTo(member_id,M7)" in one["members_clean"]
+
+
+def test_drill_into_one_member_does_not_shuffle_payments(spark, setting, tmp_path):
+    setting(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    book = LoanBook.from_raw(skewed(spark, 300))
+    few = plan_text(drill.for_member(book, "M7").payments)
+    assert "BroadcastHashJoin" in few and "Exchange hashpartitioning" not in few
