@@ -1,6 +1,7 @@
 """The whole batch run: raw files in, cleaned tables, marts, scores, reports and CSV exports out."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import partial
 
@@ -23,6 +24,10 @@ EXPORT_ORDER: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# Independent tables written at the same time, so that small ones fill the cores a large one leaves idle.
+WRITERS = 4
+
+
 @dataclass(frozen=True)
 class StoredResults:
     """Result tables as stored, by name, and the row counts of their exports."""
@@ -50,14 +55,23 @@ def store_results(book: LoanBook, directory: str, scheme: str = "code") -> Store
     executor costs no more than the running step. The exports sort stored tables: a range sort reads its input twice, and
     this way that is a scan and not a join.
     """
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return _store_results(pool, book, directory, scheme)
 
-    def store(df: DataFrame, name: str) -> DataFrame:
-        return write_table(df, f"{directory}/tables/{name}")
 
-    book = replace(book, members=store(book.members, "members_clean"), loans=store(book.loans, "loans_clean"))
-    book = replace(book, stats=store(book.payment_stats(), "loan_payment_stats"))
-    delinquency = store(marts.member_delinquency(book), "member_delinquency")
-    tables = {
+def _store_results(pool: ThreadPoolExecutor, book: LoanBook, directory: str, scheme: str) -> StoredResults:
+    def store(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        paths = [f"{directory}/tables/{name}" for name in tables]
+        return dict(zip(tables, pool.map(write_table, tables.values(), paths)))
+
+    inputs = store({
+        "members_clean": book.members, "loans_clean": book.loans, "loan_payment_stats": book.payment_stats(),
+    })
+    book = replace(
+        book, members=inputs["members_clean"], loans=inputs["loans_clean"], stats=inputs["loan_payment_stats"]
+    )
+    delinquency = store({"member_delinquency": marts.member_delinquency(book)})["member_delinquency"]
+    tables = store({
         "member_delinquency_scored": scoring.member_delinquency_scored(delinquency, scheme),
         "delinquency_by_loan_type": marts.delinquency_by_loan_type(book),
         "monthly_delinquency_trend": marts.monthly_delinquency_trend(book),
@@ -65,13 +79,10 @@ def store_results(book: LoanBook, directory: str, scheme: str = "code") -> Store
         "delinquency_by_city": marts.delinquency_by_city(book),
         "member_loan_summary": marts.member_loan_summary(book),
         "payment_detail": marts.payment_detail(book),
-    }
-    tables = {name: store(df, name) for name, df in tables.items()}
-    tables |= {"members_clean": book.members, "loans_clean": book.loans}
+    })
+    tables |= {**inputs, "member_delinquency": delinquency}
     exports = {name: EXPORT_ORDER.get(name, lambda df: df)(tables[name]) for name in V.EXPORTED_TABLES}
-    exported = export_tables(exports, f"{directory}/export")
-    tables |= {"member_delinquency": delinquency, "loan_payment_stats": book.stats}
-    return StoredResults(book, tables, exported)
+    return StoredResults(book, tables, export_tables(exports, f"{directory}/export", pool))
 
 
 def run_pipeline(
@@ -91,8 +102,9 @@ def run_pipeline(
     out_dir = out_dir.rstrip("/")
     raw = read_raw(spark, raw_dir, file_format)
     if file_format == "csv":
-        stored = {name: write_table(df, f"{out_dir}/tables/{name}") for name, df in raw.named().items()}
-        raw = RawTables(**{name.removeprefix("raw_"): df for name, df in stored.items()})
+        stored = {f"{out_dir}/tables/{name}": df for name, df in raw.named().items()}
+        with ThreadPoolExecutor(WRITERS) as pool:
+            raw = RawTables(*pool.map(write_table, stored.values(), stored))
     results = store_results(LoanBook.from_raw(raw, canonical_types=canonical_types), out_dir, scheme)
     register({**raw.named(), "payments_clean": results.book.payments, **results.tables})
 

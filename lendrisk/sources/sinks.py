@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import Executor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -38,12 +39,12 @@ def export_csv(df: DataFrame, path: str) -> int:
     return written.get["rows"]
 
 
-def export_tables(tables: Mapping[str, DataFrame], directory: str) -> DataFrame:
-    """Export each table to ``<directory>/<name>.csv``; returns one (table, rows) row per table."""
-    written = [(name, export_csv(df, f"{directory}/{name}.csv")) for name, df in tables.items()]
+def export_tables(tables: Mapping[str, DataFrame], directory: str, pool: Executor) -> DataFrame:
+    """Export each table to ``<directory>/<name>.csv``, a directory of part files; returns one (table, rows) row per table."""
+    rows = pool.map(export_csv, tables.values(), [f"{directory}/{name}.csv" for name in tables])
     spark = next(iter(tables.values())).sparkSession
     schema = T.StructType([T.StructField("table", T.StringType()), T.StructField("rows", T.LongType())])
-    return spark.createDataFrame(written, schema)
+    return spark.createDataFrame(list(zip(tables, rows)), schema)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
