@@ -1,10 +1,10 @@
-"""``python -m lendrisk RAW_DIR OUT_DIR``: run the whole pipeline and print its reports."""
+"""``python -m lendrisk RAW_DIR OUT_DIR``: run everything and print the reports."""
 
 import argparse
 
 from pyspark.sql import SparkSession
 
-from lendrisk.plans.pipeline import run_pipeline
+from lendrisk.plans.refresh import full_refresh
 
 
 def main() -> None:
@@ -17,7 +17,7 @@ def main() -> None:
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("lendrisk").getOrCreate()
-    result = run_pipeline(
+    result = full_refresh(
         spark, args.raw_dir, args.out_dir,
         file_format=args.format, canonical_types=args.canonical_types, scheme=args.tiers,
     )

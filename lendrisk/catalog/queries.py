@@ -11,7 +11,7 @@ from lendrisk.functions.text import capitalize_first, null_if_in
 from lendrisk.operators.cleaning import clean_loan_type, dedup_keep_first, missing_flag
 from lendrisk.plans import drill, marts, quality, scoring
 from lendrisk.plans.book import LoanBook
-from lendrisk.plans.pipeline import store_results
+from lendrisk.plans.refresh import store_results
 from lendrisk.sources.provided import raw_from_provided
 from lendrisk.sources.raw import RawTables, read_csv, read_raw, register, row_counts
 from lendrisk.sources.sinks import export_csv, scratch_path

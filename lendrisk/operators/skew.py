@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def hot_keys(
-    df: DataFrame, columns: Sequence[str], *, min_share: float = 0.001, min_rows: int = 1_000_000
+    df: DataFrame, columns: Sequence[str], *, min_share: float = 0.0005, min_rows: int = 1_000_000
 ) -> dict[str, tuple[str, ...]]:
     """Values that hold at least ``min_share`` of the rows and at least ``min_rows`` rows, per column.
 

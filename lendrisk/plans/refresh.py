@@ -1,4 +1,4 @@
-"""The whole batch run: raw files in, cleaned tables, marts, scores, reports and CSV exports out."""
+"""The full refresh: raw files in, cleaned tables, marts, scores, reports and CSV exports out."""
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -38,7 +38,7 @@ class StoredResults:
 
 
 @dataclass(frozen=True)
-class PipelineResult:
+class RefreshReport:
     """What a run reports. All five tables are small."""
 
     loaded: DataFrame
@@ -85,7 +85,7 @@ def _store_results(pool: ThreadPoolExecutor, book: LoanBook, directory: str, sch
     return StoredResults(book, tables, export_tables(exports, f"{directory}/export", pool))
 
 
-def run_pipeline(
+def full_refresh(
     spark: SparkSession,
     raw_dir: str,
     out_dir: str,
@@ -93,7 +93,7 @@ def run_pipeline(
     file_format: str = "csv",
     canonical_types: bool = False,
     scheme: str = "code",
-) -> PipelineResult:
+) -> RefreshReport:
     """Read the raw tables below ``raw_dir``, write parquet tables and CSV exports below ``out_dir`` (full refresh, S7).
 
     Raw CSV is parsed once and stored columnar; payments are cleaned while they are scanned. Afterwards every table can be
@@ -109,7 +109,7 @@ def run_pipeline(
     register({**raw.named(), "payments_clean": results.book.payments, **results.tables})
 
     delinquency = results.tables["member_delinquency"]
-    return PipelineResult(
+    return RefreshReport(
         loaded=row_counts(raw.named()),
         quality=quality.data_quality_report(raw, results.book, delinquency),
         highest_delinquency=quality.highest_delinquency(delinquency),

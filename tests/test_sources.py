@@ -9,7 +9,7 @@ from helpers import BruteForce, as_set, band, messy_data, rows
 from lendrisk import fixed_values as V
 from lendrisk.plans import drill, marts
 from lendrisk.plans.book import LoanBook
-from lendrisk.plans.pipeline import run_pipeline
+from lendrisk.plans.refresh import full_refresh
 from lendrisk.sources.raw import read_csv, read_raw, register, row_counts
 from lendrisk.sources.sinks import export_csv, scratch_path, write_table
 
@@ -119,7 +119,7 @@ def test_whole_run(spark, tmp_path, file_format):
             table.drop("ingest_seq").coalesce(1).write.parquet(str(source / f"{name}.parquet"))
     out = tmp_path / "out"
     for _ in range(2 if file_format == "csv" else 1):  # a second run replaces the first
-        result = run_pipeline(spark, str(source), str(out), file_format=file_format)
+        result = full_refresh(spark, str(source), str(out), file_format=file_format)
 
     truth = BruteForce(**data)
     exported = {row["table"]: row["rows"] for row in rows(result.exported)}
