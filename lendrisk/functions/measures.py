@@ -24,9 +24,11 @@ def past_due_cents(status: str = "payment_status") -> Column:
     """Shortfall of a delinquent payment in whole cents, 0 otherwise (A3).
 
     Only late and missed payments count: a late payment made in full adds 0, a partial payment adds nothing. Whole cents
-    make sums exact, free of row order and eight bytes wide; they hold amounts up to 9.2e16.
+    make sums exact, free of row order and eight bytes wide; they hold amounts up to 9.2e16. An amount beyond that, or one
+    that is no finite number, counts as missing and does not stop the run.
     """
-    return F.when(is_delinquent(status), F.rint(shortfall() * F.lit(100.0)).cast("bigint")).otherwise(F.lit(0))
+    cents = F.rint(shortfall() * F.lit(100.0)).try_cast("bigint")
+    return F.when(is_delinquent(status), cents).otherwise(F.lit(0))
 
 
 def dollars(cents: Column) -> Column:

@@ -28,7 +28,11 @@ class LoanBook:
 
     @classmethod
     def from_raw(cls, raw: RawTables, *, canonical_types: bool = False, find_hot_keys: bool = True) -> LoanBook:
-        """Clean the raw tables. Lazy except for the look for hot ids among the loans (``operators.skew.hot_keys``)."""
+        """Clean the raw tables.
+
+        Lazy except for the look for hot ids among the loans (``operators.skew.hot_keys``): a count of the loans, and a
+        count per id if they are many. Store raw CSV as parquet first if it is large; a full refresh does.
+        """
         book = cls(
             clean_members(raw.members, raw.member_order),
             clean_loans(raw.loans, canonical_types),

@@ -1,6 +1,10 @@
 """Column functions, one edge per case."""
 
+import random
+
+import numpy as np
 import pytest
+from helpers import rate
 from pyspark.sql import functions as F
 
 from lendrisk.functions import measures as M
@@ -96,9 +100,30 @@ def test_days_late(spark):
 
 
 def test_past_due_cents(spark):
-    rows = [("Late", 10.0, 4.0), ("Missed", 0.3, 0.1), ("Partial", 10.0, 4.0), (None, 10.0, 4.0), ("Late", None, 4.0)]
+    rows = [
+        ("Late", 10.0, 4.0), ("Missed", 0.3, 0.1), ("Partial", 10.0, 4.0), (None, 10.0, 4.0), ("Late", None, 4.0),
+        ("Late", 4.0, 10.5), ("Late", float("inf"), 1.0), ("Late", float("nan"), 1.0), ("Late", 1e300, 1.0),
+    ]
     df = spark.createDataFrame(rows, "payment_status string, expected_amount double, actual_amount double")
-    assert [row[0] for row in df.select(M.past_due_cents()).collect()] == [600, 20, 0, 0, None]
+    got = [row[0] for row in df.select(M.past_due_cents()).collect()]
+    assert got == [600, 20, 0, 0, None, -650, None, None, None]
+
+
+def test_rates_are_exact_half_up(spark):
+    """Every late count of every total up to 150, and some large ones, against decimal arithmetic."""
+    r = random.Random(1)
+    pairs = [(late, total) for total in range(1, 151) for late in range(total + 1)]
+    pairs += [(r.randrange(total + 1), total) for total in (r.randrange(1, 10**7) for _ in range(2000))]
+    df = spark.createDataFrame(pairs, "late long, total long")
+    for row in df.select("late", "total", M.rate_pct(F.col("late"), F.col("total")).alias("rate")).collect():
+        assert row["rate"] == rate(row["late"], row["total"]), row
+
+
+def test_half_even_is_the_array_rounding(spark):
+    r = random.Random(2)
+    numbers = [r.uniform(0, 100) for _ in range(3000)] + [k / 20 for k in range(2000)]
+    x = F.col("x")
+    assert values(spark, numbers, "double", M.half_even(x)) == np.round(np.array(numbers), 1).tolist()
 
 
 def test_plain_money(spark):

@@ -7,6 +7,7 @@ import pytest
 from helpers import BruteForce, as_set, band, messy_data, rows
 
 from lendrisk import fixed_values as V
+from lendrisk.__main__ import main
 from lendrisk.plans import drill, marts
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.refresh import full_refresh
@@ -164,6 +165,16 @@ def test_whole_run(spark, tmp_path, file_format):
     )
 
 
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    write_raw(tmp_path, messy_data(12))
+    monkeypatch.setattr("sys.argv", ["lendrisk", str(tmp_path), str(tmp_path / "out"), "--canonical-types", "--tiers", "documented"])
+    main()
+    printed = capsys.readouterr().out
+    assert "negative_payments_fixed" in printed and "member_loan_summary" in printed and "Critical Risk" not in printed
+    types = {row["loan_type"] for row in read_export(tmp_path / "out" / "export", "delinquency_by_loan_type")}
+    assert types <= {"Auto Loan", "Mortgage", "Credit Card"}
+
+
 def test_trend_from_csv_is_the_trend_from_memory(spark, tmp_path, make_raw):
     data = messy_data(11)
     write_raw(tmp_path, data)
