@@ -181,6 +181,11 @@ _BODIES = {
                (SELECT min(delinquency_rate) FROM flagged) AS min_delinquency_rate,
                (SELECT max(delinquency_rate) FROM flagged) AS max_delinquency_rate
         FROM extent""",
+    "risk_score_terms": """
+        SELECT member_id, (late_payment_count - l0) / cast(l1 - l0 + 1 AS DOUBLE) AS late_norm,
+               (missed_payment_count - m0) / cast(m1 - m0 + 1 AS DOUBLE) AS missed_norm,
+               (total_amount_past_due - a0) / (a1 - a0 + 1) AS amount_norm, delinquency_rate / 100e0 AS rate_norm
+        FROM flagged, extent""",
     "member_delinquency_scored": "SELECT * FROM scored",
     "member_delinquency_scored_documented_tiers": "SELECT * FROM scored3",
     "risk_tier_counts": """

@@ -173,6 +173,12 @@ def population_ranges(book: LoanBook) -> DataFrame:
     return scoring.population_ranges(marts.member_delinquency(book)).select("ranges.*")
 
 
+def risk_score_terms(book: LoanBook) -> DataFrame:
+    """The four terms of every flagged member's score."""
+    terms = scoring.risk_terms(marts.member_delinquency(book))
+    return terms.select("member_id", "late_norm", "missed_norm", "amount_norm", "rate_norm")
+
+
 def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine tables stored and exported, their rows counted on the way out and on reading back."""
     directory = scratch_path(spark, "export")
@@ -216,6 +222,7 @@ OPENED_QUERIES: dict[str, Callable[[Opened], DataFrame]] = {
     "payment_detail": lambda t: marts.payment_detail(t.book),
     "payment_detail_sorted": lambda t: marts.sorted_payment_detail(t.book),
     "population_ranges": lambda t: population_ranges(t.book),
+    "risk_score_terms": lambda t: risk_score_terms(t.book),
     "member_delinquency_scored": lambda t: _scored(t.book),
     "member_delinquency_scored_documented_tiers": lambda t: _scored(t.book, "documented"),
     "risk_tier_counts": lambda t: scoring.risk_tier_counts(_scored(t.book)),
