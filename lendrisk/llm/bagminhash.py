@@ -7,8 +7,9 @@ keeps the earliest of the points that fall on it, so two documents agree on a po
 Jaccard similarity. Points later than what every position needs are never drawn, so the work is that of the windows plus a
 constant per document.
 
-Equal bands make candidates. No bucket is expanded into all its pairs: texts are compared with the bucket's least text, verified
-links join classes, and only texts of the same bucket that then lie in different classes are compared one with another.
+Equal bands make candidates. No bucket is expanded into all its pairs: texts are compared with the bucket's smallest text,
+verified links join classes, and texts of a bucket that then lie in different classes are compared where they share enough of
+what the smallest text lacks. That step is exact: similar texts that aren't both similar to the smallest one share it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendrisk.llm.components import components
@@ -27,6 +28,8 @@ from lendrisk.llm.scratch import written
 from lendrisk.llm.words import mix, words_of
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Places of the parities that bound how similar two texts can be.
+PARITY_BITS = 2048
 
 
 def _u64(x: int | np.ndarray) -> np.ndarray:
@@ -136,7 +139,12 @@ def _signed(texts: DataFrame, bands: int, rows: int, window: int) -> DataFrame:
 
 
 def _elements(texts: DataFrame, window: int) -> DataFrame:
-    """(digest, elements): a text's windows as distinct numbers, the k-th occurrence of one window being a number of its own."""
+    """(digest, elements, parity) of (digest, text).
+
+    Elements are a text's windows as distinct numbers, the k-th occurrence of one window being a number of its own. parity says
+    for each of ``PARITY_BITS`` hashed places whether an odd number of elements falls there: two texts differ in at least as
+    many elements as their parities differ in places.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,23 +155,62 @@ def _elements(texts: DataFrame, window: int) -> DataFrame:
                 each = mix(np.repeat(value, count) + _u64(nth) * GOLDEN).view(np.int64)
                 first = np.r_[0, np.cumsum(np.bincount(text, weights=count, minlength=part.num_rows).astype(np.int64))]
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(each))
-                yield pa.record_batch([part.column(0), lists], names=["digest", "elements"])
+                place = np.repeat(np.arange(part.num_rows), np.diff(first)) * PARITY_BITS + (each.view(np.uint64) % np.uint64(PARITY_BITS)).astype(np.int64)
+                odd = np.bincount(place, minlength=part.num_rows * PARITY_BITS) & 1
+                words = np.packbits(odd.astype(bool)).view(np.int64)
+                parity = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * (PARITY_BITS // 64), pa.int32()), pa.array(words))
+                yield pa.record_batch([part.column(0), lists, parity], names=["digest", "elements", "parity"])
 
-    return texts.mapInArrow(work, "digest binary, elements array<bigint>")
+    return texts.mapInArrow(work, "digest binary, elements array<bigint>, parity array<bigint>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, window: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of digests whose multiset Jaccard similarity is at least ``threshold``, stored."""
-    pairs = written(pairs)
-    wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest")))
-    wanted = written(wanted.distinct())  # stored, as below, so that the join can split a text of very many copies
-    once = texts.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
-    elements = written(_elements(once, window))
+def _met(pairs: DataFrame, elements: DataFrame) -> DataFrame:
+    """The pairs (a, b) with their elements x and y, their sizes n and m, and the number s of elements they share."""
     left = elements.select(F.col("digest").alias("a"), F.col("elements").alias("x"))
     right = elements.select(F.col("digest").alias("b"), F.col("elements").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", shared.alias("s"), F.size("x").alias("n"), F.size("y").alias("m"))
-    return written(both.where(F.col("s") >= threshold * (F.col("n") + F.col("m") - F.col("s"))).select("a", "b"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("s", F.size(F.array_intersect("x", "y")))
+    return both.withColumn("n", F.size("x")).withColumn("m", F.size("y"))
+
+
+def _similar(threshold: float) -> Column:
+    return F.col("s") >= threshold * (F.col("n") + F.col("m") - F.col("s"))
+
+
+def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of digests whose multiset Jaccard similarity is at least ``threshold``, stored."""
+    return written(_met(pairs, elements).where(_similar(threshold)).select("a", "b"))
+
+
+def _sharing_rare(open_: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """Every pair (a, b), of different classes, that may be similar, of texts that met a common leading text, stored.
+
+    ``open_`` holds (a, class, b) for texts a, their classes and leading texts b, which are no larger. Let a and c be similar and
+    met by b. If both are similar to b, they share its class. Else they share elements that b lacks: with the similarity
+    t they share at least t / (1 + t) of their sizes' sum, and within b no more than either of them does. A text that isn't
+    similar to b thus shares at least ``must`` of its elements outside b with any such partner, and so one of the first
+    |outside| - must + 1 of them, in any order. The order is by rarity among the texts that b met, so that elements of one text
+    alone come first and most texts have no other among them. Pairs whose parities differ too much are left out unseen.
+    """
+    met = _met(open_, elements).withColumn("near", _similar(threshold))
+    half = threshold / (1 + threshold)
+    must = F.ceil(half * (F.greatest(F.col("m"), threshold * F.col("n")) + F.col("n")) - F.col("s") - 1e-9)
+    count = F.when(F.col("near"), F.size("outside")).otherwise(F.size("outside") - F.greatest(must, F.lit(1)) + 1)
+    rare = met.withColumn("outside", F.array_except("x", "y")).withColumn("count", count.cast("int")).where("count > 0")
+    rare = rare.select("a", "class", "n", "near", "b", "count", F.size("outside").alias("outside"), F.explode("outside").alias("e"))
+    rare = written(rare.withColumn("key", F.xxhash64("b", "e")).drop("e"))
+    several = written(rare.groupBy("key").agg(F.count(F.lit(1)).alias("texts"), F.min("class").alias("p"), F.max("class").alias("q")).where("texts > 1"))
+    rare = rare.join(several, "key").withColumn("single", F.col("outside") - F.count(F.lit(1)).over(Window.partitionBy("a", "b")))
+    place = F.row_number().over(Window.partitionBy("a", "b").orderBy("texts", "key"))
+    # an element that only one class has outside b can't join two
+    rare = rare.withColumn("place", place).where("place <= count - single and p != q").select("key", "a", "class", "n", "near")
+    rare = written(rare.join(elements.select(F.col("digest").alias("a"), "parity"), "a"))
+    one, two = rare.alias("one"), rare.alias("two")
+    apart = (F.col("one.a") < F.col("two.a")) & (F.col("one.class") != F.col("two.class")) & ~(F.col("one.near") & F.col("two.near"))
+    apart &= (F.col("one.n") >= threshold * F.col("two.n")) & (F.col("two.n") >= threshold * F.col("one.n"))
+    differ = sum((F.bit_count(F.col("one.parity")[k].bitwiseXOR(F.col("two.parity")[k])) for k in range(PARITY_BITS // 64)), F.lit(0))
+    apart &= differ <= (1 - threshold) / (1 + threshold) * (F.col("one.n") + F.col("two.n")) + 1e-9
+    joined = one.join(two, (F.col("one.key") == F.col("two.key")) & apart)
+    return written(joined.select(F.col("one.a").alias("a"), F.col("two.a").alias("b")).distinct())
 
 
 def near_copies(
@@ -173,8 +220,9 @@ def near_copies(
     text_col: str = "text",
     window: int = 5,
     threshold: float = 0.8,
-    bands: int = 32,
+    bands: int = 24,
     rows: int = 4,
+    more_leads: int = 3,
 ) -> DataFrame:
     """Classes of near copies: (``id_col``, class_id, n_links), one row per row of ``documents``.
 
@@ -182,50 +230,53 @@ def near_copies(
     of their five-word windows have a Jaccard similarity of ``threshold`` or more; classes are the connected components, and
     class_id is the least ``id_col`` in one. n_links counts the links found from a text to other texts, each verified; texts that
     already share a class needn't all be compared. Equal texts share a class, null and empty ones theirs; texts of fewer than
-    five words are one window. Null ids keep their class. Bands of 4 of 128 positions miss a pair at 0.8 once in 10**7.
+    five words are one window. Null ids keep their class. Bands of 4 of 96 positions miss a pair at 0.8 three times in a million.
     """
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", _digest(F.col("text")))
     signed = written(_signed(texts.select("digest", "text"), bands, rows, window).dropDuplicates(["digest"]))
     buckets = signed.select("digest", "weight", F.explode("keys").alias("key"))
-    shared = written(buckets.groupBy("key").agg(F.min("digest").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = written(buckets.join(shared.select("key", "lead"), "key"))
+    # a bucket's leading text is its smallest
+    shared = buckets.groupBy("key").agg(F.min(F.struct("weight", "digest")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(buckets.join(written(shared.select("key", F.col("least.digest").alias("lead"))), "key").select("key", "digest", "lead"))
+    wanted = written(members.select("digest").distinct())  # stored, so that the join can split a text of very many copies
+    once = texts.select("digest", "text").join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    elements = written(_elements(once, window))
     led = written(
         members.where("digest != lead").groupBy(F.col("digest").alias("a"), F.col("lead").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     )
-    pool = texts.select("digest", "text")
     # each text first meets the leading text with which it shares most bands
-    closest = led.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-    links = _verified(closest, pool, window, threshold)
+    closest = written(led.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b")))
+    links = _verified(closest, elements, threshold)
     label = components(links)
-    # then the other leading texts, if they are of another class
+    # then its other leading texts, if they are of another class
     others = led.select("a", "b").join(closest, ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(_apart(others, label), pool, window, threshold))
+    links = links.unionByName(_verified(_apart(others, label), elements, threshold))
+    # then, in buckets of several classes, the closest of texts drawn to lead each bucket anew
+    for turn in range(more_leads):
+        named = _classed(members, components(links))
+        drawn = named.groupBy("key").agg(F.min_by(F.struct("digest", "class"), F.xxhash64("digest", "key", F.lit(turn))).alias("d"))
+        drawn = written(drawn.select("key", F.col("d.digest").alias("b"), F.col("d.class").alias("other")))
+        shares = named.join(drawn, "key").where("class != other").groupBy(F.col("digest").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
+        nearest = shares.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+        links = links.unionByName(_verified(nearest, elements, threshold))
+    # at last the texts of a bucket that are still apart meet over what its leading text lacks
+    named = _classed(members, components(links))
+    open_ = named.where("digest != lead").select(F.col("digest").alias("a"), "class", F.col("lead").alias("b")).distinct()
+    links = written(links.unionByName(_verified(_sharing_rare(open_, elements, threshold), elements, threshold)))
     label = components(links)
-    # at last every two texts of a bucket that are still apart and share two bands or more
-    named = members.join(label, F.col("digest") == F.col("node"), "left").select(
-        "key", "digest", "weight", F.coalesce("component", "digest").alias("class")
-    )
-    named = written(named)
-    split = named.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y").select("key")
-    open_ = named.join(split, "key", "left_semi")
-    one, two = open_.alias("one"), open_.alias("two")
-    near = F.col("one.weight") >= threshold * F.col("two.weight")
-    near &= F.col("two.weight") >= threshold * F.col("one.weight")
-    rest = (
-        one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.digest") < F.col("two.digest")) & (F.col("one.class") != F.col("two.class")) & near)
-        .groupBy(F.col("one.digest").alias("b"), F.col("two.digest").alias("a"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("a", "b")
-        .join(led.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    links = written(links.unionByName(_verified(rest, pool, window, threshold)))
-    label = written(components(links))
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     return _labelled(texts.select("id", "digest"), label.join(degree, "node"), id_col)
 
 
+def _classed(members: DataFrame, label: DataFrame) -> DataFrame:
+    """The members (key, digest, lead, class) of the buckets that hold more than one class, stored."""
+    named = members.join(written(label), F.col("digest") == F.col("node"), "left")
+    named = written(named.select("key", "digest", "lead", F.coalesce("component", "digest").alias("class")))
+    split = written(named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).where("p != q").select("key"))
+    return written(named.join(split, "key", "left_semi"))
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components."""
     of_a = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
