@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendrisk.llm.bpe import WordStore
-from lendrisk.llm.pretokens import pretokens, slices, spread
+from lendrisk.llm.bpe import encode, vocabulary
+from lendrisk.llm.pretokens import slices
 from lendrisk.llm.words import mix
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -83,42 +83,6 @@ class PerfectHash:
         return out
 
 
-@functools.cache
-def _tokenizer_words(path: str) -> WordStore:
-    """Ids of pre-tokens by the tokenizers library, kept for the life of a Python worker."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-
-    def work(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [x.ids for x in tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((k for x in ids for k in x), np.int64, int(length.sum())), length
-
-    return WordStore(work)
-
-
-@functools.cache
-def _specials(path: str) -> bytes | None:
-    from tokenizers import Tokenizer
-
-    return next((t.content.encode() for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()), None)
-
-
-def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts (null: empty) by the tokenizers library, in one array, and each text's first id plus the end.
-
-    The library encodes each pre-token apart from its neighbours, so every distinct one is handed to it once.
-    """
-    store = _tokenizer_words(path)
-    cut = pretokens(texts, _specials(path))
-    row = store.places(cut.words)[cut.index]
-    length = store.length[row]
-    return store.flat[spread(store.start[row], length)], np.r_[0, np.cumsum(length)][cut.first]
-
-
 def _shard(part: int, seq: int, start: int, width: int, rows: list[tuple[object, int, np.ndarray]]) -> dict[str, object]:
     """A shard of (key, key's hash, ids) rows in order of the key."""
     hashes = np.array([h for _, h, _ in rows], np.int64).view(np.uint64)
@@ -149,6 +113,9 @@ def write_ids(
 ) -> None:
     """Encode every whole text, append ``end_id``, and write the ids in ascending order of ``id_col`` to ``folder``.
 
+    ``path`` is a byte-level BPE file of the tokenizers library, and the ids are that library's; the merges are run in batches
+    over distinct words (``bpe.encode``), which takes a third less time than handing the library each word.
+
     Null and empty texts are the end id alone. Rows that repeat an id stay together, ordered by their text; a null id comes
     first. An empty table writes an empty store. A task holds one shard at a time: ``shard_ids`` ids and one id's rows more.
     """
@@ -157,9 +124,8 @@ def write_ids(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
-        from tokenizers import Tokenizer
 
-        width = 2 if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        width = 2 if max(vocabulary(path).size, end_id + 1) <= 1 << 16 else 4
         part, seq, start, held = TaskContext.get().partitionId(), 0, 0, 0
         open_: list[tuple[object, int, np.ndarray]] = []
         key_type = to_arrow_type(kind)
