@@ -19,7 +19,9 @@ ORACLE_SQL = None
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the fertility rules keep."""
     importable(spark)
-    return fertility.fertility_rules(docs).where("kept").select(docs.columns)
+    # the whole row in one column, so that none of its columns meets a measure of the same name
+    rows = docs.select(F.struct("*").alias("_doc"), "text", "lang")
+    return fertility.fertility_rules(rows, keep_text=False).where("kept").select("_doc.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +51,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rates = soft_mixing.mixed(docs, labelled_languages(docs, labels))
-    return rates.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
+    rates = soft_mixing.mixed(rows, labelled_languages(docs, labels), keep_text=False)
+    return rates.where("copies > 0").select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -254,6 +254,8 @@ def near_copies(
     # then, in buckets of several classes, the closest of texts drawn to lead each bucket anew
     for turn in range(more_leads):
         named = _classed(members, components(links))
+        if named.isEmpty():
+            break
         drawn = named.groupBy("key").agg(F.min_by(F.struct("digest", "class"), F.xxhash64("digest", "key", F.lit(turn))).alias("d"))
         drawn = written(drawn.select("key", F.col("d.digest").alias("b"), F.col("d.class").alias("other")))
         shares = named.join(drawn, "key").where("class != other").groupBy(F.col("digest").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
@@ -273,7 +275,7 @@ def _classed(members: DataFrame, label: DataFrame) -> DataFrame:
     """The members (key, digest, lead, class) of the buckets that hold more than one class, stored."""
     named = members.join(written(label), F.col("digest") == F.col("node"), "left")
     named = written(named.select("key", "digest", "lead", F.coalesce("component", "digest").alias("class")))
-    split = written(named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).where("p != q").select("key"))
+    split = named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).where("p != q").select("key")
     return written(named.join(split, "key", "left_semi"))
 
 

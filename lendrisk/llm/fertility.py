@@ -208,7 +208,7 @@ def judged(measures: DataFrame, band: DataFrame, *, group_col: str = "lang", rea
     for m in MEASURES:
         stray = F.sqrt("n_tokens") * F.abs(F.col(m) - F.col(f"{m}_mid"))
         inside &= F.coalesce(stray <= reach[m] * F.col(f"{m}_spread"), F.lit(True))
-    return joined.select(*measures.columns, (~F.col("base_failed") & inside).alias("kept"))
+    return joined.select(*(c for c in measures.columns if c != "kept"), (~F.col("base_failed") & inside).alias("kept"))
 
 
 def fertility_rules(documents: DataFrame, *, group_col: str = "lang", text_col: str = "text", keep_text: bool = True, **paths: str) -> DataFrame:

@@ -27,12 +27,12 @@ class DomainModel:
     """Softmax weights over latent vectors, a bias last; ``domains`` are in the order of the posterior."""
 
     domains: tuple[str, ...]
-    projection: latent.Projection
+    projection: latent.Projection | None
     weights: np.ndarray
 
     def posteriors(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros((len(texts), len(self.domains)))
-        for a, b, rows in self.projection.of_texts(texts):
+        for a, b, rows in self.projection.of_texts(texts) if self.projection else ():
             out[a:b] = softmax(np.c_[rows, np.ones(len(rows))] @ self.weights)
         return out
 
@@ -56,7 +56,8 @@ def fit_domains(
     """Learn domains from ``labelled`` (``id_col``, ``domain_col``): at most ``most`` texts of each, spread by a hash of the id.
 
     Null domains and labels of ids without a document are left out; an id with several domains counts for the least of them.
-    Raises if there is no labelled text, or more than ``most_domains`` domains: both bound what the driver holds.
+    Without any labelled text the model knows no domain. Raises if there are more than ``most_domains``, which bounds what the
+    driver holds.
     """
     marks = labelled.select(F.col(id_col).alias("_id"), F.col(domain_col).cast("string").alias("_domain")).where("_domain is not null and _id is not null")
     marks = marks.groupBy("_id").agg(F.min("_domain").alias("_domain"))
@@ -67,7 +68,7 @@ def fit_domains(
     rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_domain").agg(F.min("_text").alias("_text"))
     counts, found, _ = latent.collected_counts(rows, "_text", "_domain")
     if not found:
-        raise ValueError("no labelled document")
+        return DomainModel((), None, np.zeros((0, 0)))
     domains = tuple(sorted(set(found)))
     projection = latent.fit(counts, dimensions)
     x = np.c_[projection.rows(counts), np.ones(len(found))].astype(np.float64)
@@ -118,7 +119,7 @@ def fit_rates(
     d = len(targets)
     n = F.col("n_tokens").cast("double")
     total = members.agg(F.sum(n)).first()[0] or 0.0
-    if not total:
+    if not total or not d:
         return members.withColumn("rate", F.lit(1.0)), [0.0] * d
     share = n / total
     p = [F.col("posterior")[k] for k in range(d)]
@@ -163,16 +164,16 @@ def mixed(
     """``documents`` with n_tokens, posterior, domain (the likeliest), rate and copies.
 
     ``targets`` gives domains their weights, in any unit; without it all are equal. Domains that ``targets`` doesn't name
-    get 0. Null and empty texts have no tokens, so that their rate moves nothing; repeated rows get equal rates. An empty table
-    or a table of empty texts keeps rate 1. Columns of ``documents`` that bear a result's name are replaced.
+    get 0. Null and empty texts have no tokens, so that their rate moves nothing; repeated rows get equal rates. An empty table,
+    a table of empty texts and one without labelled texts keep rate 1. Columns of ``documents`` that bear a result's name are replaced.
     """
     model = fit_domains(documents, labelled, id_col=id_col, text_col=text_col, domain_col=domain_col)
     wanted = np.array([targets.get(x, 0.0) if targets else 1.0 for x in model.domains])
-    if wanted.sum() <= 0 or (wanted < 0).any():
+    if model.domains and (wanted.sum() <= 0 or (wanted < 0).any()):
         raise ValueError("targets must be nonnegative and name a learnt domain")
     members = memberships(documents, model, text_col=text_col)
     members = written(members if keep_text else members.drop(text_col))
-    rows, _ = fit_rates(members, (wanted / wanted.sum()).tolist(), **options)
+    rows, _ = fit_rates(members, (wanted / max(wanted.sum(), 1e-300)).tolist(), **options)
     likeliest = F.array_position("posterior", F.array_max("posterior")).cast("int")
-    domain = F.element_at(F.array(*map(F.lit, model.domains)), likeliest)
+    domain = F.element_at(F.array(*map(F.lit, model.domains)), likeliest) if model.domains else F.lit(None).cast("string")
     return rows.withColumn("domain", domain).withColumn("copies", copies_of(F.col("rate"), F.col(id_col)))
