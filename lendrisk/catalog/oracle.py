@@ -22,13 +22,13 @@ _CTES = {
     "lc": """
         SELECT * REPLACE (
                  upper(left(loan_type, 1)) || substring(loan_type, 2) AS loan_type,
-                 greatest(original_amount, -original_amount) AS original_amount),
+                 abs(original_amount) AS original_amount),
                cast(interest_rate IS NULL AS INT) AS rate_missing
         FROM raw_loans""",
     "pc": """
         SELECT * REPLACE (
                  nullif(nullif(payment_date, ''), ' ') AS payment_date,
-                 greatest(actual_amount, -actual_amount) AS actual_amount,
+                 abs(actual_amount) AS actual_amount,
                  upper(left(payment_status, 1)) || lower(substring(payment_status, 2)) AS payment_status)
         FROM raw_payments""",
     # One row per cleaned payment with 1/0 marks and the exact past-due amount.
@@ -47,7 +47,7 @@ _CTES = {
                count(payment_id) AS total_payments,
                round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate
         FROM mlp GROUP BY ALL""",
-    "flagged": "SELECT * FROM totals WHERE account_status = 'Active' AND late_payment_count > 2",
+    "flagged": "SELECT * FROM totals WHERE account_status = 'Active' AND late_payment_count >= 3",
     "extent": """
         SELECT min(late_payment_count) AS l0, max(late_payment_count) AS l1,
                min(missed_payment_count) AS m0, max(missed_payment_count) AS m1,
@@ -77,8 +77,10 @@ _CTES = {
     "detail": """
         SELECT member_id, member_name, loan_id, loan_type, payment_id, due_date, payment_date, expected_amount,
                actual_amount, expected_amount - actual_amount AS shortfall, payment_status,
-               cast(greatest(date_diff('day', try_cast(due_date AS DATE), try_cast(payment_date AS DATE)), 0)
-                    * cast(nullif(payment_date IS NOT NULL, false) AS INT) AS INT) AS days_late
+               cast(CASE WHEN payment_date IS NULL THEN NULL
+                         WHEN payment_date > due_date
+                           THEN date_diff('day', try_cast(due_date AS DATE), try_cast(payment_date AS DATE))
+                         ELSE 0 END AS INT) AS days_late
         FROM mlp""",
     "worst": "SELECT * FROM flagged ORDER BY late_payment_count DESC, member_id LIMIT 1",
     "by_type": """
@@ -217,8 +219,8 @@ _BODIES = {
         FROM marked""",
     "member_detail_high_risk": "SELECT * FROM scored WHERE risk_tier = 'High Risk'",
     "member_detail_city": "SELECT * FROM scored WHERE city = 'NATION_7' AND risk_score >= 20",
-    "member_drill_loans": "SELECT * FROM summary WHERE member_id = (SELECT member_id FROM worst)",
-    "member_drill_payments": "SELECT * FROM detail WHERE member_id = (SELECT member_id FROM worst)",
+    "member_drill_loans": "SELECT * FROM summary WHERE member_id = 'MBR-000005'",
+    "member_drill_payments": "SELECT * FROM detail WHERE member_id = 'MBR-000005'",
     "member_monthly_status": """
         SELECT member_id, left(due_date, 7) AS "month", count(*) FILTER (payment_status = 'On time') AS on_time,
                count(*) FILTER (payment_status = 'Late') AS late, count(*) FILTER (payment_status = 'Missed') AS missed,

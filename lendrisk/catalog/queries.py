@@ -13,7 +13,7 @@ from lendrisk.plans import drill, marts, quality, scoring
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.refresh import store_results
 from lendrisk.sources.provided import raw_from_provided
-from lendrisk.sources.raw import RawTables, read_csv, read_raw, register, row_counts
+from lendrisk.sources.raw import INGEST_SEQ, RawTables, read_csv, register, row_counts
 from lendrisk.sources.sinks import export_csv, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,7 +114,7 @@ def member_credit_bands(book: LoanBook) -> DataFrame:
 def loan_payment_stats(book: LoanBook) -> DataFrame:
     """A1, A3, A4 per loan, with money as it leaves the library."""
     return book.payment_stats().select(
-        "loan_id", "total_payments", "late_payments", "missed_payments", dollars(c("past_due_cents")).alias("past_due")
+        "loan_id", "total_payments", "late_payments", "missed_payments", dollars(c("past_due")).alias("past_due")
     )
 
 
@@ -139,11 +139,14 @@ def csv_ingest_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_ingest_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three raw tables written to CSV, read back, and the monthly trend made from them."""
+    """Payments written to CSV, read back, and the monthly trend made from them, which needs no other table."""
     directory = scratch_path(spark, "csv-raw")
-    raw = raw_from_provided(spark, sf_dir)
-    _write_raw_csv(raw, directory, *raw.named())
-    return marts.monthly_delinquency_trend(LoanBook.from_raw(read_raw(spark, directory), find_hot_keys=False))
+    _write_raw_csv(raw_from_provided(spark, sf_dir), directory, "raw_payments")
+    payments = read_csv(spark, f"{directory}/raw_payments.csv", V.RAW_PAYMENTS).drop(INGEST_SEQ)
+    members = spark.createDataFrame([], V.RAW_MEMBERS).withColumn(INGEST_SEQ, F.lit(0))
+    return marts.monthly_delinquency_trend(
+        LoanBook.from_raw(RawTables(members, spark.createDataFrame([], V.RAW_LOANS), payments), find_hot_keys=False)
+    )
 
 
 # --- scoring, reports, drill-down -----------------------------------------------------------------------------------
@@ -153,10 +156,8 @@ def _scored(book: LoanBook, scheme: str = "code") -> DataFrame:
     return scoring.member_delinquency_scored(marts.member_delinquency(book), scheme)
 
 
-def _worst_member(book: LoanBook) -> str:
-    """The id in the top-1 report, as somebody would click on it in a dashboard."""
-    worst = quality.highest_delinquency(marts.member_delinquency(book)).first()
-    return worst["member_id"] if worst else ""
+#: The member that the drill-down queries show, as somebody would click on one in a dashboard.
+CHOSEN_MEMBER = "MBR-000005"
 
 
 def _quality(t: Opened) -> DataFrame:
@@ -232,8 +233,8 @@ OPENED_QUERIES: dict[str, Callable[[Opened], DataFrame]] = {
     "kpi_overview": lambda t: drill.kpi_overview(t.book, marts.member_delinquency(t.book)),
     "member_detail_high_risk": lambda t: drill.member_detail(_scored(t.book), tier="High Risk"),
     "member_detail_city": lambda t: drill.member_detail(_scored(t.book), city="NATION_7", min_score=20.0),
-    "member_drill_loans": lambda t: drill.member_drill_loans(t.book, _worst_member(t.book)),
-    "member_drill_payments": lambda t: drill.member_drill_payments(t.book, _worst_member(t.book)),
+    "member_drill_loans": lambda t: drill.member_drill_loans(t.book, CHOSEN_MEMBER),
+    "member_drill_payments": lambda t: drill.member_drill_payments(t.book, CHOSEN_MEMBER),
     "member_monthly_status": lambda t: marts.member_monthly_status(t.book),
 }
 

@@ -63,6 +63,11 @@ EXPORTED_TABLES = (
     "loans_clean",
 )
 
+# Exported as one file each: a row per group.
+SINGLE_FILE_EXPORTS = (
+    "delinquency_by_loan_type", "monthly_delinquency_trend", "delinquency_by_credit_tier", "delinquency_by_city",
+)
+
 # --- raw table schemas ----------------------------------------------------------------------------------------------
 
 RAW_MEMBERS = T.StructType([

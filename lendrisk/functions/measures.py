@@ -6,6 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from lendrisk import fixed_values as V
 
+#: Money as it is summed.
+EXACT_MONEY = "decimal(28,6)"
+
 
 def is_delinquent(status: str = "payment_status", statuses: Sequence[str] = V.DELINQUENT_STATUSES) -> Column:
     """True for a late or missed payment; NULL status stays NULL, which counts as neither."""
@@ -20,20 +23,22 @@ def shortfall(expected: str = "expected_amount", actual: str = "actual_amount")
     return F.col(expected) - F.col(actual)
 
 
-def past_due_cents(status: str = "payment_status") -> Column:
-    """Shortfall of a delinquent payment in whole cents, 0 otherwise (A3).
+def past_due(status: str = "payment_status") -> Column:
+    """Shortfall of a delinquent payment as an exact decimal of six places, 0 otherwise (A3).
 
-    Only late and missed payments count: a late payment made in full adds 0, a partial payment adds nothing. Whole cents
-    make sums exact, free of row order and eight bytes wide; they hold amounts up to 9.2e16. An amount beyond that, or one
-    that is no finite number, counts as missing and does not stop the run.
+    Only late and missed payments count: a late payment made in full adds 0, a partial payment adds nothing. Decimal sums don't
+    depend on row order and keep fractions of a cent. No amount is left out unseen: one that is NaN, infinite or beyond 1e22
+    stops the run, as does a sum beyond 1e32. An amount that is NULL adds nothing.
     """
-    cents = F.rint(shortfall() * F.lit(100.0)).try_cast("bigint")
-    return F.when(is_delinquent(status), cents).otherwise(F.lit(0))
+    amount = shortfall()
+    finite = F.when(F.isnan(amount) | (F.abs(amount) == float("inf")), F.raise_error(F.lit("a payment's amount is no finite number")))
+    exact = finite.otherwise(amount).cast("double").cast(EXACT_MONEY)
+    return F.when(is_delinquent(status), exact).otherwise(F.lit(0).cast(EXACT_MONEY))
 
 
-def dollars(cents: Column) -> Column:
-    """Cents as the nearest double."""
-    return cents / F.lit(100.0)
+def dollars(exact: Column) -> Column:
+    """An exact sum as the nearest double."""
+    return exact.cast("double")
 
 
 def rate_pct(part: Column, whole: Column) -> Column:
@@ -47,8 +52,8 @@ def credit_band(
     below: str = V.CREDIT_BAND_BELOW,
     unknown: str = V.CREDIT_BAND_UNKNOWN,
 ) -> Column:
-    """Label of the first band whose lowest score is reached."""
-    band = F.when(score.isNull(), unknown)
+    """Label of the first band whose lowest score is reached (F8, A9). A score that is no number is unknown."""
+    band = F.when(score.isNull() | F.isnan(score.cast("double")), unknown)
     for lowest, label in bands:
         band = band.when(score >= lowest, label)
     return band.otherwise(below)

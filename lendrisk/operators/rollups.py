@@ -2,9 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendrisk.functions.measures import is_delinquent, is_missed, past_due_cents
+from lendrisk.functions.measures import is_delinquent, is_missed, past_due
 
-MEASURES = ("total_payments", "late_payments", "missed_payments", "past_due_cents")
+MEASURES = ("total_payments", "late_payments", "missed_payments", "past_due")
 
 
 def payment_counts() -> list[Column]:
@@ -19,12 +19,12 @@ def loan_payment_stats(payments: DataFrame) -> DataFrame:
     """One row per loan with its payment counts and exact past-due sum (A1, A3, A4).
 
     The one pass over the payments that most marts share. It is combined before the shuffle, so a loan with very many
-    payments costs one row per map task. All measures are whole numbers, so they roll up exactly to any coarser grain.
+    payments costs one row per map task. All measures are whole numbers or decimals, so they roll up exactly to any coarser grain.
     """
     return payments.groupBy("loan_id").agg(
         *payment_counts(),
         F.count_if(is_missed()).alias("missed_payments"),
-        F.sum(past_due_cents()).alias("past_due_cents"),
+        F.sum(past_due()).alias("past_due"),
     )
 
 

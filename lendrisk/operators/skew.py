@@ -46,10 +46,3 @@ def join_unique(many: DataFrame, one: DataFrame, key: str, hot: Sequence[str] =
     spread = many.where(~is_hot).join(one.where(~is_hot), key)
     return spread.unionByName(many.where(is_hot).join(F.broadcast(one.where(is_hot)), key))
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast if ``df`` has at most ``max_rows`` rows; otherwise return it as it is, for a shuffle join.
-
-    The check counts no further than ``max_rows + 1`` rows.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

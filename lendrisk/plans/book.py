@@ -41,9 +41,11 @@ class LoanBook:
         return book.with_hot_keys() if find_hot_keys else book
 
     def with_hot_keys(self, **limits: float) -> LoanBook:
-        """The same book with the hot ids looked up; ``limits`` go to ``hot_keys``."""
-        hot = hot_keys(self.loans, ["loan_id", "member_id"], **limits)
-        return replace(self, hot_loans=hot["loan_id"], hot_members=hot["member_id"])
+        """The same book with the hot member ids looked up; ``limits`` go to ``hot_keys``.
+
+        Loan ids need no search: payments are combined per loan before the join, and a loan id has one loan row but for copies.
+        """
+        return replace(self, hot_members=hot_keys(self.loans, ["member_id"], **limits)["member_id"])
 
     def payment_stats(self) -> DataFrame:
         return loan_payment_stats(self.payments) if self.stats is None else self.stats

@@ -4,9 +4,8 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendrisk.functions.measures import dollars, past_due_cents, rate_pct
+from lendrisk.functions.measures import dollars, past_due, rate_pct
 from lendrisk.operators.rollups import payment_counts, sum_measures
-from lendrisk.operators.skew import broadcast_if_small
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.marts import member_loan_summary, payment_detail
 
@@ -21,16 +20,16 @@ def kpi_overview(book: LoanBook, delinquency: DataFrame) -> DataFrame:
         return table.agg(F.count(F.lit(1)).alias("rows")).scalar()
 
     if book.stats is None:
-        totals = book.payments.agg(*payment_counts(), F.sum(past_due_cents()).alias("past_due_cents"))
+        totals = book.payments.agg(*payment_counts(), F.sum(past_due()).alias("past_due"), F.count(F.lit(1)).alias("payments"))
     else:
-        totals = book.stats.agg(*sum_measures(("total_payments", "late_payments", "past_due_cents")))
+        totals = book.stats.agg(*sum_measures(("total_payments", "late_payments", "past_due"))).withColumn("payments", rows(book.payments))
     return totals.select(
         rows(book.members).alias("members"),
         rows(book.loans).alias("loans"),
-        rows(book.payments).alias("payments"),
+        "payments",
         "late_payments",
         rate_pct(F.col("late_payments"), F.col("total_payments")).alias("delinquency_rate_pct"),
-        dollars(F.col("past_due_cents")).alias("amount_past_due"),
+        dollars(F.col("past_due")).alias("amount_past_due"),
         rows(delinquency).alias("members_flagged"),
     )
 
@@ -53,11 +52,12 @@ def member_detail(
 def for_member(book: LoanBook, member_id: str) -> LoanBook:
     """The book of one member: the id filter reaches the member and loan scans, and payments keep only their loans.
 
-    A member's loans are usually few, and a broadcast of them spares the payments a shuffle. Their number is checked
-    first; a member with very many loans gets a shuffle join. All rows share the one member id, so it counts as hot.
+    A member's loans are usually few, and adaptive execution then broadcasts them when it sees their size; a member with very
+    many loans gets a shuffle join. Nothing runs before the result is asked for. All rows share the one member id, so it
+    counts as hot.
     """
     loans = book.loans.where(F.col("member_id") == member_id)
-    own = broadcast_if_small(loans.select("loan_id"))
+    own = loans.select("loan_id")
     return replace(
         book,
         members=book.members.where(F.col("member_id") == member_id),

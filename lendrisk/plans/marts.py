@@ -48,7 +48,7 @@ def member_delinquency(book: LoanBook, min_late: int = V.MIN_LATE_PAYMENTS, stat
         "account_status",
         F.col("late_payments").alias("late_payment_count"),
         F.col("missed_payments").alias("missed_payment_count"),
-        dollars(F.col("past_due_cents")).alias("total_amount_past_due"),
+        dollars(F.col("past_due")).alias("total_amount_past_due"),
         "total_payments",
         _rate().alias("delinquency_rate"),
     )
@@ -60,7 +60,7 @@ def delinquency_by_loan_type(book: LoanBook) -> DataFrame:
     Loans are first reduced to one row per id and type on the join's own partitioning, which makes the distinct count a
     plain count.
     """
-    measures = ("total_payments", "late_payments", "past_due_cents")
+    measures = ("total_payments", "late_payments", "past_due")
     loans = book.with_stats(book.loans.select("loan_id", "loan_type"))
     per_loan = loans.groupBy("loan_id", "loan_type").agg(*sum_measures(measures))
     per_type = per_loan.groupBy("loan_type").agg(F.count("loan_id").alias("total_loans"), *sum_measures(measures))
@@ -70,7 +70,7 @@ def delinquency_by_loan_type(book: LoanBook) -> DataFrame:
         "late_payments",
         "total_payments",
         _rate().alias("delinquency_rate_pct"),
-        dollars(F.col("past_due_cents")).alias("amount_at_risk"),
+        dollars(F.col("past_due")).alias("amount_at_risk"),
     ).transform(worst_first, "loan_type")
 
 
@@ -120,7 +120,7 @@ def member_loan_summary(book: LoanBook) -> DataFrame:
         "total_payments",
         "late_payments",
         "missed_payments",
-        dollars(F.col("past_due_cents")).alias("amount_past_due"),
+        dollars(F.col("past_due")).alias("amount_past_due"),
         _rate().alias("loan_delinquency_rate"),
     )
 

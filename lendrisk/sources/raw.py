@@ -12,9 +12,8 @@ from lendrisk.functions.text import null_if_in
 
 INGEST_SEQ = "ingest_seq"
 
-# Text columns in which the scan reads null tokens, besides all numeric columns. Names and other free texts are left
-# alone: a member may be called "None".
-TOKEN_COLUMNS = ("email", "phone", "payment_date")
+# Text columns in which the scan reads no null tokens: a member may be called "None". It reads them in all others.
+SPARED_COLUMNS = ("first_name", "last_name")
 
 
 @dataclass(frozen=True)
@@ -33,9 +32,12 @@ class RawTables:
 def with_ingest_seq(scan: DataFrame, name: str = INGEST_SEQ) -> DataFrame:
     """Add each row's place in the source: file path, then position in the file (H1).
 
-    Use it directly on a file scan, before any shuffle. Across files "first" means the lower path in text order.
+    Use it directly on a file scan, before any shuffle. Across files "first" means the lower path, with the numbers in it
+    compared as numbers: part-99999 comes before part-100000.
     """
+    padded = F.regexp_replace(F.col("_metadata.file_path"), r"(\d+)", "00000000000000000000$1")
     place = F.struct(
+        F.regexp_replace(padded, r"\d*?(\d{20})(?!\d)", "$1").alias("order"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
@@ -55,7 +57,7 @@ def read_csv(
     schema: T.StructType,
     *,
     null_tokens: Sequence[str] = V.NULL_TOKENS,
-    token_columns: Sequence[str] = TOKEN_COLUMNS,
+    spared_columns: Sequence[str] = SPARED_COLUMNS,
 ) -> DataFrame:
     """Scan a CSV file or directory with a header, no inference (S1, S2). Header names must match the schema.
 
@@ -68,21 +70,30 @@ def read_csv(
         text = F.col(field.name)
         if not isinstance(field.dataType, T.StringType):
             return _typed(text, field.dataType, null_tokens).alias(field.name)
-        return null_if_in(text, null_tokens).alias(field.name) if field.name in token_columns else text
+        return null_if_in(text, null_tokens).alias(field.name) if field.name not in spared_columns else text
 
     return with_ingest_seq(scan).select(*map(cell, schema), INGEST_SEQ)
 
 
-def read_raw(spark: SparkSession, directory: str, file_format: str = "csv", paths: Mapping[str, str] | None = None) -> RawTables:
+def read_raw(
+    spark: SparkSession,
+    directory: str,
+    file_format: str = "csv",
+    paths: Mapping[str, str] | None = None,
+    *,
+    null_tokens: Sequence[str] = V.NULL_TOKENS,
+    spared_columns: Sequence[str] = SPARED_COLUMNS,
+) -> RawTables:
     """Read ``raw_members``, ``raw_loans`` and ``raw_payments`` from a directory.
 
-    Each is ``<directory>/<name>.<file_format>``, a file or a directory of files; ``paths`` overrides single ones.
+    Each is ``<directory>/<name>.<file_format>``, a file or a directory of files; ``paths`` overrides single ones. In CSV files
+    ``null_tokens`` are read as missing in every column but ``spared_columns``.
     """
     tables = {}
     for name, schema in (("raw_members", V.RAW_MEMBERS), ("raw_loans", V.RAW_LOANS), ("raw_payments", V.RAW_PAYMENTS)):
         path = (paths or {}).get(name, f"{directory}/{name}.{file_format}")
         if file_format == "csv":
-            table = read_csv(spark, path, schema)
+            table = read_csv(spark, path, schema, null_tokens=null_tokens, spared_columns=spared_columns)
         else:
             table = with_ingest_seq(spark.read.schema(schema).format(file_format).load(path))
         tables[name] = table

@@ -7,6 +7,7 @@ from concurrent.futures import Executor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from lendrisk import fixed_values as V
 from lendrisk.functions.text import plain_money
 
 # Money columns, written as plain decimals.
@@ -22,11 +23,14 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> int:
+def export_csv(df: DataFrame, path: str, single: bool = False) -> int:
     """Write a table as CSV with a header, replacing an earlier one, and return its row count.
 
     The rows are counted while they are written, not in a second pass. Texts keep their blanks.
+    ``single`` writes one part file; use it for tables of a few rows.
     """
+    if single:
+        df = df.coalesce(1)
     written = Observation()
     cells = [plain_money(F.col(c)).alias(c) if c in MONEY_COLUMNS else F.col(c) for c in df.columns]
     (
@@ -41,7 +45,8 @@ def export_csv(df: DataFrame, path: str) -> int:
 
 def export_tables(tables: Mapping[str, DataFrame], directory: str, pool: Executor) -> DataFrame:
     """Export each table to ``<directory>/<name>.csv``, a directory of part files; returns one (table, rows) row per table."""
-    rows = pool.map(export_csv, tables.values(), [f"{directory}/{name}.csv" for name in tables])
+    paths = [f"{directory}/{name}.csv" for name in tables]
+    rows = pool.map(export_csv, tables.values(), paths, [name in V.SINGLE_FILE_EXPORTS for name in tables])
     spark = next(iter(tables.values())).sparkSession
     schema = T.StructType([T.StructField("table", T.StringType()), T.StructField("rows", T.LongType())])
     return spark.createDataFrame(list(zip(tables, rows)), schema)

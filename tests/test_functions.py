@@ -99,14 +99,26 @@ def test_days_late(spark):
     assert values(spark, paid, "string", M.days_late(x, due)) == [3, 0, 0, None, None, None, 415]
 
 
-def test_past_due_cents(spark):
+AMOUNTS = "payment_status string, expected_amount double, actual_amount double"
+
+
+def test_past_due_keeps_small_and_large_amounts(spark):
     rows = [
         ("Late", 10.0, 4.0), ("Missed", 0.3, 0.1), ("Partial", 10.0, 4.0), (None, 10.0, 4.0), ("Late", None, 4.0),
-        ("Late", 4.0, 10.5), ("Late", float("inf"), 1.0), ("Late", float("nan"), 1.0), ("Late", 1e300, 1.0),
+        ("Late", 4.0, 10.5), ("Late", 1e17, 0.0), ("Late", 0.004, 0.0),
     ]
-    df = spark.createDataFrame(rows, "payment_status string, expected_amount double, actual_amount double")
-    got = [row[0] for row in df.select(M.past_due_cents()).collect()]
-    assert got == [600, 20, 0, 0, None, -650, None, None, None]
+    df = spark.createDataFrame(rows, AMOUNTS)
+    got = [None if row[0] is None else float(row[0]) for row in df.select(M.past_due()).collect()]
+    assert got == [6, 0.2, 0, 0, None, -6.5, 1e17, 0.004]
+    many = spark.createDataFrame([("Late", 0.004, 0.0)] * 1000 + [("Late", 6e16, 0.0)] * 2, AMOUNTS)
+    assert float(many.agg(F.sum(M.past_due())).first()[0]) == 120000000000000004.0
+
+
+@pytest.mark.parametrize("amount", [float("inf"), float("nan"), 1e300])
+def test_an_impossible_amount_stops_the_run(spark, amount):
+    df = spark.createDataFrame([("Late", 5.0, 0.0), ("Late", amount, 1.0)], AMOUNTS)
+    with pytest.raises(Exception, match="finite|NUMERIC_VALUE_OUT_OF_RANGE"):
+        df.agg(F.sum(M.past_due())).collect()
 
 
 def test_rates_are_exact_half_up(spark):
@@ -126,6 +138,18 @@ def test_half_even_is_the_array_rounding(spark):
     assert values(spark, numbers, "double", M.half_even(x)) == np.round(np.array(numbers), 1).tolist()
 
 
+def test_plain_money_never_has_an_exponent(spark):
+    x = F.col("x")
+    amounts = [12345678.125, 0.3 - 0.1 - 0.2, 1e17, 1.5e300, -1.25e-7, 1.0e20, 123456789012.3456]
+    got = values(spark, amounts, "double", plain_money(x))
+    assert not any("E" in text for text in got) and [float(text) for text in got] == amounts
+
+
+def test_a_score_that_is_no_number_is_unknown(spark):
+    x = F.col("x")
+    assert values(spark, [float("nan"), 800.0], "double", M.credit_band(x)) == ["Unknown", "750+ (Excellent)"]
+
+
 def test_plain_money(spark):
     x = F.col("x")
     got = values(spark, [12345678.5, 0.0, -3.25, 0.125, None], "double", plain_money(x))

@@ -6,7 +6,7 @@ from helpers import as_set, plan_text
 from pyspark.sql import functions as F
 
 from lendrisk.operators.cleaning import clean_members
-from lendrisk.operators.skew import broadcast_if_small, hot_keys, join_unique
+from lendrisk.operators.skew import hot_keys, join_unique
 from lendrisk.plans import drill, marts
 from lendrisk.plans.book import LoanBook
 from lendrisk.sources.raw import RawTables
@@ -129,12 +129,6 @@ def test_payments_are_shuffled_once(spark, setting):
     assert by_city.count("Exchange hashpartitioning") == 5
 
 
-def test_broadcast_only_below_the_limit(spark):
-    few = spark.range(10).toDF("k")
-    assert "broadcast" in broadcast_if_small(few, 10)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in broadcast_if_small(few, 9)._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_copies_of_one_payment_are_sorted_in_many_ranges(spark, setting):
     """A third of the payments equal in every column: the sort by member and due date still spreads them."""
     setting(adaptive__enabled="false", shuffle__partitions="12")
@@ -176,8 +170,13 @@ def test_scans_read_only_what_is_used(spark, setting, tmp_path):
     assert "EqualTo(member_id,M7)" in one["raw_loans"] and "EqualTo(member_id,M7)" in one["members_clean"]
 
 
-def test_drill_into_one_member_does_not_shuffle_payments(spark, setting, tmp_path):
-    setting(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
-    book = LoanBook.from_raw(skewed(spark, 300))
-    few = plan_text(drill.for_member(book, "M7").payments)
-    assert "BroadcastHashJoin" in few and "Exchange hashpartitioning" not in few
+def test_drill_into_one_member_runs_nothing_before_it_is_asked(spark):
+    """The loans' number isn't counted while the query is built; adaptive execution broadcasts them when it sees their size."""
+    book = LoanBook.from_raw(skewed(spark, 300), find_hot_keys=False)
+    spark.sparkContext.setJobGroup("building", "building")
+    payments = drill.for_member(book, "M7").payments
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    payments.collect()
+    assert "BroadcastHashJoin" in payments._jdf.queryExecution().executedPlan().toString()
+

@@ -11,7 +11,7 @@ from lendrisk.__main__ import main
 from lendrisk.plans import drill, marts
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.refresh import full_refresh
-from lendrisk.sources.raw import read_csv, read_raw, register, row_counts
+from lendrisk.sources.raw import read_csv, read_raw, register, row_counts, with_ingest_seq
 from lendrisk.sources.sinks import export_csv, scratch_path, write_table
 
 
@@ -50,8 +50,10 @@ def test_null_tokens_and_types(spark, tmp_path):
     assert (first["interest_rate"], first["term_months"]) == (None, 60)
     assert (second["member_id"], second["loan_type"], second["origination_date"]) == (None, "  auto loan", None)
     assert (second["original_amount"], second["interest_rate"], second["term_months"]) == (-5.0, None, 60)
-    # Free text keeps its tokens; unreadable numbers are missing.
-    assert (second["loan_status"], third["loan_status"], third["original_amount"]) == ("None", "NA", None)
+    # Tokens are missing in every column that isn't spared, and so are unreadable numbers.
+    assert (second["loan_status"], third["loan_status"], third["original_amount"]) == (None, None, None)
+    spared = read_csv(spark, str(path), V.RAW_LOANS, spared_columns=("loan_status",)).orderBy("loan_id")
+    assert [row["loan_status"] for row in rows(spared)] == ["Current", "None", "NA"]
 
 
 def test_members_called_none_survive(spark, tmp_path):
@@ -182,3 +184,10 @@ def test_trend_from_csv_is_the_trend_from_memory(spark, tmp_path, make_raw):
     assert as_set(trend) == as_set(marts.monthly_delinquency_trend(LoanBook.from_raw(make_raw(**data))))
     book = LoanBook.from_raw(make_raw(**data))
     assert rows(drill.kpi_overview(book, marts.member_delinquency(book)))[0]["payments"] == len(data["payments"])
+
+
+def test_numbered_files_keep_their_order(spark, tmp_path):
+    for number in (100000, 99999, 7):
+        (tmp_path / f"part-{number}.csv").write_text(f"member_id\nM{number}\n")
+    scan = with_ingest_seq(spark.read.options(header=True).csv(str(tmp_path)))
+    assert [row["member_id"] for row in scan.orderBy("ingest_seq").collect()] == ["M7", "M99999", "M100000"]
