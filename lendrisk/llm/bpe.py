@@ -25,7 +25,7 @@ NO_RANK = np.int64(1) << 40
 #: Bytes above which a word is merged by a queue, whose cost doesn't grow with the square of the word.
 LONG_WORD = 1024
 #: Words kept from earlier batches, per Python worker.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 
 
 def _byte_symbols() -> dict[str, int]:

@@ -21,7 +21,7 @@ WHITE_SPACE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x
 #: What may follow an apostrophe as a pre-token of its own, in the pattern's order.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Text bytes taken at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 @functools.cache
