@@ -219,16 +219,18 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame, *, id_col: str = "
     nothing. Only the shards that the keys fall into are read further than their bounds.
     """
     store = spark.read.parquet(folder).withColumn("shard", F.struct("part", "seq"))
-    bounds = store.where("first is not null").select("part", "seq", "first").orderBy("part", "seq").limit(MOST_SHARDS + 1).collect()
+    bounds = store.select("part", "seq", "first").orderBy("part", "seq").limit(MOST_SHARDS + 1).collect()
     if len(bounds) > MOST_SHARDS:
         raise ValueError(f"more than {MOST_SHARDS} shards: write larger ones")
     kind = store.schema["first"].dataType.simpleString()
-    places = spark.sparkContext.broadcast(([b.first for b in bounds], [(b.part, b.seq) for b in bounds]))
+    # rows without an id come first, so at most the first shard begins with one
+    firsts = [b["first"] for b in bounds if b["first"] is not None]
+    places = spark.sparkContext.broadcast((firsts, [(b.part, b.seq) for b in bounds], len(bounds) - len(firsts)))
 
     @F.arrow_udf("struct<part:int,seq:int>")
     def shard_of(wanted: pa.Array) -> pa.Array:
-        firsts, shards = places.value
-        found = [shards[max(bisect_right(firsts, key) - 1, 0)] if shards else (-1, -1) for key in wanted.to_pylist()]
+        firsts, shards, unnamed = places.value
+        found = [shards[max(bisect_right(firsts, key) - 1 + unnamed, 0)] if shards else (-1, -1) for key in wanted.to_pylist()]
         return pa.array([{"part": part, "seq": seq} for part, seq in found], pa.struct([("part", pa.int32()), ("seq", pa.int32())]))
 
     asked = keys.select(F.col(id_col).cast(kind).alias("key")).where("key is not null").distinct()
