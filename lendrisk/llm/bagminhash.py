@@ -14,22 +14,28 @@ what the smallest text lacks. That step is exact: similar texts that aren't both
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendrisk.llm.components import components
 from lendrisk.llm.pretokens import slices
 from lendrisk.llm.scratch import written
-from lendrisk.llm.words import mix, words_of
+from lendrisk.llm.words import mix, word_hashes
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Texts whose windows are numbered together.
+MOST_TEXTS = 1 << 16
 #: Places of the parities that bound how similar two texts can be.
 PARITY_BITS = 2048
+#: Numbers of 64 such places that are compared first.
+FOLDS = 8
+#: Preceding elements by which a pair that has met before is known.
+LOOK_BACK = 32
 
 
 def _u64(x: int | np.ndarray) -> np.ndarray:
@@ -37,23 +43,31 @@ def _u64(x: int | np.ndarray) -> np.ndarray:
 
 
 def windows(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct windows of each text: (text, hash, count), by text and hash. A text of fewer words is one window."""
-    w = words_of(texts)
-    seen = [xxhash.xxh64_intdigest(x) for x in w.distinct.to_pylist()]
-    hashed = np.array(seen, np.uint64)[w.index] if seen else np.zeros(0, np.uint64)
-    n_words = np.diff(w.first)
-    n = np.where(n_words > 0, np.maximum(n_words - size + 1, 1), 0)
-    text = np.repeat(np.arange(len(n)), n)
-    at = np.repeat(w.first[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    end = w.first[1:][text]
-    value = np.full(len(at), 7, np.uint64)
-    for k in range(size):
-        inside = at + k < end
-        value = np.where(inside, mix(value * GOLDEN + hashed[np.minimum(at + k, len(hashed) - 1)]), value) if len(at) else value
-    order = np.lexsort((value, text))
-    text, value = text[order], value[order]
-    opens = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (value[1:] != value[:-1])]) if len(text) else np.zeros(0, np.int64)
-    return text[opens], value[opens], np.diff(np.r_[opens, len(text)])
+    """The distinct windows of each text: (text, hash, count), by text and hash. A text of fewer words is one window.
+
+    Hashes have 48 bits, so that a text's place and a hash make one number, and one sort of numbers finds equal windows.
+    """
+    if len(texts) > MOST_TEXTS:
+        parts = [windows(texts.slice(k, MOST_TEXTS), size) for k in range(0, len(texts), MOST_TEXTS)]
+        text, value, count = zip(*parts, strict=True)
+        return np.concatenate([x + k * MOST_TEXTS for k, x in enumerate(text)]), np.concatenate(value), np.concatenate(count)
+    hashed, first = word_hashes(texts)
+    n_words = np.diff(first)
+    text = np.repeat(np.arange(len(n_words)), n_words)
+    many = max(len(hashed) - size + 1, 0)
+    value = hashed[:many]
+    for k in range(1, size):
+        value = value * GOLDEN + hashed[k : k + many]
+    whole = text[:many] == text[size - 1 :] if many else np.zeros(0, bool)
+    few = np.flatnonzero((n_words > 0) & (n_words < size))
+    short = _u64(n_words[few])
+    for k in range(size - 1):
+        inside = n_words[few] > k
+        short[inside] = mix(short[inside] * GOLDEN + hashed[first[few[inside]] + k])
+    value = mix(np.concatenate([value[whole], short])) >> np.uint64(16)
+    key = np.sort((_u64(np.concatenate([text[:many][whole], few])) << np.uint64(48)) | value)
+    opens = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return (key[opens] >> np.uint64(48)).astype(np.int64), key[opens] & np.uint64(2**48 - 1), np.diff(np.r_[opens, len(key)])
 
 
 def signatures(text: np.ndarray, value: np.ndarray, count: np.ndarray, n: int, size: int) -> np.ndarray:
@@ -75,7 +89,7 @@ def signatures(text: np.ndarray, value: np.ndarray, count: np.ndarray, n: int, s
     owner, covered = text[who], count[who]
     time, drawn = np.zeros(len(who)), np.zeros(len(who), np.uint64)
     # by this time most texts have a point on every position; the others get more time
-    limit = np.where(weight > 0, (np.log(size) + 3) / np.maximum(weight, 1), 0.0)
+    limit = np.where(weight > 0, (np.log(size) + 1) / np.maximum(weight, 1), 0.0)
     live = np.arange(len(who))
     parked: list[np.ndarray] = []
     ahead = np.zeros(len(who))  # the next point's time
@@ -99,7 +113,7 @@ def signatures(text: np.ndarray, value: np.ndarray, count: np.ndarray, n: int, s
         short = np.isinf(best.reshape(n, size)).any(axis=1) & (weight > 0)
         if not short.any():
             break
-        limit[short] += 3 / weight[short]
+        limit[short] += 2 / weight[short]
         live = np.concatenate(parked)
         live = live[short[owner[live]]]
         parked = []
@@ -167,7 +181,9 @@ def _elements(texts: DataFrame, window: int) -> DataFrame:
 def _met(pairs: DataFrame, elements: DataFrame) -> DataFrame:
     """The pairs (a, b) with their elements x and y, their sizes n and m, and the number s of elements they share."""
     left = elements.select(F.col("digest").alias("a"), F.col("elements").alias("x"))
-    right = elements.select(F.col("digest").alias("b"), F.col("elements").alias("y"))
+    # only what the pairs ask for is moved; a small stored table of pairs goes to where the elements are
+    right = elements.join(pairs.select(F.col("b").alias("digest")).distinct(), "digest", "left_semi")
+    right = right.select(F.col("digest").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(left, "a").join(right, "b").withColumn("s", F.size(F.array_intersect("x", "y")))
     return both.withColumn("n", F.size("x")).withColumn("m", F.size("y"))
 
@@ -178,7 +194,7 @@ def _similar(threshold: float) -> Column:
 
 def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of digests whose multiset Jaccard similarity is at least ``threshold``, stored."""
-    return written(_met(pairs, elements).where(_similar(threshold)).select("a", "b"))
+    return written(_met(written(pairs), elements).where(_similar(threshold)).select("a", "b"))
 
 
 def _sharing_rare(open_: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
@@ -202,17 +218,32 @@ def _sharing_rare(open_: DataFrame, elements: DataFrame, threshold: float) -> Da
     rare = rare.join(several, "key").withColumn("single", F.col("outside") - F.count(F.lit(1)).over(Window.partitionBy("a", "b")))
     place = F.row_number().over(Window.partitionBy("a", "b").orderBy("texts", "key"))
     # an element that only one class has outside b can't join two
-    rare = rare.withColumn("place", place).where("place <= count - single and p != q").select("key", "a", "class", "n", "near")
-    rare = written(rare.join(elements.select(F.col("digest").alias("a"), "parity"), "a"))
+    rare = rare.withColumn("place", place).where("place <= count - single and p != q")
+    # the elements just before, by which a pair that has met already is known
+    before = F.collect_list("key").over(Window.partitionBy("a", "b").orderBy("texts", "key").rowsBetween(-LOOK_BACK, -1))
+    rare = rare.withColumn("before", before).select("key", "a", "class", "n", "near", "before")
+    parity = elements.select(F.col("digest").alias("a"), "parity", *_folded("parity"))
+    rare = written(rare.join(parity, "a"))
     one, two = rare.alias("one"), rare.alias("two")
+    most = (1 - threshold) / (1 + threshold) * (F.col("one.n") + F.col("two.n")) + 1e-9
     apart = (F.col("one.a") < F.col("two.a")) & (F.col("one.class") != F.col("two.class")) & ~(F.col("one.near") & F.col("two.near"))
     apart &= (F.col("one.n") >= threshold * F.col("two.n")) & (F.col("two.n") >= threshold * F.col("one.n"))
-    differ = sum((F.bit_count(F.col("one.parity")[k].bitwiseXOR(F.col("two.parity")[k])) for k in range(PARITY_BITS // 64)), F.lit(0))
-    apart &= differ <= (1 - threshold) / (1 + threshold) * (F.col("one.n") + F.col("two.n")) + 1e-9
+    # cheapest first
+    apart &= sum((F.bit_count(F.col(f"one.fold{k}").bitwiseXOR(F.col(f"two.fold{k}"))) for k in range(FOLDS)), F.lit(0)) <= most
+    apart &= ~F.arrays_overlap("one.before", "two.before")
+    differ = F.zip_with("one.parity", "two.parity", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart &= F.aggregate(differ, F.lit(0), lambda x, y: x + y) <= most
     joined = one.join(two, (F.col("one.key") == F.col("two.key")) & apart)
     return written(joined.select(F.col("one.a").alias("a"), F.col("two.a").alias("b")).distinct())
 
 
+def _folded(parity: str) -> list[Column]:
+    """``FOLDS`` numbers that hold the parities of a text in fewer places."""
+    n = PARITY_BITS // 64
+    parts = ([F.col(parity)[j] for j in range(k, n, FOLDS)] for k in range(FOLDS))
+    return [functools.reduce(Column.bitwiseXOR, words).alias(f"fold{k}") for k, words in enumerate(parts)]
+
+
 def near_copies(
     documents: DataFrame,
     *,
@@ -247,25 +278,29 @@ def near_copies(
     # each text first meets the leading text with which it shares most bands
     closest = written(led.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b")))
     links = _verified(closest, elements, threshold)
-    label = components(links)
+    label = written(components(links))
     # then its other leading texts, if they are of another class
     others = led.select("a", "b").join(closest, ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(_apart(others, label), elements, threshold))
+    new = _verified(_apart(others, label), elements, threshold)
+    links, label = links.unionByName(new), _merged(label, new)
     # then, in buckets of several classes, the closest of texts drawn to lead each bucket anew
+    named = _classed(members, label)
     for turn in range(more_leads):
-        named = _classed(members, components(links))
         if named.isEmpty():
             break
         drawn = named.groupBy("key").agg(F.min_by(F.struct("digest", "class"), F.xxhash64("digest", "key", F.lit(turn))).alias("d"))
         drawn = written(drawn.select("key", F.col("d.digest").alias("b"), F.col("d.class").alias("other")))
         shares = named.join(drawn, "key").where("class != other").groupBy(F.col("digest").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
         nearest = shares.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-        links = links.unionByName(_verified(nearest, elements, threshold))
+        new = _verified(nearest, elements, threshold)
+        if new.isEmpty():
+            break
+        links, label = links.unionByName(new), _merged(label, new)
+        named = _classed(members, label)
     # at last the texts of a bucket that are still apart meet over what its leading text lacks
-    named = _classed(members, components(links))
-    open_ = named.where("digest != lead").select(F.col("digest").alias("a"), "class", F.col("lead").alias("b")).distinct()
-    links = written(links.unionByName(_verified(_sharing_rare(open_, elements, threshold), elements, threshold)))
-    label = components(links)
+    open_ = written(named.where("digest != lead").select(F.col("digest").alias("a"), "class", F.col("lead").alias("b")).distinct())
+    new = _verified(_sharing_rare(open_, elements, threshold), elements, threshold)
+    links, label = written(links.unionByName(new)), _merged(label, new)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     return _labelled(texts.select("id", "digest"), label.join(degree, "node"), id_col)
@@ -273,12 +308,26 @@ def near_copies(
 
 def _classed(members: DataFrame, label: DataFrame) -> DataFrame:
     """The members (key, digest, lead, class) of the buckets that hold more than one class, stored."""
-    named = members.join(written(label), F.col("digest") == F.col("node"), "left")
+    named = members.join(label, F.col("digest") == F.col("node"), "left")
     named = written(named.select("key", "digest", "lead", F.coalesce("component", "digest").alias("class")))
     split = named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).where("p != q").select("key")
     return written(named.join(split, "key", "left_semi"))
 
 
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``label`` (node, component) after new ``links`` (a, b), stored; only components that they join are worked on."""
+    of_a = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    of_b = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    named = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    across = written(named.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a != b").distinct())
+    if across.isEmpty():
+        return label
+    over = written(components(across)).select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    known = label.unionByName(over.select(F.col("part").alias("node"), F.col("part").alias("component"))).distinct()
+    found = known.join(over, F.col("component") == F.col("part"), "left")
+    return written(found.select("node", F.coalesce("whole", "component").alias("component")))
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components."""
     of_a = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))

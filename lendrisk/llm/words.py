@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,3 +59,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+#: An odd factor, its inverse modulo 2**64, and a number for each byte.
+FACTOR = 0xD6E8FEB86659FD93
+INVERSE = np.uint64(pow(FACTOR, -1, 1 << 64))
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+@functools.lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.r_[np.uint64(1), np.cumprod(np.full(n, base, np.uint64))]
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of ``texts`` (null: empty), and each text's first word plus the end.
+
+    A word's hash is a polynomial in its bytes, taken for all words at once from differences of one running sum.
+    """
+    raw, bounds = string_bytes(texts)
+    n = len(raw)
+    inside = np.zeros(n + 2, bool)
+    inside[1:-1] = ~BREAKS[raw]
+    begins = inside[1:] & ~inside[:-1]
+    cut = bounds[:-1][(bounds[:-1] > 0) & (bounds[:-1] < n)]
+    begins[cut] = inside[cut + 1]  # a word ends with its text
+    begin = np.flatnonzero(begins)
+    # up to the next break, or the next word where texts touch
+    breaks = np.append(np.flatnonzero(~inside[1:-1]), n)
+    end = np.minimum(breaks[np.searchsorted(breaks, begin)], np.append(begin[1:], n))
+    size = 1 << max(n - 1, 1).bit_length()
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[raw] * _powers(FACTOR, size)[:n], out=total[1:])
+    value = (total[end] - total[begin]) * _powers(int(INVERSE), size)[begin]
+    return mix(value + (end - begin).astype(np.uint64)), np.searchsorted(begin, bounds)

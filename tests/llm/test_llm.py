@@ -97,14 +97,14 @@ def _brute_classes(rows):
 
 def test_signatures_are_unbiased():
     draw, off = np.random.default_rng(1), []
-    for _ in range(20):
-        base = [f"w{k}" for k in draw.integers(0, 40, 200)]
-        other = [f"z{draw.integers(5)}" if draw.random() < 0.3 else w for w in base]
+    for turn in range(200):  # words of their own, as equal words draw equal points
+        base = [f"w{turn}-{k}" for k in draw.integers(0, 40, 200)]
+        other = [f"z{turn}-{draw.integers(5)}" if draw.random() < 0.3 else w for w in base]
         x, y = collections.Counter(base), collections.Counter(other)
         found = bagminhash.windows(pa.array([" ".join(base), " ".join(other)]), 1)
         s = bagminhash.signatures(*found, 2, 1024)
         off.append((s[0] == s[1]).mean() - sum((x & y).values()) / sum((x | y).values()))
-    assert abs(np.mean(off)) < 0.01
+    assert abs(np.mean(off)) < 0.004
 
 
 def test_near_copies_equal_brute_force(spark):
