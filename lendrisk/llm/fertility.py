@@ -169,7 +169,9 @@ def bands(measures: DataFrame, *, group_col: str = "lang", min_texts: int = 30)
         key.alias("_group"), (F.col("_n") < min_texts).alias("_few"),
         *(F.when(F.col("_n") < min_texts, F.col(f"_all_{m}")).otherwise(F.col(f"{m}_mid")).alias(f"{m}_mid") for m in MEASURES),
     )
-    strays = rows.join(F.broadcast(mids), key.eqNullSafe(F.col("_group")), "left").select(
+    # stored, so that Spark knows its size: a row per group, which is sent to every task only if there are few
+    mids = written(mids)
+    strays = rows.join(mids, key.eqNullSafe(F.col("_group")), "left").select(
         "_group", "_few", *((F.sqrt("n_tokens") * (F.col(m) - F.col(f"{m}_mid"))).alias(m) for m in MEASURES)
     )
 
@@ -179,7 +181,7 @@ def bands(measures: DataFrame, *, group_col: str = "lang", min_texts: int = 30)
 
     own = spreads(strays, "_own", "_group").withColumnRenamed("_group", "_own_group")
     every = spreads(strays, "_every").withColumn("_one", F.lit(1))
-    found = mids.withColumn("_one", F.lit(1)).join(F.broadcast(own), F.col("_group").eqNullSafe(F.col("_own_group")), "left")
+    found = mids.withColumn("_one", F.lit(1)).join(own, F.col("_group").eqNullSafe(F.col("_own_group")), "left")
     found = found.join(F.broadcast(every), "_one", "left")
     return found.select(
         F.col("_group").alias(group_col), *(f"{m}_mid" for m in MEASURES),
@@ -203,7 +205,7 @@ def judged(measures: DataFrame, band: DataFrame, *, group_col: str = "lang", rea
     """
     reach = REACH | (reach or {})
     band = band.withColumnRenamed(group_col, "_group")
-    joined = measures.join(F.broadcast(band), F.col(group_col).eqNullSafe(F.col("_group")), "left")
+    joined = measures.join(band, F.col(group_col).eqNullSafe(F.col("_group")), "left")
     inside = F.lit(True)
     for m in MEASURES:
         stray = F.sqrt("n_tokens") * F.abs(F.col(m) - F.col(f"{m}_mid"))
@@ -219,4 +221,4 @@ def fertility_rules(documents: DataFrame, *, group_col: str = "lang", text_col:
     """
     found = with_base_verdict(measured(documents, text_col=text_col, **paths))
     stored = written(found if keep_text else found.drop(text_col))
-    return judged(stored, bands(stored, group_col=group_col), group_col=group_col)
+    return judged(stored, written(bands(stored, group_col=group_col)), group_col=group_col)
