@@ -40,8 +40,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     importable(spark)
     found = bagminhash.near_copies(docs).select(F.col("doc_id").alias("_id"), "class_id").distinct()
     firsts = written(found.where("_id <=> class_id").select("_id"))
-    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    # repeated ids go before the join, which then finds the rows dealt out by id
+    kept = docs.dropDuplicates(["doc_id"]).join(firsts, F.col("doc_id") == F.col("_id"), "left_semi")
+    unnamed = docs.where("doc_id is null").dropDuplicates(["doc_id"])
+    return kept.unionByName(unnamed.join(firsts.where("_id is null"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
