@@ -32,18 +32,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least id of each class of near copies.
+    """Keep one row of each class of near copies: that of its least id, and of that id's texts the one of least digest.
 
-    Rows that repeat the kept id: one stays. Rows without an id count as copies of the documents of their class that have one;
-    in a class without any id one row stays.
+    A row without an id stays only if no row of its class has one. Of rows that repeat the kept id and text one stays.
     """
     importable(spark)
-    found = bagminhash.near_copies(docs).select(F.col("doc_id").alias("_id"), "class_id").distinct()
-    firsts = written(found.where("_id <=> class_id").select("_id"))
-    # repeated ids go before the join, which then finds the rows dealt out by id
-    kept = docs.dropDuplicates(["doc_id"]).join(firsts, F.col("doc_id") == F.col("_id"), "left_semi")
-    unnamed = docs.where("doc_id is null").dropDuplicates(["doc_id"])
-    return kept.unionByName(unnamed.join(firsts.where("_id is null"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"))
+    firsts = written(bagminhash.first_rows(docs).select(F.struct("id", "digest").alias("_key")))
+    # null parts of a struct equal each other; repeated rows go before the join, which then finds the rows dealt out by key
+    key = F.struct(F.col("doc_id").alias("id"), bagminhash.digest_of(F.col("text")).alias("digest"))
+    once = docs.withColumn("_key", key).dropDuplicates(["_key"])
+    return once.join(firsts, "_key", "left_semi").select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -129,7 +129,8 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
-def _digest(text: Column) -> Column:
+def digest_of(text: Column) -> Column:
+    """What tells one text from another; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
@@ -263,7 +264,32 @@ def near_copies(
     already share a class needn't all be compared. Equal texts share a class, null and empty ones theirs; texts of fewer than
     five words are one window. Null ids keep their class. Bands of 4 of 96 positions miss a pair at 0.8 three times in a million.
     """
-    texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", _digest(F.col("text")))
+    return _labelled(*_linked(documents, id_col, text_col, window, threshold, bands, rows, more_leads), id_col)
+
+
+def first_rows(
+    documents: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 5,
+    threshold: float = 0.8,
+    bands: int = 24,
+    rows: int = 4,
+    more_leads: int = 3,
+) -> DataFrame:
+    """One row (id, digest) per class of ``near_copies``: its least id, null if it has none, and of that id's texts the least digest."""
+    found, label = _linked(documents, id_col, text_col, window, threshold, bands, rows, more_leads)
+    named = _named(found, label)
+    first = F.min(F.struct(F.col("least").isNull().alias("unnamed"), F.col("least").alias("id"), "digest"))
+    return named.groupBy("class").agg(first.alias("first")).select("first.id", "first.digest")
+
+
+def _linked(
+    documents: DataFrame, id_col: str, text_col: str, window: int, threshold: float, bands: int, rows: int, more_leads: int
+) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, digest) of ``documents``, and (node, component, n_links) of the digests that have links."""
+    texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", digest_of(F.col("text")))
     signed = written(_signed(texts.select("digest", "text"), bands, rows, window).dropDuplicates(["digest"]))
     buckets = signed.select("digest", "weight", F.explode("keys").alias("key"))
     # a bucket's leading text is its smallest
@@ -303,7 +329,7 @@ def near_copies(
     links, label = written(links.unionByName(new)), _merged(label, new)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    return _labelled(texts.select("id", "digest"), label.join(degree, "node"), id_col)
+    return texts.select("id", "digest"), label.join(degree, "node")
 
 
 def _classed(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -336,10 +362,15 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _labelled(rows: DataFrame, label: DataFrame, id_col: str) -> DataFrame:
-    """Each row with its class's least id and its text's links; equal texts are counted together before any join."""
+def _named(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Each text (digest) with its least id, its links and its class; equal texts are counted together before any join."""
     least = rows.groupBy("digest").agg(F.min("id").alias("least"))
-    named = least.join(label, F.col("digest") == F.col("node"), "left").withColumn("class", F.coalesce("component", "digest"))
+    return least.join(label, F.col("digest") == F.col("node"), "left").withColumn("class", F.coalesce("component", "digest"))
+
+
+def _labelled(rows: DataFrame, label: DataFrame, id_col: str) -> DataFrame:
+    """Each row with its class's least id and its text's links."""
+    named = _named(rows, label)
     class_id = named.groupBy("class").agg(F.min("least").alias("class_id"))
     of_digest = named.join(class_id, "class").select("digest", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
     return rows.join(written(of_digest), "digest").select(F.col("id").alias(id_col), "class_id", "n_links")

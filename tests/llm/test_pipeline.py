@@ -51,3 +51,19 @@ def test_copies_without_an_id(spark):
     docs = spark.createDataFrame([(None, text), (4, text), (4, text), (3, text), (None, "other words of a text of its own"), (None, None)], "doc_id long, text string")
     got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
     assert sum(r.doc_id == 3 for r in got) == 1 and not any(r.doc_id == 4 for r in got)
+
+
+def test_each_class_of_copies_keeps_one_row(spark):
+    text, near = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(59))
+    alone = [(None, f"text {k} stands for itself and has no id") for k in range(100)]
+    rows = [(7, text), (None, text), (None, near), (9, near), (9, near), (9, "an other text under the same id"), (None, None), (None, ""), *alone, *alone]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r.doc_id, r.text or "") for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(7, text), (9, "an other text under the same id"), (None, ""), *alone], key=str)
+
+
+def test_copies_without_an_id_keep_a_row_of_each_class(spark):
+    text, other = "one two three four five six seven", "other words of a text of its own"
+    docs = spark.createDataFrame([(None, text), (4, text), (4, text), (3, text), (None, other), (None, None)], "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(3, text), (None, other), (None, None)], key=str)
