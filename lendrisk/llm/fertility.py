@@ -3,8 +3,9 @@
 Public vocabularies read text of the kinds they know in long tokens. Per document this measures characters per token under a
 byte-level vocabulary, the share of tokens that a piece vocabulary can only spell byte by byte, and the entropy of the
 token ids against the largest a text of that length can have. Each language (or script) has a band for each measure, taken
-from the whole corpus: its median, and a spread that narrows with the text's length. A document outside a band is rejected, as
-is one that fails the base counts.
+from the whole corpus: its median, and a spread that narrows with the text's length. Entropy falls with the logarithm of the
+length instead, so its band lies around the language's line. A document outside a band is rejected, as is one that fails the
+base counts.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendrisk.llm import bpe
@@ -25,10 +26,11 @@ from lendrisk.llm.words import Words, words_of
 
 #: The characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
-MEASURES = ("chars_per_token", "byte_share", "entropy_share")
-#: Spreads from the median at which a text leaves its band, and the least spread, per measure.
-REACH = {"chars_per_token": 12.0, "byte_share": 12.0, "entropy_share": 25.0}
-FLOOR = {"chars_per_token": 0.5, "byte_share": 0.25, "entropy_share": 0.25}
+MEANS = ("chars_per_token", "byte_share")
+MEASURES = (*MEANS, "entropy_share")
+#: Spreads from the middle at which a text leaves its band, and the least spread, per measure. For ``MEANS`` both hold for one token.
+REACH = {"chars_per_token": 12.0, "byte_share": 12.0, "entropy_share": 6.0}
+FLOOR = {"chars_per_token": 0.5, "byte_share": 0.25, "entropy_share": 0.01}
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -150,42 +152,52 @@ def measured(
     return documents.select("*", fertility(F.col(text_col)).alias("fertility"))
 
 
+def _level(slope: str) -> Column:
+    """What a text's entropy share is above a line of that slope over the logarithm of its length."""
+    return F.col("entropy_share") - F.col(slope) * F.log("n_tokens")
+
+
 def bands(measures: DataFrame, *, group_col: str = "lang", min_texts: int = 30) -> DataFrame:
     """Each group's middle and spread of each measure: one row per value of ``group_col``, null included.
 
     A mean over n tokens strays as 1 / sqrt(n), so a text's distance from the median counts times sqrt(n_tokens); the spread is
-    the interquartile range of that, as a standard deviation, and ``FLOOR`` at least. Copies would narrow it, so rows with equal
-    measures count once. Only texts that pass the base counts are used. Groups of fewer than ``min_texts`` such rows take the
-    values of all rows.
+    the interquartile range of that, as a standard deviation, and ``FLOOR`` at least. The entropy share is no mean: its middle and
+    spread are those of the distances from the group's line over ln(n_tokens), whose slope is least squares. Copies would narrow
+    the spread, so rows with equal measures count once. Only texts that pass the base counts are used. Groups of fewer than
+    ``min_texts`` such rows take the values of all rows.
     """
     rows = measures.where(~F.col("base_failed")).select(group_col, "n_tokens", *MEASURES).distinct()
     key = F.col(group_col)
-    size = rows.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("_n"), *(F.percentile_approx(m, 0.5, 10000).alias(f"{m}_mid") for m in MEASURES)
-    )
-    overall = rows.agg(*(F.percentile_approx(m, 0.5, 10000).alias(f"_all_{m}") for m in MEASURES)).withColumn("_one", F.lit(1))
+    # texts of one length have no slope
+    middles = {f"{m}_mid": F.percentile_approx(m, 0.5, 10000) for m in MEANS}
+    middles["entropy_share_slope"] = F.coalesce(F.regr_slope("entropy_share", F.log("n_tokens")), F.lit(0.0))
+    size = rows.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"), *(x.alias(c) for c, x in middles.items()))
+    overall = rows.agg(*(x.alias(f"_all_{c}") for c, x in middles.items())).withColumn("_one", F.lit(1))
     mids = size.withColumn("_one", F.lit(1)).join(F.broadcast(overall), "_one", "left")
     mids = mids.select(
-        key.alias("_group"), (F.col("_n") < min_texts).alias("_few"),
-        *(F.when(F.col("_n") < min_texts, F.col(f"_all_{m}")).otherwise(F.col(f"{m}_mid")).alias(f"{m}_mid") for m in MEASURES),
+        key.alias("_group"), (F.col("_n") < min_texts).alias("_few"), F.col("_all_entropy_share_slope").alias("_all_slope"),
+        *(F.when(F.col("_n") < min_texts, F.col(f"_all_{c}")).otherwise(F.col(c)).alias(c) for c in middles),
     )
     # stored, so that Spark knows its size: a row per group, which is sent to every task only if there are few
     mids = written(mids)
     strays = rows.join(mids, key.eqNullSafe(F.col("_group")), "left").select(
-        "_group", "_few", *((F.sqrt("n_tokens") * (F.col(m) - F.col(f"{m}_mid"))).alias(m) for m in MEASURES)
+        "_group", *((F.sqrt("n_tokens") * (F.col(m) - F.col(f"{m}_mid"))).alias(m) for m in MEANS),
+        _level("entropy_share_slope").alias("_level"), _level("_all_slope").alias("_all_level"),
     )
 
-    def spreads(df: DataFrame, name: str, *by: str) -> DataFrame:
-        q = {m: F.percentile_approx(m, [0.25, 0.75], 10000) for m in MEASURES}
-        return df.groupBy(*by).agg(*(F.greatest((q[m][1] - q[m][0]) / 1.349, F.lit(FLOOR[m])).alias(f"{m}{name}") for m in MEASURES))
+    def spreads(df: DataFrame, name: str, level: str, *by: str) -> DataFrame:
+        q = {m: F.percentile_approx(c, [0.25, 0.5, 0.75], 10000) for m, c in (*zip(MEANS, MEANS, strict=True), ("entropy_share", level))}
+        wide = (F.greatest((q[m][2] - q[m][0]) / 1.349, F.lit(FLOOR[m])).alias(f"{m}_spread{name}") for m in MEASURES)
+        return df.groupBy(*by).agg(*wide, q["entropy_share"][1].alias(f"entropy_share_mid{name}"))
 
-    own = spreads(strays, "_own", "_group").withColumnRenamed("_group", "_own_group")
-    every = spreads(strays, "_every").withColumn("_one", F.lit(1))
+    own = spreads(strays, "_own", "_level", "_group").withColumnRenamed("_group", "_own_group")
+    every = spreads(strays, "_every", "_all_level").withColumn("_one", F.lit(1))
     found = mids.withColumn("_one", F.lit(1)).join(own, F.col("_group").eqNullSafe(F.col("_own_group")), "left")
     found = found.join(F.broadcast(every), "_one", "left")
+    dealt = ("entropy_share_mid", *(f"{m}_spread" for m in MEASURES))
     return found.select(
-        F.col("_group").alias(group_col), *(f"{m}_mid" for m in MEASURES),
-        *(F.when(F.col("_few"), F.col(f"{m}_every")).otherwise(F.col(f"{m}_own")).alias(f"{m}_spread") for m in MEASURES),
+        F.col("_group").alias(group_col), *middles,
+        *(F.when(F.col("_few"), F.col(f"{c}_every")).otherwise(F.col(f"{c}_own")).alias(c) for c in dealt),
     )
 
 
@@ -201,14 +213,15 @@ def judged(measures: DataFrame, band: DataFrame, *, group_col: str = "lang", rea
     """``measures`` with ``kept``: false if the base counts fail or a measure lies outside its group's band.
 
     The band around the group's median is ``reach`` spreads wide on both sides for a mean of one token, and narrows with
-    sqrt(n_tokens). A group without a band (none of its texts passes the base counts) is judged by the base counts alone.
+    sqrt(n_tokens); around the group's line of entropy it is ``reach`` spreads wide at any length. A group without a band (none of its texts passes the base counts) is judged by the base counts alone.
     """
     reach = REACH | (reach or {})
     band = band.withColumnRenamed(group_col, "_group")
     joined = measures.join(band, F.col(group_col).eqNullSafe(F.col("_group")), "left")
+    strays = {m: F.sqrt("n_tokens") * F.abs(F.col(m) - F.col(f"{m}_mid")) for m in MEANS}
+    strays["entropy_share"] = F.abs(_level("entropy_share_slope") - F.col("entropy_share_mid"))
     inside = F.lit(True)
-    for m in MEASURES:
-        stray = F.sqrt("n_tokens") * F.abs(F.col(m) - F.col(f"{m}_mid"))
+    for m, stray in strays.items():
         inside &= F.coalesce(stray <= reach[m] * F.col(f"{m}_spread"), F.lit(True))
     return joined.select(*(c for c in measures.columns if c != "kept"), (~F.col("base_failed") & inside).alias("kept"))
 

@@ -356,3 +356,13 @@ def test_fertility_rejects_a_strange_text_and_keeps_the_rest(spark):
     assert not got[-1].base_failed and not got[-1].kept
     passed = [r for r in got.values() if not r.base_failed and r.doc_id != -1]
     assert np.mean([r.kept for r in passed]) > 0.97
+
+
+def test_entropy_band_rejects_poor_texts_of_usual_length(spark):
+    sf = "/root/testdata/sf0.01"
+    documents, labels = queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")
+    wide = {m: 1e9 for m in fertility.MEANS}
+    stored = fertility.with_base_verdict(fertility.measured(documents.select("doc_id", "text", "lang"))).drop("text").join(labels, "doc_id").persist()
+    got = [r for r in fertility.judged(stored, fertility.bands(stored), reach=wide).collect() if not r.base_failed]
+    for label, low, high in ((0, 0.5, 1.0), (1, 0.0, 0.01)):
+        assert low <= np.mean([not r.kept for r in got if r.quality == label]) <= high
