@@ -4,14 +4,15 @@ A store is a folder of shards in ascending order of the document key, one row ea
 reaches can hold it. A shard's payload is the raw little-endian ids of its documents, each document ended by an id; two bytes
 an id if the vocabulary allows, else four. Its index maps a key to the place of its documents in constant time and without
 holding keys: levels of bits give every key a number of its own from 0 to n - 1, under which a fingerprint of the key and the
-first of its rows stand. A key that isn't there is told by the fingerprint.
+first of its rows stand. A key that isn't there is told by the fingerprint. The rows of one key may fill several shards, each of
+which has the key in its index; their bounds, the first and last key, tell which ones.
 """
 
 from __future__ import annotations
 
 import functools
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,11 +28,11 @@ from lendrisk.llm.pretokens import slices
 from lendrisk.llm.words import mix
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-#: Bits per key on each level, levels before the rest is listed, and ids in a shard before the next key opens another.
+#: Bits per key on each level, levels before the rest is listed, and ids in a shard before the next row opens another.
 SPACE, MOST_LEVELS, SHARD_IDS = 2, 24, 1 << 20
 #: Shards whose bounds may go to every task for keyed access: 16 MB.
 MOST_SHARDS = 1_000_000
-SHARD_SCHEMA = "part int, seq int, start_in_part bigint, n_ids bigint, first {kind}, keys array<{kind}>, hashes array<bigint>, row_starts array<bigint>, width int, payload binary, bits binary, level_sizes array<int>, rest array<bigint>, fingerprints array<int>, first_rows array<int>"
+SHARD_SCHEMA = "part int, seq int, start_in_part bigint, n_ids bigint, first {kind}, last {kind}, keys array<{kind}>, hashes array<bigint>, row_starts array<bigint>, width int, payload binary, bits binary, level_sizes array<int>, rest array<bigint>, fingerprints array<int>, first_rows array<int>"
 
 
 def _place(hashes: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -94,7 +95,7 @@ def _shard(part: int, seq: int, start: int, width: int, rows: list[tuple[object,
     row_starts = np.cumsum([0, *(len(ids) for _, _, ids in rows)])
     ids = np.concatenate([ids for _, _, ids in rows])
     return {
-        "part": part, "seq": seq, "start_in_part": start, "n_ids": len(ids), "first": rows[0][0], "keys": [k for k, _, _ in rows],
+        "part": part, "seq": seq, "start_in_part": start, "n_ids": len(ids), "first": rows[0][0], "last": rows[-1][0], "keys": [k for k, _, _ in rows],
         "hashes": hashes.view(np.int64), "row_starts": row_starts, "width": width,
         "payload": ids.astype("<u2" if width == 2 else "<u4").tobytes(), "bits": np.packbits(index.bits).tobytes(),
         "level_sizes": index.level_sizes, "rest": index.rest.view(np.int64), "fingerprints": prints, "first_rows": first_rows,
@@ -116,8 +117,9 @@ def write_ids(
     ``path`` is a byte-level BPE file of the tokenizers library, and the ids are that library's; the merges are run in batches
     over distinct words (``bpe.encode``), which takes a third less time than handing the library each word.
 
-    Null and empty texts are the end id alone. Rows that repeat an id stay together, ordered by their text; a null id comes
-    first. An empty table writes an empty store. A task holds one shard at a time: ``shard_ids`` ids and one id's rows more.
+    Null and empty texts are the end id alone. Rows that repeat an id follow one another, ordered by the first 64 characters of
+    their text, then by its hash; a null id comes first. An empty table writes an empty store. Ranges are drawn over id and text, so that the rows of one id are dealt
+    to several tasks, unless they are equal. A task holds one shard at a time: ``shard_ids`` ids and one text's more.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     kind = documents.schema[id_col].dataType
@@ -130,7 +132,7 @@ def write_ids(
         open_: list[tuple[object, int, np.ndarray]] = []
         key_type = to_arrow_type(kind)
         types = {
-            "part": pa.int32(), "seq": pa.int32(), "start_in_part": pa.int64(), "n_ids": pa.int64(), "first": key_type,
+            "part": pa.int32(), "seq": pa.int32(), "start_in_part": pa.int64(), "n_ids": pa.int64(), "first": key_type, "last": key_type,
             "keys": pa.list_(key_type), "hashes": pa.list_(pa.int64()), "row_starts": pa.list_(pa.int64()), "width": pa.int32(),
             "payload": pa.binary(), "bits": pa.binary(), "level_sizes": pa.list_(pa.int32()), "rest": pa.list_(pa.int64()),
             "fingerprints": pa.list_(pa.int32()), "first_rows": pa.list_(pa.int32()),
@@ -145,7 +147,7 @@ def write_ids(
                 piece = batch.slice(a, b - a)
                 ids, first = encode(piece.column(2), path)
                 for k, (key, hashed) in enumerate(zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True)):
-                    if held >= shard_ids and key != open_[-1][0]:
+                    if held >= shard_ids:
                         yield flushed()
                         seq, start, held, open_ = seq + 1, start + held, 0, []
                     own = np.append(ids[first[k] : first[k + 1]], end_id)
@@ -155,7 +157,9 @@ def write_ids(
             yield flushed()
 
     ordered = documents.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # equal rows may lie on both sides of a border, so each has a number; the driver draws the borders from keys without whole texts
+    order = [F.col("id"), F.substring("text", 1, 64), F.xxhash64("text"), F.col("nth")]
+    ordered = ordered.withColumn("nth", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).drop("nth")
     schema = SHARD_SCHEMA.replace("{kind}", kind.simpleString())
     ordered.mapInArrow(rows, schema).write.option("compression", "zstd").parquet(folder)
 
@@ -219,22 +223,25 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame, *, id_col: str = "
     nothing. Only the shards that the keys fall into are read further than their bounds.
     """
     store = spark.read.parquet(folder).withColumn("shard", F.struct("part", "seq"))
-    bounds = store.select("part", "seq", "first").orderBy("part", "seq").limit(MOST_SHARDS + 1).collect()
+    bounds = store.select("part", "seq", "first", "last").orderBy("part", "seq").limit(MOST_SHARDS + 1).collect()
     if len(bounds) > MOST_SHARDS:
         raise ValueError(f"more than {MOST_SHARDS} shards: write larger ones")
     kind = store.schema["first"].dataType.simpleString()
-    # rows without an id come first, so at most the first shard begins with one
-    firsts = [b["first"] for b in bounds if b["first"] is not None]
-    places = spark.sparkContext.broadcast((firsts, [(b.part, b.seq) for b in bounds], len(bounds) - len(firsts)))
-
-    @F.arrow_udf("struct<part:int,seq:int>")
-    def shard_of(wanted: pa.Array) -> pa.Array:
-        firsts, shards, unnamed = places.value
-        found = [shards[max(bisect_right(firsts, key) - 1 + unnamed, 0)] if shards else (-1, -1) for key in wanted.to_pylist()]
-        return pa.array([{"part": part, "seq": seq} for part, seq in found], pa.struct([("part", pa.int32()), ("seq", pa.int32())]))
+    # rows without an id come first, so the shards that begin or end with one do
+    firsts, lasts = ([b[c] for b in bounds if b[c] is not None] for c in ("first", "last"))
+    places = spark.sparkContext.broadcast((firsts, lasts, [(b.part, b.seq) for b in bounds]))
+
+    @F.arrow_udf("array<struct<part:int,seq:int>>")
+    def shards_of(wanted: pa.Array) -> pa.Array:
+        firsts, lasts, shards = places.value
+        n = len(shards)
+        found = [shards[n - len(lasts) + bisect_left(lasts, key) : n - len(firsts) + bisect_right(firsts, key)] for key in wanted.to_pylist()]
+        kind = pa.list_(pa.struct([("part", pa.int32()), ("seq", pa.int32())]))
+        return pa.array([[{"part": part, "seq": seq} for part, seq in x] for x in found], kind)
 
     asked = keys.select(F.col(id_col).cast(kind).alias("key")).where("key is not null").distinct()
-    asked = asked.withColumn("shard", shard_of("key")).withColumn("hash", F.xxhash64("key"))
+    # a key of very many rows lies in several shards
+    asked = asked.withColumn("shard", F.explode(shards_of("key"))).withColumn("hash", F.xxhash64("key"))
 
     def block(shards: pa.Table, wanted: pa.Table) -> pa.Table:
         out = {id_col: [], "ids": []}

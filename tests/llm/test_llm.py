@@ -366,3 +366,20 @@ def test_entropy_band_rejects_poor_texts_of_usual_length(spark):
     got = [r for r in fertility.judged(stored, fertility.bands(stored), reach=wide).collect() if not r.base_failed]
     for label, low, high in ((0, 0.5, 1.0), (1, 0.0, 0.01)):
         assert low <= np.mean([not r.kept for r in got if r.quality == label]) <= high
+
+
+def test_keyed_ids_of_one_id_fill_several_shards_and_tasks(spark, setting):
+    setting(adaptive__coalescePartitions__enabled="false")
+    rows = [(k, f"text {k}") for k in range(40)] + [(7, f"hot text {k}") for k in range(300)] + [(None, "a copy without an id")] * 300
+    folder = shared_folder(spark)
+    keyed_ids.write_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder, shard_ids=50)
+    store = spark.read.parquet(folder)
+    assert store.agg(F.max("n_ids")).first()[0] < 50 + 20
+    for hot in (F.col("first").eqNullSafe(7), F.col("first").isNull()):
+        assert store.where(hot).select("part").distinct().count() > 1
+    got = collections.Counter((r.doc_id, r.n_tokens) for r in keyed_ids.read_ids(spark, folder).collect())
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    assert got == collections.Counter((i, len(tokenizer.encode(t, add_special_tokens=False).ids) + 1) for i, t in rows)
+    found = keyed_ids.lookup(spark, folder, spark.createDataFrame([(7,), (0,), (39,), (99,), (None,)], "doc_id long")).collect()
+    texts = sorted((r.doc_id, tokenizer.decode(r.ids[:-1])) for r in found)
+    assert texts == sorted(r for r in rows if r[0] in (7, 0, 39))
