@@ -2,9 +2,10 @@
 
 Each text node belongs to the path of tags from the root to it. Per path the page's text length and punctuation are summed and
 divided by the path's nodes; the two ratios are fused, smoothed over neighbouring paths, and paths below a share of the best are
-dropped. Elements that name themselves as something else (menus, footers, forms, adverts, comments, ...) take no part. Paths
-inside one marked article count as much as the best of them, and paths outside any mark then count nothing; without marks,
-headings and quotes count as much as the paths beside them.
+dropped. Elements that are something else by tag or role (menus, footers, forms, ...) take no part. Names of classes and ids
+(adverts, comments, ...) lower the ratios below them, unless what bears the name holds most of the page's text and punctuation.
+Paths inside a marked article count ``MARKED`` times their own ratio against the page's best, and compete with all others. Headings
+in a mark count as much as its best path; else headings and quotes count as much as the paths beside them.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are never part of an article.
 APART = frozenset("head nav footer aside form button select option datalist menu dialog svg math canvas audio video object applet map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Parts of class names and ids by which elements name themselves as something beside the article.
+#: Parts of class names and ids by which elements name themselves as something beside the article. "header" and "heading" spare headings.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
     " popup modal overlay toast paywall sidebar aside rail nav navbar navigation menu submenu breadcrumb breadcrumbs pager"
     " pagination footer footnav masthead topbar toolbar share sharing social related recommended recommendations teaser"
-    " newsletter subscribe subscription signup login comment comments commentlist respond disqus reply replies widget".split()
+    " header heading newsletter subscribe subscription signup login comment comments commentlist respond disqus reply replies widget".split()
 )
 #: A part after one of these says that something is there or not, elsewhere.
 SAYING = frozenset("no has with without".split())
@@ -50,15 +51,17 @@ BESIDE = HEADINGS | frozenset("blockquote dd dt figcaption pre td th".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 #: Path ratios below this share of the page's best are dropped; weight of each neighbouring path in the smoothing.
 LEAST_SHARE, NEIGHBOUR = 0.2, 0.25
+#: What a mark multiplies a path's ratio by, and the least that a name does.
+MARKED, NAMED = 2.0, 0.01
 
 
 class _Open:
     """An open element: its tag, path, and what holds below it."""
 
-    __slots__ = ("tag", "path", "apart", "region", "header", "linked")
+    __slots__ = ("tag", "path", "apart", "region", "header", "linked", "names")
 
-    def __init__(self, tag: str, path: tuple[int, str, int], apart: bool, region: int, header: bool, linked: bool):
-        self.tag, self.path, self.apart, self.region, self.header, self.linked = tag, path, apart, region, header, linked
+    def __init__(self, tag: str, path: tuple[int, str, int], apart: bool, region: int, header: bool, linked: bool, names: frozenset[str]):
+        self.tag, self.path, self.apart, self.region, self.header, self.linked, self.names = tag, path, apart, region, header, linked, names
 
 
 def _names(attributes: dict[str, str]) -> set[str]:
@@ -77,22 +80,27 @@ def _set_apart(tag: str, attributes: dict[str, str]) -> bool:
         return False
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes:
         return True
-    if "style" in attributes and re.search(r"display\s*:\s*none", attributes["style"], re.I):
-        return True
-    return bool(NAMES & _names(attributes))
+    return "style" in attributes and bool(re.search(r"display\s*:\s*none", attributes["style"], re.I))
+
 
+def _is_mark(tag: str, attributes: dict[str, str]) -> bool:
+    return tag in ("article", "main") or attributes.get("role") in ("main", "article") or attributes.get("itemprop") == "articleBody"
 
-#: (block, path, region, linked, text) of a text node, as ``text_nodes`` yields it.
-Node = tuple[int, tuple[int, str, int], int, bool, str]
+
+#: (block, path, region, names, linked, text) of a text node, as ``text_nodes`` yields it.
+Node = tuple[int, tuple[int, str, int], int, frozenset[str], bool, str]
+#: (path, region, names), under which a page's text nodes are summed.
+Key = tuple[tuple[int, str, int], int, frozenset[str]]
 
 
 def text_nodes(html: str) -> Iterator[Node]:
     """Every text node outside elements that are set apart, in page order.
 
     A path is (number, last tag, parent's number), numbered by its chain of tags and classes of other than inline elements.
-    The region is 0 outside, and else numbers the outermost ``article`` or ``main`` element that holds the node.
+    The region is 0 outside, and else numbers the outermost ``article`` or ``main`` element that holds the node. The names are
+    those of ``NAMES`` that elements around the node bear; marks and the page itself are never named so.
     """
-    root = _Open("", (0, "", -1), False, 0, False, False)
+    root = _Open("", (0, "", -1), False, 0, False, False, frozenset())
     stack, opened, paths = [root], Counter(), {}
     block = regions = at = 0
 
@@ -117,7 +125,8 @@ def text_nodes(html: str) -> Iterator[Node]:
         if upto > at:
             top = stack[-1]
             if not top.apart and not (top.header and not any(x.tag in HEADINGS for x in stack[1:])):
-                yield block, top.path, top.region, top.linked, unescape(html[at:upto])
+                spared = top.names - {"header", "heading"} if top.names and any(x.tag in HEADINGS for x in stack[1:]) else top.names
+                yield block, top.path, top.region, spared, top.linked, unescape(html[at:upto])
         if not m:
             return
         at = m.end()
@@ -152,57 +161,82 @@ def text_nodes(html: str) -> Iterator[Node]:
         top = stack[-1]
         apart = top.apart or _set_apart(tag, attributes)
         region = top.region
-        if not apart and not region and (tag in ("article", "main") or attributes.get("role") in ("main", "article") or attributes.get("itemprop") == "articleBody"):
+        mark = _is_mark(tag, attributes)
+        if not apart and not region and mark:
             regions += 1
             region = regions
-        named = tag == "header" or bool({"header", "heading"} & _names(attributes) and tag not in HEADINGS and tag not in ("article", "main", "body", "html"))
-        header = top.header or named
-        if named and not top.region:
+        header = top.header or tag == "header"
+        if tag == "header" and not top.region:
             apart = True
+        names = top.names
+        if not mark and tag not in ("html", "body") and tag not in HEADINGS and ("class" in attributes or "id" in attributes):
+            names = names | (NAMES & _names(attributes))
         path = top.path
         if tag not in INLINE:
             path = paths.setdefault((path[0], tag, attributes.get("class", "")), (len(paths) + 1, tag, path[0]))
-        stack.append(_Open(tag, path, apart, region, header, top.linked or tag == "a"))
+        stack.append(_Open(tag, path, apart, region, header, top.linked or tag == "a", names))
         opened[tag] += 1
 
 
-def _kept_paths(nodes: list[Node]) -> set[tuple[tuple[int, str, int], int]]:
-    """The (path, region) pairs whose score reaches ``LEAST_SHARE`` of the page's best."""
+def _weights(nodes: list[Node]) -> dict[frozenset[str], float]:
+    """What each set of names leaves of a ratio: all of it if the elements that bear them hold the whole page, little below half of it.
+
+    A name's share is the mean of its shares of the page's text outside links and of its punctuation, where what is marked counts ``MARKED`` times.
+    """
+    length, marks = Counter(), Counter()
+    for _, _, region, names, link, text in nodes:
+        n, m = (0, 0) if link else (len(text.strip()), len(PUNCTUATION.findall(text)))
+        if region:
+            n, m = MARKED * n, MARKED * m
+        for name in ("", *names):
+            length[name] += n
+            marks[name] += m
+    share = {x: ((length[x] / length[""]) + (marks[x] / marks[""] if marks[""] else length[x] / length[""])) / 2 if length[""] else 0.0 for x in length}
+    return {names: max(NAMED, min((max(2 * share[x] - 1, 0.0) ** 2 for x in names), default=1.0)) for names in {node[3] for node in nodes}}
+
+
+def _kept_paths(nodes: list[Node]) -> set[Key]:
+    """The (path, region, names) whose score reaches ``LEAST_SHARE`` of the page's best, or a mark's share of that."""
     length, marks, linked, count = Counter(), Counter(), Counter(), Counter()
-    for _, path, region, link, text in nodes:
-        key, n = (path, region), len(text.strip())
+    for _, path, region, names, link, text in nodes:
+        key, n = (path, region, names), len(text.strip())
         length[key] += n
         linked[key] += n * link
         marks[key] += len(PUNCTUATION.findall(text))
         count[key] += 1
     order = list(length)
+    weight = _weights(nodes)
     fused = [(length[k] - linked[k]) / count[k] * (1 + marks[k] / count[k]) for k in order]
     score = {}
     for at, (key, value) in enumerate(zip(order, fused, strict=True)):
-        beside = [fused[j] for j in (at - 1, at + 1) if 0 <= j < len(fused)]
+        beside = [fused[j] for j in (at - 1, at + 1) if 0 <= j < len(fused) and order[j][1:] == key[1:]]
         smooth = (1 - NEIGHBOUR * len(beside)) * value + NEIGHBOUR * sum(beside)
-        score[key] = math.sqrt(value * smooth)  # a path without any ratio of its own stays out
-    marked = any(region for _, region in order)
+        score[key] = math.sqrt(value * smooth) * weight[key[2]]  # a path without any ratio of its own stays out
     best_of: dict[object, float] = {}
-    for (path, region), value in score.items():
-        shared = region if marked else ("beside", path[2])
-        best_of[shared] = max(best_of.get(shared, 0.0), value)
-    for (path, region), value in score.items():
-        if marked:
-            score[path, region] = best_of[region] if region else 0.0
-        elif path[1] in BESIDE:
-            score[path, region] = max(value, best_of["beside", path[2]])
+    for (path, region, names), value in score.items():
+        for shared in (region, ("beside", path[2]), ("beside", path[2], names)):
+            best_of[shared] = max(best_of.get(shared, 0.0), value)
+    for (path, region, names), value in score.items():
+        if path[1] in BESIDE:
+            value = max(value, best_of["beside", path[2], names])
+        if path[1] in HEADINGS:
+            value = max(value, best_of[region if region else ("beside", path[2])] * weight[names])
+        score[path, region, names] = value
     best = max(score.values(), default=0.0)
-    return {key for key, value in score.items() if value >= LEAST_SHARE * best and (value > 0 or best == 0 and bool(key[1]) == marked)}
+    marked = any(region for _, region, _ in order)
+    return {
+        key for key, value in score.items()
+        if value * (MARKED if key[1] else 1.0) >= LEAST_SHARE * best and (value > 0 or best == 0 and bool(key[1]) == marked)
+    }
 
 
 def main_text(html: str | None) -> str:
     """The article's text: blocks in page order, white space made one space, joined by one space. Empty if there is none."""
-    nodes = [x for x in text_nodes(html or "") if x[4]]
-    kept = _kept_paths([x for x in nodes if x[4].strip()])
+    nodes = [x for x in text_nodes(html or "") if x[5]]
+    kept = _kept_paths([x for x in nodes if x[5].strip()])
     blocks: dict[int, list[str]] = {}
-    for block, path, region, _, text in nodes:
-        if (path, region) in kept:
+    for block, path, region, names, _, text in nodes:
+        if (path, region, names) in kept:
             blocks.setdefault(block, []).append(text)
     return " ".join(s for s in (" ".join("".join(parts).split()) for parts in blocks.values()) if s)
 

@@ -383,3 +383,18 @@ def test_keyed_ids_of_one_id_fill_several_shards_and_tasks(spark, setting):
     found = keyed_ids.lookup(spark, folder, spark.createDataFrame([(7,), (0,), (39,), (99,), (None,)], "doc_id long")).collect()
     texts = sorted((r.doc_id, tokenizer.decode(r.ids[:-1])) for r in found)
     assert texts == sorted(r for r in rows if r[0] in (7, 0, 39))
+
+
+BODY = "<h1>Head</h1>" + "<p>A long sentence, with some words in it. Another one follows; it is long, too.</p>" * 5
+BODY_TEXT = "Head" + " A long sentence, with some words in it. Another one follows; it is long, too." * 5
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<div class=story>{BODY}</div><article><h2>More</h2><p>Read this</p></article>",
+        f"<article>{BODY}<div class=x><span>Buy now</span></div></article>",
+    ],
+)
+def test_marks_compete_by_their_ratios(html):
+    assert tag_paths.main_text(html) == BODY_TEXT
