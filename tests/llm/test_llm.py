@@ -398,3 +398,16 @@ BODY_TEXT = "Head" + " A long sentence, with some words in it. Another one follo
 )
 def test_marks_compete_by_their_ratios(html):
     assert tag_paths.main_text(html) == BODY_TEXT
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<article class='post comments-open category-social'>{BODY}</article><div class=comments><p>Nice, I think.</p></div>",
+        f"<div class='layout sidebar-right'>{BODY}<div class=sidebar><p>Latest, best.</p></div></div><div class=ad>Buy, now.</div>",
+        f"<div class='elementor-widget-container'>{BODY[:13]}</div><div class='elementor-widget-container'>{BODY[13:]}</div><div class=ad>Buy, now.</div>",
+        f"<div class='layout header-fixed'>{BODY}</div>",
+    ],
+)
+def test_names_are_outweighed_by_most_of_the_text(html):
+    assert tag_paths.main_text(html).startswith(BODY_TEXT) and "Buy" not in tag_paths.main_text(html)
