@@ -56,25 +56,53 @@ def canonical_of(url: Column) -> Column:
     return F.when(host_of(url) != "", plain)
 
 
-def declared_link(html: Column) -> Column:
-    """The address in a page's canonical link, or else in its refresh redirect; null if there is none with ``://``."""
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, with its ``.`` and ``..`` parts carried out."""
+    parts = F.split(F.substring(path, 2, 1 << 30), "/")
+    none = F.array().cast("array<string>")
+    up = lambda found: F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0)))
+    found = F.aggregate(parts, none, lambda a, x: F.when(x == ".", a).when(x == "..", up(a)).otherwise(F.concat(a, F.array(x))))
+    ends = F.element_at(parts, -1).isin(".", "..") & (F.size(found) > 0)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(found, "/"), F.when(ends, "/").otherwise(""))).otherwise(path)
+
+
+def resolved(url: Column, link: Column) -> Column:
+    """The address that ``link`` means on the page ``url``; null for other schemes, and for relative links if ``url`` has no host."""
+    scheme, authority = F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
+    root, path = F.concat(scheme, F.lit("://"), authority), path_of(url)
+    own = F.regexp_extract(link, r"(?s)^([^?#]*)", 1)
+    rest = F.substring(link, F.length(own) + 1, F.lit(1 << 30))
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    query = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when((link == "") | link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (authority == ""), F.lit(None))
+        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(root, _without_dots(own), rest))
+        .when(link.startswith("?"), F.concat(root, path, link))
+        .when(link.startswith("#"), F.concat(query, link))
+        .otherwise(F.concat(root, _without_dots(F.concat(folder, own)), rest))
+    )
+
+
+def declared_links(html: Column) -> Column:
+    """What a page's canonical links and refresh redirects name, all of them, as they stand there."""
 
-    def attribute(tag: Column, name: str) -> Column:
-        return F.regexp_extract(tag, rf"(?is){name}\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    def named(tag: str, address: str) -> Column:
+        tags = F.regexp_extract_all(html, F.lit(rf"(?is)(<{tag}[^>]*>)"), F.lit(1))
+        return F.transform(tags, lambda x: F.regexp_replace(F.regexp_extract(x, address, 1), "&amp;", "&"))
 
-    link = F.regexp_extract(html, r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    refresh = F.regexp_extract(html, r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
-    named = attribute(link, "href")
-    named = F.when(named != "", named).otherwise(F.regexp_extract(refresh, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>]+)", 1))
-    named = F.regexp_replace(named, "&amp;", "&")
-    return F.when(named.contains("://"), named)
+    canonical = named(r"link\b[^>]*\brel\s*=\s*[\"']?canonical\b", r"(?is)href\s*=\s*[\"']?([^\"'\s>]+)")
+    refresh = named(r"meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b", r"(?is)\burl\s*=\s*['\"]?([^\"'\s>]+)")
+    return F.concat(canonical, refresh)
 
 
 def alias_edges(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Distinct links (a, b) from a page's URL to its canonical address, and to the address its page declares."""
-    declared = F.when(F.col(html_col).rlike("(?i)canonical|refresh"), declared_link(F.col(html_col)))
-    links = pages.select(F.col(url_col).alias("u"), F.explode(F.array(canonical_of(F.col(url_col)), declared)).alias("v"))
-    links = links.where("v is not null and u is not null")
+    """Distinct links (a, b) from a page's URL to its canonical address, and to every address that its page declares."""
+    none = F.array().cast("array<string>")
+    declared = F.when(F.col(html_col).rlike("(?i)canonical|refresh"), declared_links(F.col(html_col))).otherwise(none)
+    links = pages.select(F.col(url_col).alias("u"), F.explode(F.concat(F.array(canonical_of(F.col(url_col))), declared)).alias("link"))
+    links = links.select("u", resolved(F.col("u"), F.col("link")).alias("v")).where("v is not null and u is not null")
     ends = links.select(F.col("u").alias("a"), F.col("v").alias("b"))
     # a declared address is itself a variant of its canonical one
     return ends.unionByName(links.select(F.col("v").alias("a"), canonical_of(F.col("v")).alias("b"))).where("a != b").distinct()

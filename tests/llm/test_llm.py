@@ -411,3 +411,33 @@ def test_marks_compete_by_their_ratios(html):
 )
 def test_names_are_outweighed_by_most_of_the_text(html):
     assert tag_paths.main_text(html).startswith(BODY_TEXT) and "Buy" not in tag_paths.main_text(html)
+
+
+def test_resolved_addresses_equal_the_standard_library(spark):
+    from urllib.parse import urljoin
+
+    bases = ["https://a.net/b/c/d.html?x=1#f", "http://a.net", "http://a.net/"]
+    links = ["/new", "?id=2", "//host/x", "e", "../e?y", "./", "../../../e", "#g", "e/./f/../g", "http://q.org/z?u=http://r.org", "/go?u=http://r.org", "/a/.."]
+    pairs = spark.createDataFrame([(b, x) for b in bases for x in links], "url string, link string")
+    for r in pairs.withColumn("v", url_filter.resolved(F.col("url"), F.col("link"))).collect():
+        assert r.v == urljoin(r.url, r.link), (r.url, r.link)
+    odd = spark.createDataFrame([("http://a.net", "mailto:x"), ("http://a.net", ""), ("abc", "/x"), (None, "/x")], "url string, link string")
+    assert [r[0] for r in odd.select(url_filter.resolved(F.col("url"), F.col("link"))).collect()] == [None] * 4
+
+
+def test_all_declared_links_carry_verdicts(spark):
+    def canonical(x):
+        return f"<link rel=canonical href='{x}'>"
+
+    def refresh(x):
+        return f"<meta http-equiv='refresh' content='0; url={x}'>"
+
+    blocked = "http://example.org/es/"
+    rows = [
+        (1, "http://p.net/1", canonical("http://p.net/1") + refresh(f"{blocked}1")), (2, "http://p.net/2", canonical("http://z.net/2") + canonical(f"{blocked}2")),
+        (3, "http://p.net/3", canonical("//example.org/es/3")), (4, "http://p.net/4", refresh("/es/4")), (5, "http://p.net/es/4", canonical(f"{blocked}4")),
+        (6, "http://p.net/6", refresh("?id=2")), (7, "http://p.net/6?id=2", canonical(f"{blocked}6")), (8, "http://p.net/8", refresh("/9")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.url_verdicts(pages, queries.URL_RULES).collect()}
+    assert got == dict.fromkeys(range(1, 8), "block") | {8: "allow"}
