@@ -75,4 +75,24 @@ class AS (SELECT node, min(d) AS class_id FROM reach JOIN least ON other = t GRO
 SELECT doc_id, class_id FROM documents JOIN numbered n ON n.text = coalesce(documents.text, '') JOIN class ON node = t
 """
 
-LLM_ORACLE_SQL = {"op4_url_filter": URL_FILTER, "op2_near_copies": NEAR_COPIES}
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+RANKED_SEARCH = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+word AS (SELECT r, unnest(terms) AS term FROM doc),
+tf AS (SELECT r, term, count(*) AS tf FROM word GROUP BY ALL),
+whole AS (SELECT count(DISTINCT r) AS n, count(*) AS l FROM word),
+weight AS (SELECT term, cast(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term),
+damped AS (SELECT r, doc_id, 100 - 25 + (25 * len(terms) * n) // l AS m FROM doc, whole WHERE len(terms) > 0),
+wanted AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, r, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weight USING (term) JOIN tf USING (term) JOIN damped USING (r) GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, cast(place AS INT) AS rank, doc_id, score FROM placed WHERE place <= 20
+"""
+
+LLM_ORACLE_SQL = {"op4_url_filter": URL_FILTER, "op2_near_copies": NEAR_COPIES, "op11_ranked_search": RANKED_SEARCH}

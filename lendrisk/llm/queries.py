@@ -1,4 +1,4 @@
-"""The ten operators over the provided tables, whole, and the SQL of those that SQL can express."""
+"""The operators over the provided tables, whole, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendrisk.llm import bagminhash, bpe, fertility, keyed_ids, multi_index, neighbour_vote, soft_mixing, tag_paths, trie_counts, url_filter
+from lendrisk.llm import (
+    bagminhash,
+    bpe,
+    fertility,
+    keyed_ids,
+    multi_index,
+    neighbour_vote,
+    reversed_search,
+    soft_mixing,
+    tag_paths,
+    trie_counts,
+    url_filter,
+)
 from lendrisk.llm.scratch import importable, shared_folder
 
 #: (verdict, host, path prefix) of the rules that ``op4_url_filter`` judges by.
@@ -81,7 +93,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_rules(documents, keep_text=False).drop("lang")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.ranked(spark, table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_near_copies, op3_main_text, op4_url_filter, op5_nearest, op6_mixing, op7_keyed_ids, op8_token_counts, op9_quality, op10_quality_rules)
+    for f in (
+        op1_bpe,
+        op2_near_copies,
+        op3_main_text,
+        op4_url_filter,
+        op5_nearest,
+        op6_mixing,
+        op7_keyed_ids,
+        op8_token_counts,
+        op9_quality,
+        op10_quality_rules,
+        op11_ranked_search,
+    )
 }

@@ -31,11 +31,13 @@ class Words:
     bounds: np.ndarray
 
 
-def words_of(texts: pa.Array) -> Words:
-    """Cut ``texts`` (null: empty)."""
+def words_of(texts: pa.Array, breaks: np.ndarray = BREAKS, fold: np.ndarray | None = None) -> Words:
+    """Cut ``texts`` (null: empty) at the bytes that ``breaks`` marks; ``fold`` replaces each byte first."""
     raw, bounds = string_bytes(texts)
+    if fold is not None:
+        raw = fold[raw]
     n = len(raw)
-    blank = BREAKS[raw]
+    blank = breaks[raw]
     edge = np.zeros(n, bool)
     edge[bounds[:-1][bounds[:-1] < n]] = True
     if n:
