@@ -95,4 +95,45 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 SELECT item_id, cast(place AS INT) AS rank, doc_id, score FROM placed WHERE place <= 20
 """
 
-LLM_ORACLE_SQL = {"op4_url_filter": URL_FILTER, "op2_near_copies": NEAR_COPIES, "op11_ranked_search": RANKED_SEARCH}
+
+def _nearest(book: str) -> str:
+    """Each part with the entry of ``book`` nearest to it, the lower of equally near ones, and its squared distance."""
+    far = "list_sum(list_transform(list_zip(part.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""
+  SELECT r, p, x, own.e AS e, own.d AS d FROM (
+    SELECT r, part.p, any_value(part.x) AS x, min({{'d': cast({far} AS BIGINT), 'e': b.e}}) AS own FROM part JOIN {book} b ON part.p = b.p GROUP BY r, part.p)"""
+
+
+def _moved(book: str, own: str) -> str:
+    """The entries of ``book`` at the floor of the mean of the parts that ``own`` gives them."""
+    return f"""
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY k) AS x FROM (
+      SELECT p, e, k, cast(floor(sum(c) / count(*)) AS BIGINT) AS mean
+      FROM (SELECT p, e, unnest(x) AS c, generate_subscripts(x, 1) AS k FROM {own}) GROUP BY p, e, k) GROUP BY p, e) m
+    ON b.p = m.p AND b.e = m.e"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM part WHERE r <= 64),
+own0 AS MATERIALIZED ({_nearest("book0")}),
+book1 AS MATERIALIZED ({_moved("book0", "own0")}),
+own1 AS MATERIALIZED ({_nearest("book1")}),
+book2 AS MATERIALIZED ({_moved("book1", "own1")}),
+own2 AS MATERIALIZED ({_nearest("book2")}),
+code AS (SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, cast(sum(d) AS BIGINT) AS error FROM own2 GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS sha FROM book2)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha FROM digest) AS codebooks_sha256
+FROM kept JOIN code USING (r)
+"""
+
+LLM_ORACLE_SQL = {
+    "op4_url_filter": URL_FILTER,
+    "op2_near_copies": NEAR_COPIES,
+    "op11_ranked_search": RANKED_SEARCH,
+    "op12_vector_codes": VECTOR_CODES,
+}

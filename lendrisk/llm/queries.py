@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lendrisk.llm import (
     bagminhash,
     bpe,
+    cover_codes,
     fertility,
     keyed_ids,
     multi_index,
@@ -97,6 +98,12 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reversed_search.ranked(spark, table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books, length = cover_codes.coded(table(spark, sf_dir, "embeddings"))
+    sha = F.lit(cover_codes.digest(books, length)).alias("codebooks_sha256")
+    return cover_codes.label_errors(codes).select(F.col("id").alias("vec_id"), "code", "error", "label_error", sha)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -111,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_quality_rules,
         op11_ranked_search,
+        op12_vector_codes,
     )
 }

@@ -1,0 +1,124 @@
+"""Vector codes by cover-tree Lloyd against brute force, and on awkward tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from lendrisk.llm import cover_codes
+from lendrisk.llm.scratch import importable
+
+ROWS = "vec_id long, embedding array<double>, label int, id string, v int, code string"
+
+
+@pytest.fixture(autouse=True)
+def _workers(spark):
+    importable(spark)
+
+
+def brute(rows, parts=16, entries=64, rounds=2):
+    kept = [(i, v, lb) for i, v, lb in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    sizes = [len(v) for _, v, _ in kept]
+    length = min(set(sizes), key=lambda n: (-sizes.count(n), n))
+    kept = [(i, [math.floor(256 * x) for x in v], lb) for i, v, lb in kept if len(v) == length]
+    width = -(-length // parts)
+    cut = lambda v: [tuple(v[p * width : (p + 1) * width]) for p in range(parts)]
+    first = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    books = [list(b) for b in zip(*(cut(v) for _, v, _ in first), strict=True)]
+    away = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+    near = lambda p, x: min(range(len(books[p])), key=lambda e: (away(x, books[p][e]), e))
+    for _ in range(rounds):
+        got = [[[] for _ in book] for book in books]
+        for _, v, _ in kept:
+            for p, x in enumerate(cut(v)):
+                got[p][near(p, x)].append(x)
+        books = [
+            [tuple(sum(c) // len(xs) for c in zip(*xs, strict=True)) if xs else old for old, xs in zip(book, mine, strict=True)]
+            for book, mine in zip(books, got, strict=True)
+        ]
+    out = []
+    for i, v, lb in kept:
+        own = [near(p, x) for p, x in enumerate(cut(v))]
+        out.append((i, lb, bytes(own).hex(), sum(away(x, books[p][own[p]]) for p, x in enumerate(cut(v)))))
+    text = ",".join(str(x) for book in books for entry in book for x in entry)
+    return sorted(out, key=repr), hashlib.sha256(text.encode()).hexdigest()
+
+
+def _rows(seed, n=150, size=32):
+    draw = random.Random(seed)
+    centres = [[draw.uniform(-1, 1) for _ in range(size)] for _ in range(5)]
+    rows = [(k, [c + draw.choice([0.0, 0.05, 0.3]) * draw.uniform(-1, 1) for c in draw.choice(centres)], draw.choice([1, 2, None])) for k in range(n)]
+    odd = [(3, None, 1), (n + 1, [0.0] * (size - 1) + [math.nan], 1), (n + 2, [None] + [0.0] * (size - 1), 2), (n + 3, [math.inf] * size, 2)]
+    odd += [(n + 4, [0.5], 1), (n + 5, [], None), (None, [0.25] * size, None), (n + 6, [0.0] * size, None)]
+    return rows + odd + rows[:30] + [(0, rows[9][1], 1)]
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(*r, "a", 1, "b") for r in rows], ROWS).repartition(3)
+
+
+def _found(spark, rows, **options):
+    codes, books, length = cover_codes.coded(_table(spark, rows), **options)
+    return sorted(map(tuple, codes.collect()), key=repr), cover_codes.digest(books, length)
+
+
+@pytest.mark.parametrize(("seed", "size", "options"), [(1, 32, {}), (2, 16, {"entries": 7, "rounds": 4}), (3, 40, {"parts": 5}), (4, 20, {"parts": 16})])
+def test_equals_brute_force(spark, monkeypatch, seed, size, options):
+    monkeypatch.setattr(cover_codes, "LEAF_POINTS", 2)
+    rows = _rows(seed, size=size)
+    assert _found(spark, rows, **options) == brute(rows, **options)
+
+
+def test_few_and_no_rows(spark):
+    rows = _rows(5)[:3]
+    assert _found(spark, rows) == brute(rows)
+    codes, books, length = cover_codes.coded(_table(spark, rows).limit(0))
+    assert codes.count() == 0 and books.size == 0 and length == 0
+    codes, books, length = cover_codes.coded(_table(spark, [(1, [], 1), (2, [], 1)]))
+    assert sorted(map(tuple, codes.collect())) == [(1, 1, "00" * 16, 0), (2, 1, "00" * 16, 0)]
+
+
+def test_too_large_components_stop_the_run(spark):
+    with pytest.raises(Exception, match="too large for 64-bit"):
+        cover_codes.coded(_table(spark, [(1, [1e300] * 16, 1)]))
+
+
+def test_trees_cover_and_part():
+    draw = np.random.default_rng(3)
+    points = draw.integers(-300, 300, (700, 3)) // draw.integers(1, 90, (700, 1))
+    points[:50] = points[0]
+    tree = cover_codes.CoverTree.of(points)
+    assert sorted(tree.order.tolist()) == list(range(700)) and (tree.points == points[tree.order]).all()
+    for node in tree.nodes:
+        inside = tree.points[node["lo"] : node["hi"]]
+        far = np.sqrt(((inside - inside[0]) ** 2).sum(axis=1))
+        assert far.max() <= node["radius"]
+        if node["to"]:
+            children = tree.nodes[node["from"] : node["to"]]
+            assert children["lo"][0] == node["lo"] and children["hi"][-1] == node["hi"] and (children["lo"][1:] == children["hi"][:-1]).all()
+            scale = 2.0 ** math.ceil(math.log2(far.max()))
+            assert (children["radius"] <= scale / 2 * (1 + 1e-9)).all()
+            heads = tree.points[children["lo"]]
+            apart = np.sqrt(((heads[:, None] - heads[None]) ** 2).sum(axis=2))
+            assert (apart[~np.eye(len(heads), dtype=bool)] > scale / 2).all()
+
+
+def test_whole_nodes_and_ties_equal_single_comparisons():
+    draw = np.random.default_rng(4)
+    points = np.concatenate([draw.normal(c, 3, (400, 4)) for c in (0, 500, 1000)]).astype(np.int64)
+    tree = cover_codes.CoverTree.of(points)
+    for entries in (points[[0, 500, 1000]], points[draw.integers(0, 1200, 64)], np.zeros((3, 4), np.int64)):
+        own = tree.nearest(entries)
+        assert (own == cover_codes.square_distances(tree.points, entries).argmin(axis=1)).all()
+        count, sums = tree.sums(own, len(entries))
+        for e in range(len(entries)):
+            assert count[e] == (own == e).sum() and (sums[e] == tree.points[own == e].sum(axis=0)).all()
+
+
+def test_label_errors(spark):
+    codes = spark.createDataFrame([(1, None, "00", 5), (2, None, "01", 7), (3, 4, "00", 2)], "id long, label int, code string, error long")
+    assert sorted((r.id, r.label_error) for r in cover_codes.label_errors(codes).collect()) == [(1, 12), (2, 12), (3, 2)]
