@@ -16,6 +16,7 @@ from lendrisk.llm import (
     multi_index,
     neighbour_vote,
     reversed_search,
+    sliced_simhash,
     soft_mixing,
     tag_paths,
     trie_counts,
@@ -104,6 +105,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_codes.label_errors(codes).select(F.col("id").alias("vec_id"), "code", "error", "label_error", sha)
 
 
+def op13_simhash_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sliced_simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -119,5 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality_rules,
         op11_ranked_search,
         op12_vector_codes,
+        op13_simhash_copies,
     )
 }
