@@ -1,7 +1,7 @@
 """The same results in plain SQL over the provided tables, written apart from the Spark code.
 
 Every statement starts from the raw-table mapping, cleans on its own terms and joins payment by payment: no pre-aggregation, no
-shared helper. Counts are cast to BIGINT, flags to INT; money is summed as DECIMAL(18,2) and leaves as DOUBLE.
+shared helper. Counts are cast to BIGINT, flags to INT; money is summed as DECIMAL(28,6) and leaves as DOUBLE.
 """
 
 from lendrisk.sources.provided import RAW_LOANS_SQL, RAW_MEMBERS_SQL, RAW_PAYMENTS_SQL
@@ -35,7 +35,7 @@ _CTES = {
     "marked": """
         SELECT *, CASE payment_status WHEN 'Late' THEN 1 WHEN 'Missed' THEN 1 ELSE 0 END AS is_late,
                CASE payment_status WHEN 'Missed' THEN 1 ELSE 0 END AS is_missed,
-               cast(is_late * (expected_amount - actual_amount) AS DECIMAL(18, 2)) AS owed
+               cast(CASE is_late WHEN 1 THEN expected_amount - actual_amount ELSE 0 END AS DECIMAL(28, 6)) AS owed
         FROM pc""",
     "lp": "SELECT * FROM lc JOIN marked USING (loan_id)",
     "mlp": "SELECT *, first_name || ' ' || last_name AS member_name FROM mc JOIN lp USING (member_id)",
@@ -45,7 +45,7 @@ _CTES = {
                cast(sum(is_missed) AS BIGINT) AS missed_payment_count,
                cast(sum(owed) AS DOUBLE) AS total_amount_past_due,
                count(payment_id) AS total_payments,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS delinquency_rate
         FROM mlp GROUP BY ALL""",
     "flagged": "SELECT * FROM totals WHERE account_status = 'Active' AND late_payment_count >= 3",
     "extent": """
@@ -72,7 +72,7 @@ _CTES = {
         SELECT member_id, member_name, loan_id, loan_type, original_amount, interest_rate, loan_status, origination_date,
                count(payment_id) AS total_payments, cast(sum(is_late) AS BIGINT) AS late_payments,
                cast(sum(is_missed) AS BIGINT) AS missed_payments, cast(sum(owed) AS DOUBLE) AS amount_past_due,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS loan_delinquency_rate
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS loan_delinquency_rate
         FROM mlp GROUP BY ALL""",
     "detail": """
         SELECT member_id, member_name, loan_id, loan_type, payment_id, due_date, payment_date, expected_amount,
@@ -86,13 +86,13 @@ _CTES = {
     "by_type": """
         SELECT loan_type, count(DISTINCT loan_id) AS total_loans, cast(sum(is_late) AS BIGINT) AS late_payments,
                count(payment_id) AS total_payments,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate_pct,
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS delinquency_rate_pct,
                cast(sum(owed) AS DOUBLE) AS amount_at_risk
         FROM lp GROUP BY loan_type""",
     "by_month": """
         SELECT left(due_date, 7) AS "month", count(payment_id) AS total_payments,
                cast(sum(is_late) AS BIGINT) AS late_payments,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate_pct
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS delinquency_rate_pct
         FROM marked GROUP BY 1""",
     "banded": """
         SELECT *, CASE WHEN credit_score IS NULL THEN 'Unknown' WHEN credit_score < 600 THEN 'Below 600 (Poor)'
@@ -102,12 +102,12 @@ _CTES = {
     "by_tier": """
         SELECT credit_tier, count(DISTINCT member_id) AS member_count, cast(sum(is_late) AS BIGINT) AS late_payments,
                count(payment_id) AS total_payments,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate_pct
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS delinquency_rate_pct
         FROM mlp JOIN (SELECT member_id, credit_tier FROM banded) USING (member_id) GROUP BY credit_tier""",
     "by_city": """
         SELECT city, count(DISTINCT member_id) AS member_count, cast(sum(is_late) AS BIGINT) AS late_payments,
                count(payment_id) AS total_payments,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate_pct
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS delinquency_rate_pct
         FROM mlp GROUP BY city""",
 }
 
@@ -145,10 +145,10 @@ _BODIES = {
     "canonical_loan_type": """
         SELECT loan_id, CASE lower(loan_type) WHEN 'auto loan' THEN 'Auto Loan' WHEN 'personal loan' THEN 'Personal Loan'
                              WHEN 'credit card' THEN 'Credit Card' WHEN 'student loan' THEN 'Student Loan'
-                             WHEN 'mortgage' THEN 'Mortgage' END AS loan_type
+                             WHEN 'mortgage' THEN 'Mortgage' WHEN 'home equity' THEN 'Home Equity' END AS loan_type
         FROM raw_loans""",
     "normalize_status": """
-        SELECT concat(upper(payment_status[1]), lower(payment_status[2:])) AS payment_status, count(*) AS payments
+        SELECT upper(payment_status[1]) || lower(payment_status[2:]) AS payment_status, count(*) AS payments
         FROM raw_payments GROUP BY 1""",
     "members_clean": "SELECT * FROM mc",
     "loans_clean": "SELECT * FROM lc",
@@ -164,10 +164,10 @@ _BODIES = {
     "delinquency_by_canonical_loan_type": """
         SELECT CASE lower(loan_type) WHEN 'auto loan' THEN 'Auto Loan' WHEN 'personal loan' THEN 'Personal Loan'
                     WHEN 'credit card' THEN 'Credit Card' WHEN 'student loan' THEN 'Student Loan'
-                    WHEN 'mortgage' THEN 'Mortgage' END AS loan_type,
+                    WHEN 'mortgage' THEN 'Mortgage' WHEN 'home equity' THEN 'Home Equity' END AS loan_type,
                count(DISTINCT loan_id) AS total_loans, cast(sum(is_late) AS BIGINT) AS late_payments,
                count(payment_id) AS total_payments,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate_pct,
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS delinquency_rate_pct,
                cast(sum(owed) AS DOUBLE) AS amount_at_risk
         FROM lp GROUP BY 1""",
     "monthly_delinquency_trend": "SELECT * FROM by_month",
@@ -214,7 +214,7 @@ _BODIES = {
     "kpi_overview": """
         SELECT (SELECT count(*) FROM mc) AS members, (SELECT count(*) FROM lc) AS loans, count(*) AS payments,
                cast(sum(is_late) AS BIGINT) AS late_payments,
-               round(100e0 * sum(is_late) / count(payment_id), 1) AS delinquency_rate_pct,
+               round(100e0 * sum(is_late) / nullif(count(payment_id), 0), 1) AS delinquency_rate_pct,
                cast(sum(owed) AS DOUBLE) AS amount_past_due, (SELECT count(*) FROM flagged) AS members_flagged
         FROM marked""",
     "member_detail_high_risk": "SELECT * FROM scored WHERE risk_tier = 'High Risk'",
