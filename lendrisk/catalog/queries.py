@@ -1,6 +1,7 @@
 """Every named query: ``(spark, directory of the provided tables) -> DataFrame``. Each runs over its whole tables."""
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,13 +28,18 @@ class Opened:
         self.raw = raw_from_provided(spark, sf_dir)
 
     @cached_property
-    def clean(self) -> LoanBook:
-        """Cleaned tables for queries that join nothing, so without the look for hot ids."""
-        return LoanBook.from_raw(self.raw, find_hot_keys=False)
+    def book(self) -> LoanBook:
+        return LoanBook.from_raw(self.raw)
 
     @cached_property
-    def book(self) -> LoanBook:
-        return self.clean.with_hot_keys()
+    def split(self) -> LoanBook:
+        """The book with the hot members and loans looked up, at any size of the tables."""
+        return self.book.with_hot_keys(payments=True, min_rows=50, min_share=0.02)
+
+    @cached_property
+    def active(self) -> LoanBook:
+        """The book with what its tables roll up from."""
+        return replace(self.book, activity=self.book.payment_activity())
 
 
 # --- sources and cleaning operators ---------------------------------------------------------------------------------
@@ -134,7 +140,6 @@ def csv_ingest_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     # No loans or payments are needed to clean members.
     return LoanBook.from_raw(
         RawTables(members, spark.createDataFrame([], V.RAW_LOANS), spark.createDataFrame([], V.RAW_PAYMENTS)),
-        find_hot_keys=False,
     ).members
 
 
@@ -145,7 +150,7 @@ def csv_ingest_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     payments = read_csv(spark, f"{directory}/raw_payments.csv", V.RAW_PAYMENTS).drop(INGEST_SEQ)
     members = spark.createDataFrame([], V.RAW_MEMBERS).withColumn(INGEST_SEQ, F.lit(0))
     return marts.monthly_delinquency_trend(
-        LoanBook.from_raw(RawTables(members, spark.createDataFrame([], V.RAW_LOANS), payments), find_hot_keys=False)
+        LoanBook.from_raw(RawTables(members, spark.createDataFrame([], V.RAW_LOANS), payments))
     )
 
 
@@ -207,16 +212,16 @@ OPENED_QUERIES: dict[str, Callable[[Opened], DataFrame]] = {
     "normalize_loan_type": lambda t: normalize_loan_type(t.raw),
     "canonical_loan_type": lambda t: canonical_loan_type(t.raw),
     "normalize_status": lambda t: normalize_status(t.raw),
-    "members_clean": lambda t: t.clean.members,
-    "loans_clean": lambda t: t.clean.loans,
-    "payments_clean": lambda t: t.clean.payments,
-    "member_credit_bands": lambda t: member_credit_bands(t.clean),
-    "loan_payment_stats": lambda t: loan_payment_stats(t.clean),
+    "members_clean": lambda t: t.book.members,
+    "loans_clean": lambda t: t.book.loans,
+    "payments_clean": lambda t: t.book.payments,
+    "member_credit_bands": lambda t: member_credit_bands(t.book),
+    "loan_payment_stats": lambda t: loan_payment_stats(t.book),
     "member_delinquency": lambda t: marts.member_delinquency(t.book),
     "member_delinquency_min12": lambda t: marts.member_delinquency(t.book, min_late=12),
     "delinquency_by_loan_type": lambda t: marts.delinquency_by_loan_type(t.book),
     "delinquency_by_canonical_loan_type": lambda t: marts.delinquency_by_loan_type(_canonical(t)),
-    "monthly_delinquency_trend": lambda t: marts.monthly_delinquency_trend(t.clean),
+    "monthly_delinquency_trend": lambda t: marts.monthly_delinquency_trend(t.book),
     "delinquency_by_credit_tier": lambda t: marts.delinquency_by_credit_tier(t.book),
     "delinquency_by_city": lambda t: marts.delinquency_by_city(t.book),
     "member_loan_summary": lambda t: marts.member_loan_summary(t.book),

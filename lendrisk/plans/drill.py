@@ -5,7 +5,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendrisk.functions.measures import dollars, past_due, rate_pct
-from lendrisk.operators.rollups import payment_counts, sum_measures
+from lendrisk.operators.rollups import activity_counts, payment_counts, sum_measures
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.marts import member_loan_summary, payment_detail
 
@@ -13,13 +13,15 @@ from lendrisk.plans.marts import member_loan_summary, payment_detail
 def kpi_overview(book: LoanBook, delinquency: DataFrame) -> DataFrame:
     """One row of headline numbers over the cleaned tables, with the flagged members.
 
-    Payment measures come from the written per-loan statistics if the book has them, else from one pass over payments.
+    Payment measures come from the written per-loan activity or statistics if the book has them, else from one pass over payments.
     """
 
     def rows(table: DataFrame) -> Column:
         return table.agg(F.count(F.lit(1)).alias("rows")).scalar()
 
-    if book.stats is None:
+    if book.activity is not None:
+        totals = book.activity.agg(*activity_counts(), F.sum("past_due").alias("past_due"), F.sum("rows").alias("payments"))
+    elif book.stats is None:
         totals = book.payments.agg(*payment_counts(), F.sum(past_due()).alias("past_due"), F.count(F.lit(1)).alias("payments"))
     else:
         totals = book.stats.agg(*sum_measures(("total_payments", "late_payments", "past_due"))).withColumn("payments", rows(book.payments))
@@ -65,6 +67,7 @@ def for_member(book: LoanBook, member_id: str) -> LoanBook:
         payments=book.payments.join(own, "loan_id", "left_semi"),
         hot_members=(member_id,),
         stats=None if book.stats is None else book.stats.join(own, "loan_id", "left_semi"),
+        activity=None if book.activity is None else book.activity.join(own, "loan_id", "left_semi"),
     )
 
 

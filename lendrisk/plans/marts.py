@@ -1,7 +1,7 @@
 """The seven analytical tables.
 
 Payments are the large table. Five of the marts read it through ``loan_payment_stats``: one pass, combined before the only
-shuffle that grows with it. ``payment_detail`` and the monthly tables read payments directly.
+shuffle that grows with it. ``payment_detail`` reads payments directly; the monthly tables roll up ``loan_activity``.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lendrisk import fixed_values as V
 from lendrisk.functions.measures import credit_band, days_late, dollars, due_month, rate_pct, shortfall
 from lendrisk.functions.text import full_name
-from lendrisk.operators.rollups import payment_counts, sum_measures
+from lendrisk.operators.rollups import activity_counts, payment_counts, rows_where, sum_measures
+from lendrisk.operators.skew import join_unique
 from lendrisk.plans.book import LoanBook
 
 
@@ -76,7 +77,10 @@ def delinquency_by_loan_type(book: LoanBook) -> DataFrame:
 
 def monthly_delinquency_trend(book: LoanBook) -> DataFrame:
     """M3: payments and late payments per due month. No join: payments of unknown loans count."""
-    per_month = book.payments.groupBy(due_month(F.col("due_date")).alias("month")).agg(*payment_counts())
+    if book.activity is None:
+        per_month = book.payments.groupBy(due_month(F.col("due_date")).alias("month")).agg(*payment_counts())
+    else:
+        per_month = book.activity.groupBy("month").agg(*activity_counts())
     return per_month.select(
         "month", "total_payments", "late_payments", _rate().alias("delinquency_rate_pct")
     ).orderBy("month")
@@ -127,7 +131,7 @@ def member_loan_summary(book: LoanBook) -> DataFrame:
 
 def _payment_detail(book: LoanBook, payments: DataFrame, *extra: str) -> DataFrame:
     owners = book.with_members(book.loans.select("loan_id", "loan_type", "member_id"), "first_name", "last_name")
-    return payments.join(owners, "loan_id").select(
+    return join_unique(payments, owners, "loan_id", book.hot_loans).select(
         "member_id",
         _member_name(),
         "loan_id",
@@ -173,11 +177,14 @@ def sorted_payment_detail(book: LoanBook) -> DataFrame:
 
 
 def member_monthly_status(book: LoanBook) -> DataFrame:
-    """Payments per member, due month and status. Other statuses add no column but keep their month."""
+    """Payments per member, due month and status. Other statuses add no column but keep their month.
+
+    What is joined with the loans is ``loan_activity``, in which a loan's payments of one month and status are one row.
+    """
     owners = book.with_members(book.loans.select("loan_id", "member_id"))
-    rows = book.payments.select("loan_id", due_month(F.col("due_date")).alias("month"), "payment_status")
     counts = [
-        F.count_if(F.col("payment_status") == status).alias(name)
+        rows_where(F.col("payment_status") == status).alias(name)
         for name, status in (("on_time", V.ON_TIME), ("late", V.LATE), ("missed", V.MISSED), ("partial", V.PARTIAL))
     ]
-    return rows.join(owners, "loan_id").groupBy("member_id", "month").agg(*counts)
+    activity = book.payment_activity().select("loan_id", "month", "payment_status", "rows")
+    return activity.join(owners, "loan_id").groupBy("member_id", "month").agg(*counts)
