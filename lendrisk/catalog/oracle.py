@@ -240,8 +240,89 @@ _BODIES = {
 }
 
 
-def _statement(body: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in _CTES.items()) + "\n" + body
+def _places(table: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM {table}"
 
 
-ORACLE_SQL: dict[str, str] = {name: _statement(body) for name, body in _BODIES.items()}
+_BODIES |= {
+    "trend_from_activity": _BODIES["monthly_delinquency_trend"],
+    "kpi_from_activity": _BODIES["kpi_overview"],
+    "loan_stats_from_activity": _BODIES["loan_payment_stats"],
+    "loan_type_positions": _places("by_type", "delinquency_rate_pct DESC NULLS LAST, loan_type DESC"),
+    "credit_tier_positions": _places("by_tier", "delinquency_rate_pct DESC NULLS LAST, credit_tier DESC"),
+    "city_positions": _places("by_city", "delinquency_rate_pct DESC NULLS LAST, city DESC"),
+    "month_positions": _places("by_month", '"month" NULLS FIRST'),
+    "risk_positions": _places("scored", "risk_score DESC, member_id"),
+    "payment_detail_positions": _places(
+        "detail",
+        "member_id, due_date NULLS FIRST, loan_id, payment_id NULLS FIRST, payment_date NULLS FIRST, expected_amount NULLS FIRST, actual_amount",
+    ),
+    "payment_detail_hot_keys": _BODIES["payment_detail"],
+    "member_loan_summary_hot_keys": _BODIES["member_loan_summary"],
+    "member_delinquency_hot_keys": _BODIES["member_delinquency"],
+    "export_values_payment_detail": _BODIES["payment_detail"],
+    "export_values_member_loan_summary": _BODIES["member_loan_summary"],
+    "member_loans_stored": _BODIES["member_drill_loans"],
+    "member_payments_stored": _BODIES["member_drill_payments"],
+    "payment_detail_month": "SELECT * FROM detail WHERE due_date LIKE '1997-03-%'",
+    "payment_detail_month_replaced": _BODIES["payment_detail"],
+    "stored_scores": _BODIES["member_delinquency_scored"],
+    "stored_versions": """
+        SELECT "table", "rows" AS rows_recorded, "rows" AS rows_read FROM (
+            SELECT 'members_clean' AS "table", (SELECT count(*) FROM mc) AS "rows"
+            UNION ALL SELECT 'loans_clean', (SELECT count(*) FROM lc)
+            UNION ALL SELECT 'payments_clean', (SELECT count(*) FROM pc)
+            UNION ALL SELECT 'loan_activity', (SELECT count(*) FROM (SELECT DISTINCT loan_id, left(due_date, 7), payment_status FROM pc))
+            UNION ALL SELECT 'loan_payment_stats', (SELECT count(*) FROM (SELECT DISTINCT loan_id FROM pc))
+            UNION ALL SELECT 'member_delinquency', (SELECT count(*) FROM flagged)
+            UNION ALL SELECT 'member_delinquency_scored', (SELECT count(*) FROM flagged)
+            UNION ALL SELECT 'delinquency_by_loan_type', (SELECT count(*) FROM by_type)
+            UNION ALL SELECT 'monthly_delinquency_trend', (SELECT count(*) FROM by_month)
+            UNION ALL SELECT 'delinquency_by_credit_tier', (SELECT count(*) FROM by_tier)
+            UNION ALL SELECT 'delinquency_by_city', (SELECT count(*) FROM by_city)
+            UNION ALL SELECT 'member_monthly_status', (SELECT count(*) FROM (SELECT DISTINCT member_id, left(due_date, 7) FROM mlp))
+            UNION ALL SELECT 'payment_detail', (SELECT count(*) FROM detail)
+            UNION ALL SELECT 'member_loan_summary', (SELECT count(*) FROM summary))""",
+    "refresh_quality": """
+        SELECT 'loaded' AS section, 'raw_members' AS measure, count(*) AS "value" FROM raw_members
+        UNION ALL SELECT 'loaded', 'raw_loans', count(*) FROM raw_loans
+        UNION ALL SELECT 'loaded', 'raw_payments', count(*) FROM raw_payments
+        UNION ALL SELECT section, measure, 0 FROM (VALUES ('members'), ('loans'), ('payments')) AS s(section),
+            (VALUES ('malformed_records'), ('unreadable_cells')) AS m(measure)
+        UNION ALL """ + _BODIES["data_quality_report"],
+    "rejected_cells": """
+        SELECT 'raw_members' AS source, member_id AS "key", 'credit_score' AS "column", 'n.b.' AS "text" FROM raw_members WHERE phone = 'N/A'
+        UNION ALL SELECT 'raw_loans', loan_id, 'interest_rate', '5,5 %' FROM raw_loans WHERE loan_status = 'Default' AND loan_type <> 'home equity'
+        UNION ALL SELECT 'raw_loans', NULL, NULL, loan_id || ',' || member_id FROM raw_loans WHERE loan_type = 'home equity'
+        UNION ALL SELECT 'raw_payments', payment_id, 'actual_amount', 'half' FROM raw_payments WHERE payment_status = 'PARTIAL'
+        UNION ALL SELECT 'raw_payments', NULL, NULL, loan_id || ',a,b,c,d,e,f,g' FROM raw_payments WHERE payment_status = 'MISSED'""",
+    "data_quality_report_rejects": _BODIES["data_quality_report"] + """
+        UNION ALL SELECT 'members', 'malformed_records', 0
+        UNION ALL SELECT 'members', 'unreadable_cells', count(*) FROM raw_members WHERE phone = 'N/A'
+        UNION ALL SELECT 'loans', 'malformed_records', count(*) FROM whole_loans WHERE loan_type = 'home equity'
+        UNION ALL SELECT 'loans', 'unreadable_cells', count(*) FROM raw_loans WHERE loan_status = 'Default'
+        UNION ALL SELECT 'payments', 'malformed_records', count(*) FROM whole_payments WHERE payment_status = 'MISSED'
+        UNION ALL SELECT 'payments', 'unreadable_cells', count(*) FROM raw_payments WHERE payment_status = 'PARTIAL'""",
+}
+
+# What reading makes of the raw tables where cells or records can't be used.
+_READ = {
+    "raw_members": f"SELECT * REPLACE (CASE WHEN phone <> 'N/A' OR phone IS NULL THEN credit_score END AS credit_score) FROM ({RAW_MEMBERS_SQL})",
+    "whole_loans": RAW_LOANS_SQL,
+    "raw_loans": """SELECT * REPLACE (CASE WHEN loan_status <> 'Default' THEN interest_rate END AS interest_rate) FROM whole_loans
+        WHERE loan_type <> 'home equity'""",
+    "whole_payments": RAW_PAYMENTS_SQL,
+    "raw_payments": """SELECT * REPLACE (CASE WHEN payment_status IS DISTINCT FROM 'PARTIAL' THEN actual_amount END AS actual_amount)
+        FROM whole_payments WHERE payment_status IS DISTINCT FROM 'MISSED'""",
+}
+
+
+def _statement(body: str, tables: dict[str, str] | None = None) -> str:
+    # replaced tables come first: the others need them
+    ctes = {**tables, **{name: text for name, text in _CTES.items() if name not in tables}} if tables else _CTES
+    return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in ctes.items()) + "\n" + body
+
+
+ORACLE_SQL: dict[str, str] = {
+    name: _statement(body, _READ if name == "data_quality_report_rejects" else None) for name, body in _BODIES.items()
+}

@@ -4,18 +4,21 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lendrisk import fixed_values as V
-from lendrisk.functions.measures import credit_band, dollars
+from lendrisk.functions.measures import credit_band, dollars, due_month
 from lendrisk.functions.text import capitalize_first, null_if_in
 from lendrisk.operators.cleaning import clean_loan_type, dedup_keep_first, missing_flag
+from lendrisk.operators.ordering import with_position
 from lendrisk.plans import drill, marts, quality, scoring
 from lendrisk.plans.book import LoanBook
-from lendrisk.plans.refresh import store_results
+from lendrisk.plans.refresh import detail_layout, full_refresh, replace_month, store_results, store_tables, summary_layout
+from lendrisk.sources.clustered import Clustered
 from lendrisk.sources.provided import raw_from_provided
-from lendrisk.sources.raw import INGEST_SEQ, RawTables, read_csv, register, row_counts
-from lendrisk.sources.sinks import export_csv, scratch_path
+from lendrisk.sources.raw import INGEST_SEQ, RawTables, read_csv, read_raw, register, row_counts
+from lendrisk.sources.sinks import export_csv, read_export, scratch_path, write_table
+from lendrisk.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 c = F.col
@@ -199,6 +202,139 @@ def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- order as data ----------------------------------------------------------------------------------------------------
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, stored in the shared folder and read back."""
+    return write_table(df, scratch_path(df.sparkSession, "stored"))
+
+
+def _placed(df: DataFrame, *order: Column | str) -> DataFrame:
+    return with_position(df, *order, store=stored)
+
+
+def _worst_first(df: DataFrame, key: str) -> DataFrame:
+    return _placed(df, F.desc("delinquency_rate_pct"), F.desc(key))
+
+
+def payment_detail_positions(book: LoanBook) -> DataFrame:
+    """O3: every payment's place by member, due date, loan and payment."""
+    return _placed(marts.payment_detail(book), *(F.asc_nulls_first(name) for name in ("member_id", "due_date", "loan_id", "payment_id", "payment_date", "expected_amount", "actual_amount")))
+
+
+# --- stored tables ----------------------------------------------------------------------------------------------------
+
+#: Ranges that the stored tables of the queries are cut into, and the month that is read or replaced alone.
+BLOCKS, CHOSEN_MONTH = 16, "1997-03"
+
+
+def stored_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables that readers find after one whole run and one that stopped, as recorded and as read."""
+    directory = scratch_path(spark, "store")
+    book = LoanBook.from_raw(raw_from_provided(spark, sf_dir))
+    store = store_tables(book, directory)
+    store.begin().write("members_clean", book.members.limit(0))  # and no commit
+    recorded = spark.createDataFrame([(e.table, e.rows) for e in store.entries().values()], "table string, rows_recorded bigint")
+    return recorded.join(row_counts(TableStore(spark, directory).tables()).withColumnRenamed("rows", "rows_read"), "table")
+
+
+def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored members as a reader of the store finds them."""
+    return store_tables(LoanBook.from_raw(raw_from_provided(spark, sf_dir)), scratch_path(spark, "store")).table("member_delinquency_scored")
+
+
+def _exported(df: DataFrame) -> DataFrame:
+    """A table written as CSV and read back with its types."""
+    path = f"{scratch_path(df.sparkSession, 'values')}/table.csv"
+    export_csv(df, path)
+    return read_export(df.sparkSession, path)
+
+
+def _stored_detail(book: LoanBook) -> Clustered:
+    placed = marts.placed_payment_detail(book)
+    detail = detail_layout(scratch_path(placed.sparkSession, "detail"), placed.drop("_place").schema)
+    detail.write(placed, BLOCKS)
+    return detail
+
+
+def member_loans_stored(book: LoanBook) -> DataFrame:
+    """D3 over M6 stored by member: reads the files that may hold the member."""
+    summary = marts.member_loan_summary(book)
+    table = summary_layout(scratch_path(summary.sparkSession, "summary"), summary.schema)
+    table.write(summary, BLOCKS)
+    return drill.stored_member_loans(summary.sparkSession, table, CHOSEN_MEMBER)
+
+
+def member_payments_stored(book: LoanBook) -> DataFrame:
+    """D3 over M7 stored by month and member."""
+    spark = book.payments.sparkSession
+    return drill.stored_member_payments(spark, _stored_detail(book), CHOSEN_MEMBER).drop("due_month")
+
+
+def payment_detail_month(book: LoanBook) -> DataFrame:
+    """M7 of one month, read from its folder alone."""
+    return _stored_detail(book).read(book.payments.sparkSession).where(c("due_month") == CHOSEN_MONTH).drop("due_month")
+
+
+def payment_detail_month_replaced(book: LoanBook) -> DataFrame:
+    """M7 stored with one month's payments wrong, after that month alone was made anew."""
+    wrong = F.when(due_month(c("due_date")) == CHOSEN_MONTH, F.lit(0.0)).otherwise(c("actual_amount"))
+    detail = _stored_detail(replace(book, payments=book.payments.withColumn("actual_amount", wrong)))
+    return replace_month(detail, book, CHOSEN_MONTH, BLOCKS).drop("due_month")
+
+
+# --- raw text with what can't be used ---------------------------------------------------------------------------------
+
+
+def _write_lines(table: DataFrame, schema: T.StructType, path: str, broken: Column, line: Column, **cells: Column) -> None:
+    """Write a raw table as CSV text with ``cells`` in place of its own, and ``line`` for records that are ``broken``."""
+    options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    whole = F.to_csv(F.struct(*(cells.get(f, c(f)).cast("string").alias(f) for f in schema.names)), options)
+    text = F.when(broken, line).otherwise(whole)
+    # every file begins with the header
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.lit(",".join(schema.names) + "\n")
+    table.select(F.concat(F.when(first, header).otherwise(F.lit("")), text).alias("value")).write.text(path)
+
+
+def _raw_with_rejects(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The raw tables by way of CSV text, in which some cells are no numbers and some records are too short or too long."""
+    raw, directory = raw_from_provided(spark, sf_dir), scratch_path(spark, "rejects")
+    never = F.lit(False)
+    members = raw.members.orderBy(raw.member_order)
+    _write_lines(members, V.RAW_MEMBERS, f"{directory}/raw_members.csv", never, F.lit(""),
+                 credit_score=F.when(c("phone") == "N/A", "n.b.").otherwise(c("credit_score").cast("string")))
+    _write_lines(raw.loans, V.RAW_LOANS, f"{directory}/raw_loans.csv", c("loan_type") == "home equity", F.concat_ws(",", "loan_id", "member_id"),
+                 interest_rate=F.when(c("loan_status") == "Default", "5,5 %").otherwise(c("interest_rate").cast("string")))
+    _write_lines(raw.payments, V.RAW_PAYMENTS, f"{directory}/raw_payments.csv", c("payment_status") == "MISSED",
+                 F.concat(c("loan_id"), F.lit(",a,b,c,d,e,f,g")),
+                 actual_amount=F.when(c("payment_status") == "PARTIAL", "half").otherwise(c("actual_amount").cast("string")))
+    return read_raw(spark, directory)
+
+
+def rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records and cells that reading could not use."""
+    return _raw_with_rejects(spark, sf_dir).rejects.select("source", "key", "column", "text")
+
+
+def data_quality_report_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 with what reading could not use."""
+    raw = _raw_with_rejects(spark, sf_dir)
+    book = LoanBook.from_raw(raw)
+    return quality.data_quality_report(raw, book, marts.member_delinquency(book))
+
+
+def refresh_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run from CSV files; its report holds what was counted while tables were written."""
+    directory = scratch_path(spark, "refresh")
+    raw = raw_from_provided(spark, sf_dir)
+    _write_raw_csv(raw, directory, *raw.named())
+    report = full_refresh(spark, directory, f"{directory}/out")
+    loaded = report.loaded.select(F.lit("loaded").alias("section"), c("table").alias("measure"), c("rows").alias("value"))
+    return loaded.unionByName(report.quality)
+
+
 # Queries over opened tables.
 OPENED_QUERIES: dict[str, Callable[[Opened], DataFrame]] = {
     "dedup_members": lambda t: dedup_keep_first(t.raw.members, ["member_id"], t.raw.member_order),
@@ -241,6 +377,24 @@ OPENED_QUERIES: dict[str, Callable[[Opened], DataFrame]] = {
     "member_drill_loans": lambda t: drill.member_drill_loans(t.book, CHOSEN_MEMBER),
     "member_drill_payments": lambda t: drill.member_drill_payments(t.book, CHOSEN_MEMBER),
     "member_monthly_status": lambda t: marts.member_monthly_status(t.book),
+    "trend_from_activity": lambda t: marts.monthly_delinquency_trend(t.active),
+    "kpi_from_activity": lambda t: drill.kpi_overview(t.active, marts.member_delinquency(t.book)),
+    "loan_stats_from_activity": lambda t: loan_payment_stats(t.active),
+    "loan_type_positions": lambda t: _worst_first(marts.delinquency_by_loan_type(t.book), "loan_type"),
+    "credit_tier_positions": lambda t: _worst_first(marts.delinquency_by_credit_tier(t.book), "credit_tier"),
+    "city_positions": lambda t: _worst_first(marts.delinquency_by_city(t.book), "city"),
+    "month_positions": lambda t: _placed(marts.monthly_delinquency_trend(t.book), F.asc_nulls_first("month")),
+    "risk_positions": lambda t: _placed(_scored(t.book), F.desc("risk_score"), "member_id"),
+    "payment_detail_positions": lambda t: payment_detail_positions(t.book),
+    "payment_detail_hot_keys": lambda t: marts.payment_detail(t.split),
+    "member_loan_summary_hot_keys": lambda t: marts.member_loan_summary(t.split),
+    "member_delinquency_hot_keys": lambda t: marts.member_delinquency(t.split),
+    "export_values_payment_detail": lambda t: _exported(marts.payment_detail(t.book)),
+    "export_values_member_loan_summary": lambda t: _exported(marts.member_loan_summary(t.book)),
+    "member_loans_stored": lambda t: member_loans_stored(t.book),
+    "member_payments_stored": lambda t: member_payments_stored(t.book),
+    "payment_detail_month": lambda t: payment_detail_month(t.book),
+    "payment_detail_month_replaced": lambda t: payment_detail_month_replaced(t.book),
 }
 
 
@@ -254,4 +408,9 @@ QUERIES: dict[str, Query] = {
     "csv_ingest_trend": csv_ingest_trend,
     **{name: partial(_open_and_run, query) for name, query in OPENED_QUERIES.items()},
     "export_round_trip": export_round_trip,
+    "stored_versions": stored_versions,
+    "stored_scores": stored_scores,
+    "rejected_cells": rejected_cells,
+    "data_quality_report_rejects": data_quality_report_rejects,
+    "refresh_quality": refresh_quality,
 }

@@ -103,3 +103,5 @@ RAW_PAYMENTS = T.StructType([
     T.StructField("actual_amount", T.DoubleType()),
     T.StructField("payment_status", T.StringType()),
 ])
+
+RAW_SCHEMAS = {"raw_members": RAW_MEMBERS, "raw_loans": RAW_LOANS, "raw_payments": RAW_PAYMENTS}

@@ -2,12 +2,13 @@
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendrisk.functions.measures import dollars, past_due, rate_pct
 from lendrisk.operators.rollups import activity_counts, payment_counts, sum_measures
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.marts import member_loan_summary, payment_detail
+from lendrisk.sources.clustered import Clustered
 
 
 def kpi_overview(book: LoanBook, delinquency: DataFrame) -> DataFrame:
@@ -79,3 +80,13 @@ def member_drill_loans(book: LoanBook, member_id: str) -> DataFrame:
 def member_drill_payments(book: LoanBook, member_id: str) -> DataFrame:
     """D3: one member's payment history (M7 for one member)."""
     return payment_detail(for_member(book, member_id)).orderBy("due_date", "payment_id")
+
+
+def stored_member_loans(spark: SparkSession, summary: Clustered, member_id: str) -> DataFrame:
+    """D3 from a stored M6: reads the files that may hold the member."""
+    return summary.lookup(spark, member_id).orderBy("loan_id")
+
+
+def stored_member_payments(spark: SparkSession, detail: Clustered, member_id: str, month: str | None = None) -> DataFrame:
+    """D3 from a stored M7, of all months or of one: reads the files that may hold the member."""
+    return detail.lookup(spark, member_id, part=month).orderBy("due_date", "payment_id")

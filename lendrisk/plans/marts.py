@@ -4,6 +4,8 @@ Payments are the large table. Five of the marts read it through ``loan_payment_s
 shuffle that grows with it. ``payment_detail`` reads payments directly; the monthly tables roll up ``loan_activity``.
 """
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendrisk import fixed_values as V
@@ -176,6 +178,17 @@ def sorted_payment_detail(book: LoanBook) -> DataFrame:
     return by_member_and_due_date(_payment_detail(book, with_place(book.payments), "_place"))
 
 
+def placed_payment_detail(book: LoanBook) -> DataFrame:
+    """M7 with ``due_month`` and each payment's place in the payments scan, as it is laid out in storage."""
+    rows = _payment_detail(book, with_place(book.payments), "_place")
+    return rows.withColumn("due_month", due_month(F.col("due_date")))
+
+
+def of_month(book: LoanBook, month: str | None) -> LoanBook:
+    """The book with the payments due in one month alone."""
+    return replace(book, payments=book.payments.where(due_month(F.col("due_date")).eqNullSafe(F.lit(month))), stats=None, activity=None)
+
+
 def member_monthly_status(book: LoanBook) -> DataFrame:
     """Payments per member, due month and status. Other statuses add no column but keep their month.
 

@@ -1,17 +1,20 @@
 """The full refresh: raw files in, cleaned tables, marts, scores, reports and CSV exports out."""
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Sequence
+from concurrent.futures import Executor, ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from lendrisk import fixed_values as V
+from lendrisk.operators.rollups import stats_of_activity
 from lendrisk.plans import marts, quality, scoring
 from lendrisk.plans.book import LoanBook
-from lendrisk.sources.raw import RawTables, read_raw, register, row_counts
-from lendrisk.sources.sinks import export_tables, write_table
+from lendrisk.sources.clustered import Clustered
+from lendrisk.sources.raw import SPARED_COLUMNS, RawTables, raw_tables, read_raw, read_raw_checked, register
+from lendrisk.sources.sinks import export_tables
+from lendrisk.sources.store import Draft, TableStore
 
 # Row order of the exported files; the others have none.
 EXPORT_ORDER: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -20,7 +23,7 @@ EXPORT_ORDER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "monthly_delinquency_trend": lambda df: df.orderBy("month"),
     "delinquency_by_credit_tier": partial(marts.worst_first, key="credit_tier"),
     "delinquency_by_city": partial(marts.worst_first, key="city"),
-    "payment_detail": lambda df: marts.by_member_and_due_date(marts.with_place(df)),
+    "payment_detail": lambda df: marts.by_member_and_due_date(marts.with_place(df.drop("due_month"))),
 }
 
 
@@ -28,61 +31,133 @@ EXPORT_ORDER: dict[str, Callable[[DataFrame], DataFrame]] = {
 WRITERS = 4
 
 
+def summary_layout(path: str, schema: T.StructType) -> Clustered:
+    """How ``member_loan_summary`` is stored: by member."""
+    return Clustered(path, "member_id", schema, ("loan_id",))
+
+
+def detail_layout(path: str, schema: T.StructType) -> Clustered:
+    """How ``payment_detail`` is stored: a folder per due month, by member within it. ``_place`` spreads equal copies."""
+    return Clustered(path, "member_id", schema, ("due_date", "loan_id", "payment_id", "_place"), "due_month")
+
+
+def stored_summary(store: TableStore) -> Clustered:
+    """The last version's ``member_loan_summary``."""
+    entry = store.entries()["member_loan_summary"]
+    return summary_layout(f"{store.directory}/{entry.path}".removesuffix("/rows"), entry.schema)
+
+
+def stored_detail(store: TableStore) -> Clustered:
+    """The last version's ``payment_detail``."""
+    entry = store.entries()["payment_detail"]
+    return detail_layout(f"{store.directory}/{entry.path}".removesuffix("/rows"), entry.schema)
+
+
+def replace_month(detail: Clustered, book: LoanBook, month: str | None, blocks: int | None = None) -> DataFrame:
+    """Make one month of a stored ``payment_detail`` anew from ``book`` and leave the others as they are."""
+    return detail.rewrite(marts.placed_payment_detail(marts.of_month(book, month)), blocks)
+
+
 @dataclass(frozen=True)
 class StoredResults:
-    """Result tables as stored, by name, and the row counts of their exports."""
+    """Result tables as stored, by name, the row counts of their exports, and what was counted while they were written."""
 
     book: LoanBook
     tables: dict[str, DataFrame]
     exported: DataFrame
+    counted: dict[str, dict[str, int]]
+    store: TableStore
 
 
 @dataclass(frozen=True)
 class RefreshReport:
-    """What a run reports. All five tables are small."""
+    """What a run reports. All five tables are small; ``rejects`` has what reading raw CSV could not use, if that was read."""
 
     loaded: DataFrame
     quality: DataFrame
     highest_delinquency: DataFrame
     risk_tiers: DataFrame
     exported: DataFrame
+    store: TableStore
+    rejects: DataFrame | None = None
 
 
-def store_results(book: LoanBook, directory: str, scheme: str = "code") -> StoredResults:
-    """Store every mart as parquet below ``<directory>/tables`` and export nine of them below ``<directory>/export``.
+def store_results(book: LoanBook, directory: str, scheme: str = "code", *, blocks: int | None = None) -> StoredResults:
+    """Store every mart as a new version of the tables below ``directory`` and export nine of them below ``<directory>/export``.
 
-    Deduplicated members and per-loan statistics are stored first, so each mart starts from plain scans, and a lost
-    executor costs no more than the running step. The exports sort stored tables: a range sort reads its input twice, and
-    this way that is a scan and not a join.
+    Cleaned tables and the per-loan activity and statistics are stored first, so each mart starts from plain scans, payments
+    are scanned once for all that rolls up from them, and a lost executor costs no more than the running step. Readers find the
+    old version until the last table is there (``sources.store``). The exports are made from the new version then; they sort
+    stored tables, as a range sort reads its input twice, and this way that is a scan and not a join. ``blocks`` is the number
+    of ranges that the tables stored by member are cut into.
     """
+    draft = TableStore(book.payments.sparkSession, directory).begin()
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return _finish(pool, draft, _fill(pool, draft, book, scheme, blocks))
+
+
+def store_tables(book: LoanBook, directory: str, scheme: str = "code", *, blocks: int | None = None) -> TableStore:
+    """``store_results`` without the exports."""
+    draft = TableStore(book.payments.sparkSession, directory).begin()
     with ThreadPoolExecutor(WRITERS) as pool:
-        return _store_results(pool, book, directory, scheme)
+        _fill(pool, draft, book, scheme, blocks)
+    draft.commit()
+    return draft.store
 
 
-def _store_results(pool: ThreadPoolExecutor, book: LoanBook, directory: str, scheme: str) -> StoredResults:
-    def store(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        paths = [f"{directory}/tables/{name}" for name in tables]
-        return dict(zip(tables, pool.map(write_table, tables.values(), paths)))
+def _fill(pool: Executor, draft: Draft, book: LoanBook, scheme: str, blocks: int | None) -> tuple[LoanBook, dict[str, dict[str, int]]]:
+    """Write all tables of a version; returns the stored book and what was counted."""
+    counted: dict[str, dict[str, int]] = {}
 
-    inputs = store({
-        "members_clean": book.members, "loans_clean": book.loans, "loan_payment_stats": book.payment_stats(),
-    })
-    book = replace(
-        book, members=inputs["members_clean"], loans=inputs["loans_clean"], stats=inputs["loan_payment_stats"]
+    def store(tables: dict[str, DataFrame], metrics: dict[str, list[Column]] | None = None) -> dict[str, DataFrame]:
+        def write(name: str) -> DataFrame:
+            stored, counted[name] = draft.write(name, tables[name], *(metrics or {}).get(name, ()))
+            return stored
+
+        return dict(zip(tables, pool.map(write, tables)))
+
+    inputs = store(
+        {"members_clean": book.members, "loans_clean": book.loans, "payments_clean": book.payments},
+        {"members_clean": quality.clean_member_measures()},
     )
+    book = replace(book, members=inputs["members_clean"], loans=inputs["loans_clean"], payments=inputs["payments_clean"])
+    book = replace(book, activity=store({"loan_activity": book.payment_activity()})["loan_activity"])
+    book = replace(book, stats=store({"loan_payment_stats": stats_of_activity(book.activity)})["loan_payment_stats"])
     delinquency = store({"member_delinquency": marts.member_delinquency(book)})["member_delinquency"]
-    tables = store({
+    clustered = [
+        pool.submit(_write_clustered, draft, "payment_detail", detail_layout, marts.placed_payment_detail(book), blocks),
+        pool.submit(_write_clustered, draft, "member_loan_summary", summary_layout, marts.member_loan_summary(book), blocks),
+    ]
+    store({
         "member_delinquency_scored": scoring.member_delinquency_scored(delinquency, scheme),
         "delinquency_by_loan_type": marts.delinquency_by_loan_type(book),
         "monthly_delinquency_trend": marts.monthly_delinquency_trend(book),
         "delinquency_by_credit_tier": marts.delinquency_by_credit_tier(book),
         "delinquency_by_city": marts.delinquency_by_city(book),
-        "member_loan_summary": marts.member_loan_summary(book),
-        "payment_detail": marts.payment_detail(book),
+        "member_monthly_status": marts.member_monthly_status(book),
     })
-    tables |= {**inputs, "member_delinquency": delinquency}
+    for done in clustered:
+        done.result()
+    return book, counted
+
+
+def _write_clustered(
+    draft: Draft, name: str, layout: Callable[[str, T.StructType], Clustered], df: DataFrame, blocks: int | None
+) -> None:
+    table = layout(draft.folder(f"tables/{name}"), df.drop("_place").schema)
+    table.write(df, blocks)
+    rows = table.files(df.sparkSession).agg(F.sum("rows")).first()[0] or 0
+    draft.add(name, table.schema, rows, f"{draft.slot}/tables/{name}/rows")
+
+
+def _finish(pool: Executor, draft: Draft, filled: tuple[LoanBook, dict[str, dict[str, int]]]) -> StoredResults:
+    """Commit the version and export it."""
+    draft.commit()
+    book, counted = filled
+    tables = draft.store.tables(draft.version)
     exports = {name: EXPORT_ORDER.get(name, lambda df: df)(tables[name]) for name in V.EXPORTED_TABLES}
-    return StoredResults(book, tables, export_tables(exports, f"{directory}/export", pool))
+    exported = export_tables(exports, f"{draft.store.directory}/export", pool)
+    return StoredResults(book, tables, exported, counted, draft.store)
 
 
 def full_refresh(
@@ -93,26 +168,63 @@ def full_refresh(
     file_format: str = "csv",
     canonical_types: bool = False,
     scheme: str = "code",
+    null_tokens: Sequence[str] = V.NULL_TOKENS,
+    spared_columns: Sequence[str] = SPARED_COLUMNS,
+    blocks: int | None = None,
 ) -> RefreshReport:
     """Read the raw tables below ``raw_dir``, write parquet tables and CSV exports below ``out_dir`` (full refresh, S7).
 
-    Raw CSV is parsed once and stored columnar; payments are cleaned while they are scanned. Afterwards every table can be
-    queried by name in the session. ``out_dir`` must be reachable by every executor.
+    Raw CSV is parsed once and stored columnar, with what could not be used of it beside; ``null_tokens`` and ``spared_columns``
+    say what counts as missing in it. Every raw table is read once more, to be cleaned, and nothing is read only to be
+    counted: the reports' numbers are observed while tables are written. Afterwards every table can be queried by name in the
+    session. All tables of a run appear together when it is done; one that stops before leaves the last run's. ``out_dir``
+    must be reachable by every executor.
     """
-    out_dir = out_dir.rstrip("/")
-    raw = read_raw(spark, raw_dir, file_format)
-    if file_format == "csv":
-        stored = {f"{out_dir}/tables/{name}": df for name, df in raw.named().items()}
-        with ThreadPoolExecutor(WRITERS) as pool:
-            raw = RawTables(*pool.map(write_table, stored.values(), stored))
-    results = store_results(LoanBook.from_raw(raw, canonical_types=canonical_types), out_dir, scheme)
-    register({**raw.named(), "payments_clean": results.book.payments, **results.tables})
-
+    draft = TableStore(spark, out_dir).begin()
+    with ThreadPoolExecutor(WRITERS) as pool:
+        rejected: dict[str, dict[str, int]] = {}
+        if file_format == "csv":
+            checked = read_raw_checked(spark, raw_dir, null_tokens=null_tokens, spared_columns=spared_columns)
+
+            def keep(name: str) -> DataFrame:
+                stored, seen = draft.write(name, checked[name], *quality.reject_measures())
+                rejected[name.removeprefix("raw_")] = {k: seen[k] for k in ("malformed_records", "unreadable_cells")}
+                return stored
+
+            raw = raw_tables(dict(zip(checked, pool.map(keep, checked))))
+        else:
+            raw = read_raw(spark, raw_dir, file_format)
+            # rows of members are counted where no shuffle can make a task count twice
+            raw = replace(raw, members=draft.write("raw_members", raw.members)[0])
+        seen = {"loans": Observation(), "payments": Observation()}
+        rows = F.count(F.lit(1)).alias("rows")
+        watched = replace(
+            raw,
+            loans=raw.loans.observe(seen["loans"], rows, *quality.raw_loan_measures()),
+            payments=raw.payments.observe(seen["payments"], rows, *quality.raw_payment_measures()),
+        )
+        book, counted = _fill(pool, draft, LoanBook.from_raw(watched, canonical_types=canonical_types), scheme, blocks)
+        results = _finish(pool, draft, (book, counted))
+    register({**raw.named(), **{name: table for name, table in results.tables.items() if not name.startswith("raw_")}})
+
+    found = {name: dict(o.get) for name, o in seen.items()}
+    loaded = {
+        "raw_members": draft.entries["raw_members"].rows - rejected.get("members", {}).get("malformed_records", 0),
+        "raw_loans": found["loans"].pop("rows"),
+        "raw_payments": found["payments"].pop("rows"),
+    }
+    members = {k: v for k, v in counted["members_clean"].items() if k != "rows"}
+    members["duplicate_rows_removed"] = loaded["raw_members"] - members["total_clean_members"]
+    measures = {"members": members, **found, "delinquency": {"members_flagged": counted["member_delinquency"]["rows"]}}
+    for name, more in rejected.items():
+        measures[name] = {**measures[name], **more}
     delinquency = results.tables["member_delinquency"]
     return RefreshReport(
-        loaded=row_counts(raw.named()),
-        quality=quality.data_quality_report(raw, results.book, delinquency),
+        loaded=spark.createDataFrame(list(loaded.items()), "table string, rows bigint"),
+        quality=quality.observed_report(spark, measures),
         highest_delinquency=quality.highest_delinquency(delinquency),
         risk_tiers=scoring.risk_tier_counts(results.tables["member_delinquency_scored"], scheme),
         exported=results.exported,
+        store=results.store,
+        rejects=raw.rejects,
     )
