@@ -52,9 +52,9 @@ def with_ingest_seq(scan: DataFrame, name: str = INGEST_SEQ) -> DataFrame:
 
 
 def _typed(text: Column, dtype: T.DataType, tokens: Sequence[str]) -> Column:
-    """A numeric cell: null tokens and unreadable texts give NULL. Whole numbers may be written as ``60.0``."""
+    """A numeric cell: null tokens and unreadable texts give NULL. Whole numbers may be written as ``60.0`` but have no fraction."""
     number = null_if_in(F.trim(text), tokens).try_cast("double")
-    return number.try_cast(dtype) if isinstance(dtype, T.LongType) else number
+    return F.when(number == F.rint(number), number.try_cast(dtype)) if isinstance(dtype, T.LongType) else number
 
 
 def read_csv_checked(

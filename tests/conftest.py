@@ -20,11 +20,10 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     yield session
     session.stop()
 

@@ -107,7 +107,10 @@ def messy_data(seed, n_members=12, n_loans=25, n_payments=160, orphans=True):
         status = r.choice(["On Time", "ON TIME", "Late", "LATE", "Missed", "Partial", None])
         due = date(2022, 1, 1) + timedelta(days=r.randrange(300))
         expected = round(r.uniform(1, 3000), 2)
-        actual = {"Missed": 0.0, "Partial": round(expected / 3, 2)}.get(status, expected)
+        # late and missed payments may be paid in part, in excess and with fractions of a cent
+        late = r.choice([expected, round(expected / 3, 2), expected * 0.875, expected + 1.5])
+        actual = {"Missed": r.choice([0.0, expected * 0.125]), "Partial": round(expected / 3, 2)}.get(status, expected)
+        actual = late if status in ("Late", "LATE") else actual
         paid = None if status == "Missed" else (due + timedelta(days=r.randrange(-4, 40))).isoformat()
         payments.append(payment(
             f"P{i:03d}" if r.random() < 0.95 or not orphans else None,
@@ -175,7 +178,7 @@ class BruteForce:
         return {
             **row, "payment_status": status, "actual_amount": actual, "shortfall": short, "late": late,
             "missed": status == "Missed",
-            "owed": (None if short is None else Decimal(str(round(short, 2)))) if late else Decimal(0),
+            "owed": (None if short is None else Decimal(repr(short)).quantize(Decimal("0.000001"), ROUND_HALF_UP)) if late else Decimal(0),
             "payment_date": None if row["payment_date"] in ("", " ") else row["payment_date"],
         }
 

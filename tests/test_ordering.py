@@ -1,0 +1,90 @@
+"""Places in a global order, and the search for hot keys."""
+
+import random
+
+from helpers import as_set, messy_data, plan_text, rows
+from pyspark.sql import functions as F
+from test_skew import N, skewed
+
+from lendrisk.operators.ordering import with_position
+from lendrisk.operators.skew import hot_keys, join_unique
+from lendrisk.plans import marts
+from lendrisk.plans.book import LoanBook
+from lendrisk.sources.sinks import scratch_path, write_table
+
+
+def stored(df):
+    return write_table(df, scratch_path(df.sparkSession, "test"))
+
+
+def test_positions(spark):
+    draw = random.Random(3)
+    data = [(draw.choice([None, *range(40)]), draw.choice("abc"), k) for k in range(3000)]
+    df = spark.createDataFrame(data, "x int, y string, z int").repartition(7)
+    placed = with_position(df, F.desc_nulls_last("x"), "y", "z", store=stored)
+    expected = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1], r[2]))
+    assert placed.columns == ["x", "y", "z", "position"]
+    assert sorted((r["position"], (r["x"], r["y"], r["z"])) for r in rows(placed)) == list(enumerate(expected, 1))
+    assert rows(with_position(df.limit(0), "x", store=stored)) == []
+
+
+def test_equal_rows_share_out_the_places(spark):
+    df = spark.range(500).select(F.lit(1).alias("x"))
+    placed = with_position(df, "x", store=stored, name="place")
+    assert sorted(r["place"] for r in rows(placed)) == list(range(1, 501))
+
+
+def test_positions_need_no_window(spark, setting):
+    setting(adaptive__enabled="false")
+    plan = plan_text(with_position(spark.range(100).repartition(5), F.desc("id"), store=stored))
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_a_book_is_built_without_a_job(spark):
+    raw = skewed(spark, 300)
+    spark.sparkContext.setJobGroup("book", "book")
+    book = LoanBook.from_raw(raw)
+    marts.payment_detail(book)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("book")
+    assert LoanBook.from_raw(raw, find_hot_keys=True).hot_members == ()
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("book")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_summaries_find_what_counting_finds(spark):
+    """No value over the limit is missed, whichever tasks it lies in, and the pass groups by no key."""
+    draw = random.Random(5)
+    values = [f"k{int(draw.paretovariate(0.7)) % 5000}" for _ in range(40_000)] + [None] * 9000
+    df = spark.createDataFrame([(v,) for v in values], "k string").repartition(13)
+    for share in (0.002, 0.01, 0.1):
+        floor = max(50, share * len(values))
+        over = {v for v in set(values) if v is not None and values.count(v) >= floor}
+        found = set(hot_keys(df, ["k"], min_share=share, min_rows=50)["k"])
+        assert over <= found and all(values.count(v) >= 0.7 * floor for v in found)
+    assert hot_keys(df.limit(0), ["k"], min_rows=0) == {"k": ()}
+
+
+def test_hot_joins_read_each_side_once(spark, setting, tmp_path):
+    setting(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    for name, table in skewed(spark).named().items():
+        table.write.parquet(f"{tmp_path}/{name}")
+    tables = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("raw_members", "raw_loans", "raw_payments")]
+    book = LoanBook.from_raw(type(skewed(spark))(*tables)).with_hot_keys(payments=True, min_rows=1000)
+    assert book.hot_members == ("M0",) and book.hot_loans == ("L0",)
+    detail = plan_text(marts.payment_detail(book))
+    assert detail.count("FileScan parquet") == 3
+    sizes = marts.payment_detail(book).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == marts.payment_detail(LoanBook.from_raw(type(skewed(spark))(*tables))).count()
+    spread = book.payments.select("loan_id", "payment_id")
+    setting(shuffle__partitions="16")
+    parts = join_unique(spread, book.loans.select("loan_id", "member_id"), "loan_id", book.hot_loans).groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in parts.collect()) < N / 8
+
+
+def test_marts_with_hot_loans_too(make_raw):
+    raw = make_raw(**messy_data(31))
+    plain = LoanBook.from_raw(raw)
+    split = plain.with_hot_keys(payments=True, min_rows=2, min_share=0.03)
+    assert split.hot_loans and split.hot_members
+    for mart in (marts.payment_detail, marts.member_loan_summary, marts.member_monthly_status, marts.delinquency_by_city):
+        assert as_set(mart(split)) == as_set(mart(plain))
