@@ -52,27 +52,29 @@ class Codebooks:
         one, two = self.distances(unit)
         return one.argmin(axis=1) * len(self.halves[1]) + two.argmin(axis=1)
 
-    def nearest_cells(self, unit: np.ndarray, sizes: np.ndarray, wanted: float) -> list[list[int]]:
-        """Per query the filled cells by summed distance, until they hold ``wanted`` vectors."""
-        out = []
+    def reach(self, unit: np.ndarray, sizes: np.ndarray, wanted: float) -> tuple[np.ndarray, np.ndarray]:
+        """Per query the summed distance up to which the cells hold ``wanted`` vectors, and which first centroids have such cells.
+
+        Cells are met in order of their summed distance, from a heap; a cell's two distances say whether it was met.
+        """
+        one, two = self.distances(unit)
+        bound = np.zeros(len(unit))
         width = len(self.halves[1])
-        for one, two in zip(*self.distances(unit), strict=True):
-            rank_one, rank_two = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
-            one, two = one[rank_one].tolist(), two[rank_two].tolist()
-            heap, met, held = [(one[0] + two[0], 0, 0)], [], 0
+        for at in range(len(unit)):
+            rank_one, rank_two = np.argsort(one[at], kind="stable"), np.argsort(two[at], kind="stable")
+            first, second = one[at][rank_one].tolist(), two[at][rank_two].tolist()
+            held = sizes.reshape(-1, width)[rank_one][:, rank_two].tolist()
+            heap, seen = [(first[0] + second[0], 0, 0)], 0
             # a pair is offered by the one before it in the row, rows by their first pair: each once
-            while heap and held < wanted:
-                _, i, j = heapq.heappop(heap)
-                cell = int(rank_one[i]) * width + int(rank_two[j])
-                if sizes[cell]:
-                    met.append(cell)
-                    held += int(sizes[cell])
-                if j + 1 < len(two):
-                    heapq.heappush(heap, (one[i] + two[j + 1], i, j + 1))
-                if j == 0 and i + 1 < len(one):
-                    heapq.heappush(heap, (one[i + 1] + two[0], i + 1, 0))
-            out.append(met)
-        return out
+            while heap and seen < wanted:
+                bound[at], i, j = heapq.heappop(heap)
+                seen += held[i][j]
+                if j + 1 < width:
+                    heapq.heappush(heap, (first[i] + second[j + 1], i, j + 1))
+                if j == 0 and i + 1 < len(first):
+                    heapq.heappush(heap, (first[i + 1] + second[0], i + 1, 0))
+        bound += 1e-9  # so that rounding loses no cell
+        return bound, one + two.min(axis=1, keepdims=True) <= bound[:, None]
 
 
 def _k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
@@ -91,17 +93,19 @@ def _k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return centres
 
 
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vector) of distinct rows with an id and a vector that is not null, zero, or with null or non-finite parts.
+def usable(vectors: DataFrame, id_col: str, vector_col: str, is_query: Column) -> DataFrame:
+    """(id, vector, asked) of distinct rows with an id and a vector that is not null, zero, or with null or non-finite parts.
 
-    Vectors of another length than most have take no part either, as they can't be compared.
+    Vectors of another length than most rows have (of lengths equally frequent the least counts) take no part either, be they queries
+    or candidates, as they can't be compared. ``asked`` says whether any row of that id and vector is a query.
     """
     v = F.col("vector")
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), is_query.alias("asked"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != math.inf))
-    rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 1) & finite & F.exists(v, lambda x: x != 0))
+    rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
     length = rows.groupBy(F.size(v).alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "n").limit(1)
-    return rows.join(F.broadcast(length), F.size(v) == F.col("n"), "left_semi")
+    kept = rows.join(F.broadcast(length), F.size(v) == F.col("n"), "left_semi")
+    return kept.groupBy("id", "vector").agg(F.coalesce(F.bool_or("asked"), F.lit(False)).alias("asked"))
 
 
 def _collected(df: DataFrame) -> np.ndarray:
@@ -116,25 +120,24 @@ def nearest(
     k: int = 5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    least: int = 6000,
-    share: float = 0.45,
-    rows_per_cell: int = 12,
+    share: float = 0.6,
+    least: int = 0,
     sample: int = 8192,
 ) -> DataFrame:
     """The ``k`` nearest found of each query: (query_id, rank, ``id_col``, score), by falling cosine, ties by smaller id.
 
     ``is_query`` is a condition on ``vectors``. Candidates are all rows but those with the query's own id; rows that repeat an id
     and its vector count once. Codebooks are learnt from at most ``sample`` vectors, spread by a hash of the id; every usable row is
-    indexed. A query reads cells until they hold ``least`` vectors and the ``share`` of all, so that it finds all there is in a small
-    table. The default share suits vectors without any structure to index, where nearer cells hold little more of the nearest;
+    indexed, in 5.5 n^0.23 cells a half (at most 1,024). A query reads cells until they hold the ``share`` of all vectors, at every
+    size, and ``least`` vectors if that is given. The default share suits vectors without any structure to index, where nearer cells hold little more of the nearest;
     lower it for others and measure the recall. Of equal vectors only the k + 1 of least id can be among the nearest, and only those
-    are indexed.
+    are indexed. Null ids and vectors that can't be compared take no part (``usable``); other columns are ignored.
     """
     spark = vectors.sparkSession
-    part = usable(vectors, id_col, vector_col)
+    part = written(usable(vectors, id_col, vector_col, is_query))
     place = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    rows = written(part.distinct().withColumn("nth", place).where(F.col("nth") <= k + 1).drop("nth"))
-    asked = usable(vectors.where(is_query), id_col, vector_col).distinct()
+    rows = written(part.withColumn("nth", place).where(F.col("nth") <= k + 1).select("id", "vector"))
+    asked = part.where("asked").select("id", "vector")
     n = rows.count()
     thinned = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 2 * sample / max(n, 1)))
     seen = _collected(rows.where(thinned).orderBy(F.xxhash64("id"), "id").limit(sample))
@@ -142,7 +145,7 @@ def nearest(
     if not len(seen):
         return spark.createDataFrame([], out)
     seen = _unit(seen)
-    centres = min(len(seen), 1024, max(8, math.ceil(math.sqrt(n / rows_per_cell))))
+    centres = min(len(seen), 1024, math.ceil(5.5 * n**0.23))
     cut = seen.shape[1] // 2
     books = spark.sparkContext.broadcast(Codebooks((_k_means(seen[:, :cut], centres), _k_means(seen[:, cut:], centres))))
 
@@ -158,18 +161,15 @@ def nearest(
     sizes_there = spark.sparkContext.broadcast(sizes)
     wanted = max(least, share * n)
 
-    @F.arrow_udf("array<struct<row:int,cells:array<int>>>")
-    def rows_met(x: pa.Array) -> pa.Array:
-        out = []
-        for met in books.value.nearest_cells(_unit(_matrix(x)), sizes_there.value, wanted) if len(x) else []:
-            by_row: dict[int, list[int]] = {}
-            for cell in met:
-                by_row.setdefault(cell // centres, []).append(cell)
-            out.append([{"row": r, "cells": cells} for r, cells in by_row.items()])
-        return pa.array(out, pa.list_(pa.struct([("row", pa.int32()), ("cells", pa.list_(pa.int32()))])))
-
-    # a query meets the cells of one first centroid together
-    probes = written(asked.withColumn("met", F.explode(rows_met("vector"))).select("id", "vector", "met.*"))
+    @F.arrow_udf("struct<bound:double,rows:array<int>>")
+    def reach(x: pa.Array) -> pa.Array:
+        found = zip(*books.value.reach(_unit(_matrix(x)), sizes_there.value, wanted), strict=True) if len(x) else ()
+        out = [{"bound": bound, "rows": np.flatnonzero(near).tolist()} for bound, near in found]
+        return pa.array(out, pa.struct([("bound", pa.float64()), ("rows", pa.list_(pa.int32()))]))
+
+    # a query meets the cells of one first centroid together; the heaps of many queries are worked through in many tasks
+    spread_out = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    probes = written(spread_out.withColumn("met", reach("vector")).select("id", "vector", "met.bound", F.explode("met.rows").alias("row")))
     shape = index.groupBy("row").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("row_blocks"))
     load = probes.groupBy("row").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("query_blocks"))
     shape = written(shape.join(load, "row"))  # at most a row per centroid
@@ -189,8 +189,11 @@ def nearest(
             x, q = (_matrix(t.column("vector").combine_chunks()) for t in (entries, queries))
             x, q = x / np.abs(x).max(axis=1, keepdims=True), q / np.abs(q).max(axis=1, keepdims=True)
             x_norm, q_norm = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", q, q))
-            for at, (own, met) in enumerate(zip(queries.column("id").to_pylist(), queries.column("cells"), strict=True)):
-                met = met.values.to_numpy()
+            row = entries.column("row")[0].as_py()
+            one, two = books.value.distances(_unit(q))
+            near = one[:, row, None] + two <= queries.column("bound").to_numpy()[:, None]
+            for at, own in enumerate(queries.column("id").to_pylist()):
+                met = row * centres + np.flatnonzero(near[at])
                 opens = np.searchsorted(cells, met)
                 those = spread(opens, np.searchsorted(cells, met, "right") - opens)
                 those = those[ids[those] != own]
