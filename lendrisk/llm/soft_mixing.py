@@ -12,14 +12,17 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendrisk.llm import latent
+from lendrisk.llm import bpe, latent
 from lendrisk.llm.pretokens import slices
 from lendrisk.llm.scratch import written
-from lendrisk.llm.words import words_of
+
+#: The public vocabulary whose ids are counted as tokens.
+VOCABULARY = "byte_bpe_50k.json"
 
 
 @dataclass(frozen=True)
@@ -81,16 +84,17 @@ def fit_domains(
     return DomainModel(domains, projection, weights)
 
 
-def memberships(documents: DataFrame, model: DomainModel, *, text_col: str = "text") -> DataFrame:
-    """``documents`` with ``n_tokens`` (words of the whole text) and ``posterior`` (array<double>, in the order of the model)."""
+def memberships(documents: DataFrame, model: DomainModel, *, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """``documents`` with ``n_tokens`` (ids of the whole text in ``vocabulary``) and ``posterior`` (array<double>, in the order of the model)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    file = vocabulary or public_tokenizers.path(VOCABULARY)
 
     @F.arrow_udf("struct<n:bigint,p:array<double>>")
     def member(texts: pa.Array) -> pa.Array:
         kind = pa.struct([("n", pa.int64()), ("p", pa.list_(pa.float64()))])
         if not len(texts):
             return pa.array([], kind)
-        n = np.concatenate([np.diff(words_of(texts.slice(a, b - a)).first) for a, b in slices(texts)])
+        n = np.concatenate([np.diff(bpe.encode(texts.slice(a, b - a), file)[1]) for a, b in slices(texts)])
         p = shared.value.posteriors(texts)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), lists], fields=list(kind))
@@ -161,7 +165,12 @@ def mixed(
     keep_text: bool = True,
     **options: float,
 ) -> DataFrame:
-    """``documents`` with n_tokens, posterior, domain (the likeliest), rate and copies.
+    """``documents`` with n_tokens, posterior, domain (the likeliest), rate, copies, and that domain's target and expected share.
+
+    ``expected_share`` is what the rates give the domain of all tokens, to be held against ``target_share``: they differ by more than
+    the tolerance where a target can't be met or more steps are needed. Tokens are those of a public vocabulary, so that texts
+    without spaces count like others. Of equally likely domains the first by name is taken. Copies are drawn by a hash of id
+    and text, so that rows without an id are drawn by their texts.
 
     ``targets`` gives domains their weights, in any unit; without it all are equal. Domains that ``targets`` doesn't name
     get 0. Null and empty texts have no tokens, so that their rate moves nothing; repeated rows get equal rates. An empty table,
@@ -171,9 +180,13 @@ def mixed(
     wanted = np.array([targets.get(x, 0.0) if targets else 1.0 for x in model.domains])
     if model.domains and (wanted.sum() <= 0 or (wanted < 0).any()):
         raise ValueError("targets must be nonnegative and name a learnt domain")
-    members = memberships(documents, model, text_col=text_col)
+    targets_ = (wanted / max(wanted.sum(), 1e-300)).tolist()
+    members = memberships(documents, model, text_col=text_col).withColumn("_draw", F.xxhash64(F.col(id_col), F.col(text_col)))
     members = written(members if keep_text else members.drop(text_col))
-    rows, _ = fit_rates(members, (wanted / max(wanted.sum(), 1e-300)).tolist(), **options)
+    rows, shares = fit_rates(members, targets_, **options)
     likeliest = F.array_position("posterior", F.array_max("posterior")).cast("int")
     domain = F.element_at(F.array(*map(F.lit, model.domains)), likeliest) if model.domains else F.lit(None).cast("string")
-    return rows.withColumn("domain", domain).withColumn("copies", copies_of(F.col("rate"), F.col(id_col)))
+    for name, values in (("target_share", targets_), ("expected_share", shares)):
+        known = F.element_at(F.array(*map(F.lit, values)), likeliest) if model.domains else F.lit(None).cast("double")
+        rows = rows.withColumn(name, known)
+    return rows.withColumn("domain", domain).withColumn("copies", copies_of(F.col("rate"), F.col("_draw"))).drop("_draw")
