@@ -67,7 +67,7 @@ class Voters:
         k = min(self.neighbours, len(self.labels))
         for a, b, rows in vectors(self.projection, texts):
             cosine = rows @ self.vectors.T
-            near = np.argpartition(cosine, len(self.labels) - k, axis=1)[:, len(self.labels) - k :]
+            near = nearest(cosine, k)
             weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** self.sharpness
             total = weight.sum(axis=1)
             vote = (weight * self.labels[near]).sum(axis=1)
@@ -75,6 +75,16 @@ class Voters:
         return out
 
 
+def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """The columns of the ``k`` largest values of each row; of those equal to the least of them the first ones."""
+    n = cosine.shape[1]
+    near = np.argpartition(cosine, n - k, axis=1)[:, n - k :]
+    least = np.take_along_axis(cosine, near, 1).min(axis=1, keepdims=True)
+    tied = (cosine >= least).sum(axis=1) > k
+    near[tied] = np.argsort(-cosine[tied], axis=1, kind="stable")[:, :k]
+    return near
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text has the remainder 1 by 3; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -100,7 +110,8 @@ def fit_voters(
     """Learn from labelled documents that aren't held out: at most ``most`` of each label, spread by a hash of the id.
 
     Repeated labels of an id count once if they agree, and not at all if they differ. Null labels, labels other than 0 and 1, and
-    labels of ids without a document are left out. Without any labelled text every score is 0.5.
+    labels of ids without a document are left out. Without any labelled text every score is 0.5. Voters stand by id, and of
+    neighbours equally near the one of lesser id votes.
     """
     marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
     marks = marks.where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
@@ -109,7 +120,7 @@ def fit_voters(
     # the chosen ids are at most 2 x most
     texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
-    counts, found, beside = latent.collected_counts(rows, "_text", "_label", shares)
+    counts, found, beside = latent.collected_counts(rows.orderBy("_id"), "_text", "_label", shares)
     filled = counts.any(axis=1) if len(found) else np.zeros(0, bool)
     counts, y = counts[filled], np.array(found, np.float64)[filled]
     if not len(y):
