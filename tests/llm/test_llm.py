@@ -225,6 +225,45 @@ def test_recall_with_few_cells_read(spark):
     assert hits / (60 * 5) >= 0.9
 
 
+def _exact(ids, x, asked, k=5):
+    """The k nearest of each asked id, by brute force, and their cosines."""
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    out = {}
+    for q in asked:
+        score = np.round(unit @ unit[list(ids).index(q)], 12)
+        out[q] = [int(ids[j]) for j in np.lexsort((ids, -score)) if ids[j] != q][:k]
+    return out
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_recall_of_the_query(spark, sf):
+    """The query's own parameters on the provided tables, against brute force; no table is read whole."""
+    path = f"/root/testdata/sf{sf}"
+    found = collections.defaultdict(set)
+    for r in queries.op5_nearest(spark, path).collect():
+        found[r.query_id].add(r.vec_id)
+    table = queries.table(spark, path, "embeddings").toPandas()
+    ids, x = table.vec_id.to_numpy(), np.stack(table.embedding.to_numpy()).astype(float)
+    exact = _exact(ids, x, [i for i in ids if i % 50 == 0])
+    assert found.keys() == exact.keys() and all(len(f) == 5 for f in found.values())
+    hits = sum(len(found[q] & set(best)) for q, best in exact.items())
+    assert hits / (5 * len(exact)) >= 0.9
+
+
+def test_nearest_of_mixed_lengths(spark):
+    """The usual length is that of most rows, whatever most queries have; one component is a length like any other."""
+    rows = [(k, [float(k % 7 + 1), 1.0, -2.0]) for k in range(1, 40)] + [(50 * k, [1.0, 2.0]) for k in range(1, 9)] + [(0, [3.0, 1.0, -2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = multi_index.nearest(df, F.col("vec_id") % 50 == 0, share=1.0).collect()
+    ids = np.array([i for i, v in rows if len(v) == 3])
+    exact = _exact(ids, np.array([v for _, v in rows if len(v) == 3]), [0])
+    assert [r.vec_id for r in sorted(found, key=lambda r: r.rank)] == exact[0] and {r.query_id for r in found} == {0}
+    single = spark.createDataFrame([(k, [float(k - 25)]) for k in range(101)], "vec_id long, embedding array<double>")
+    found = multi_index.nearest(single, F.col("vec_id") % 50 == 0, share=1.0).collect()
+    assert {r.query_id: [] for r in found} == {0: [], 50: [], 100: []}
+    assert sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == 0) == [(k, k, 1.0) for k in range(1, 6)]
+
+
 def test_rates_meet_targets(spark):
     draw = np.random.default_rng(0)
     p = draw.dirichlet([0.3, 0.3, 0.3], 300)
@@ -237,6 +276,79 @@ def test_rates_meet_targets(spark):
     assert min(rate.values()) >= 0 and np.allclose(expected, [0.6, 0.3, 0.1], atol=2e-3) and np.allclose(expected, shares)
 
 
+def test_rates_equal_brute_force_least_squares(spark):
+    """The same objective, minimised over all rates at once by many plain steps in numpy."""
+    draw = np.random.default_rng(8)
+    n, p = draw.integers(0, 400, 60), draw.dirichlet([0.2, 0.4, 0.6], 60)
+    target, ridge = np.array([0.7, 0.25, 0.05]), 0.05
+    share = n / n.sum()
+    now = share @ p
+    a = (share[:, None] * p / np.sqrt(now)).T  # a domain's share in units of the root of its present one
+    rate = np.ones(60)
+    for _ in range(60_000):
+        slope = a.T @ (a @ rate - target / np.sqrt(now)) + ridge * share * (rate - 1)
+        rate = np.maximum(0, rate - np.where(share > 0, slope / np.maximum(share, 1e-12), 0) * 0.2)
+    rows = [(k, int(n[k]), p[k].tolist()) for k in range(60)]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, posterior array<double>")
+    rated, _ = soft_mixing.fit_rates(members, target.tolist(), ridge=ridge, tolerance=1e-9, most_steps=400, stored_every=8)
+    found = {r.doc_id: r.rate for r in rated.collect()}
+    used = n > 0
+    assert np.allclose([found[k] for k in np.flatnonzero(used)], rate[used], atol=2e-3)
+
+
+def test_mixing_counts_tokens_and_draws_by_text(spark):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    texts = ["a word here", "漢字" * 200, "x" * 400, "", None] + [f"text number {k}" for k in range(400)]
+    df = spark.createDataFrame([(None if k > 4 else k, t, "d") for k, t in enumerate(texts)], "doc_id long, text string, expected_share string")
+    labelled = spark.createDataFrame([(0, "one"), (1, "two")], "doc_id long, domain string")
+    rows = soft_mixing.mixed(df, labelled, {"one": 3, "two": 1}).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.n_tokens == len(tokenizer.encode(r.text or "", add_special_tokens=False).ids)
+    drawn = [r.copies - math.floor(r.rate) for r in rows if r.doc_id is None]
+    fraction = np.mean([r.rate - math.floor(r.rate) for r in rows if r.doc_id is None])
+    assert abs(np.mean(drawn) - fraction) < 0.12  # and not the same for all
+    assert {r.domain: r.target_share for r in rows}["one"] == 0.75
+
+
+def test_posteriors_equal_the_model_in_plain_python():
+    texts = pa.array(["the cat sat on the mat", "der Hund lief weg", "", None, "le chat"])
+    counts = soft_mixing.latent.trigram_counts(texts)
+    projection = soft_mixing.latent.fit(counts[:2], 2)
+    weights = np.random.default_rng(1).normal(size=(projection.directions.shape[1] + 1, 3))
+    model = soft_mixing.DomainModel(("a", "b", "c"), projection, weights)
+    for k, p in enumerate(model.posteriors(texts)):
+        v = (np.log1p(counts[k]) * projection.weight) @ projection.directions
+        norm = math.sqrt(sum(x * x for x in v.tolist()))
+        z = [sum(w * x for w, x in zip(weights[:, d].tolist(), [*(v / norm if norm else v).tolist(), 1.0], strict=True)) for d in range(3)]
+        e = [math.exp(x - max(z)) for x in z]
+        assert np.allclose(p, np.array(e) / sum(e), atol=1e-5)
+
+
+def test_votes_equal_plain_python():
+    draw = np.random.default_rng(4)
+    words = ["good", "prose", "here", "SPAM", "!!!", "buy", "now", "and", "then"]
+    known = [" ".join(draw.choice(words, 12)) for _ in range(60)]
+    known += known[:10]  # equal neighbours
+    y = draw.integers(0, 2, len(known)).astype(float)
+    counts = neighbour_vote.latent.trigram_counts(pa.array(known))
+    projection = neighbour_vote.latent.fit(counts, 16)
+    vectors = np.concatenate([v for _, _, v in neighbour_vote.vectors(projection, pa.array(known))])
+    voters = neighbour_vote.Voters(projection, vectors, y, float(y.mean()), 15, 8.0)
+    asked = pa.array([*known[:5], "good prose and then", "", None, "zz"])
+    mine = np.concatenate([v for _, _, v in neighbour_vote.vectors(projection, asked)])
+    for score, v in zip(voters.scores(asked), mine, strict=True):
+        near = sorted(((-float(np.float32(v @ w)), k) for k, w in enumerate(vectors)))[:15]
+        weight = [max(-c, 0.0) ** 8 for c, _ in near]
+        expected = sum(w * y[k] for w, (_, k) in zip(weight, near, strict=True)) / sum(weight) if sum(weight) else y.mean()
+        assert abs(score - expected) < 0.05 if len(set(np.round([c for c, _ in near], 5))) < 15 else abs(score - expected) < 1e-4
+
+
+def test_ties_go_to_the_first():
+    cosine = np.array([[0.5, 0.9, 0.5, 0.5, 0.1], [0.1, 0.2, 0.3, 0.4, 0.5]])
+    assert [sorted(r) for r in neighbour_vote.nearest(cosine, 3).tolist()] == [[0, 1, 2], [2, 3, 4]]
+
+
 def test_mixing_of_the_provided_and_awkward_tables(spark, awkward):
     documents = queries.table(spark, SF, "documents")
     domains = documents.select("doc_id", F.col("lang").alias("domain"))
