@@ -5,7 +5,7 @@
 def _canonical(of: str) -> str:
     host = f"translate(regexp_extract({of}, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     path = f"regexp_extract({of}, '^.*?://[^/?#]*([^?#]*)', 1, 's')"
-    query = f"regexp_replace('&' || regexp_extract({of}, '^[^#?]*\\?([^#]*)', 1, 's'), '&(?:utm_\\w+|fbclid|gclid|ref)=[^&]*', '', 'g')"
+    query = f"regexp_replace('&' || regexp_extract({of}, '^[^#?]*\\?([^#]*)', 1, 's'), '&(?:utm_\\w+|fbclid|gclid)=[^&]*', '', 'g')"
     query = f"regexp_replace({query}, '^&+', '')"
     return f"""CASE WHEN {host} <> '' THEN 'https://' || regexp_replace({host}, '^(?:www|m)\\.', '')
         || regexp_replace({path}, '(?:\\.html?|/(?:index\\.html?)?)$', '')

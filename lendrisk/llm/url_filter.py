@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendrisk.llm.components import components
-from lendrisk.llm.scratch import written
+from lendrisk.llm.scratch import discard, written
 
 ALLOW, BLOCK = "allow", "block"
 #: Query parameters that say where a visit came from, not what is shown.
-TRACKING = r"(?:utm_\w+|fbclid|gclid|ref)"
+TRACKING = r"(?:utm_\w+|fbclid|gclid)"
 #: A host's first label under which sites serve the same pages again.
 MIRROR = r"^(?:www|m)\."
 
@@ -85,27 +85,65 @@ def resolved(url: Column, link: Column) -> Column:
     )
 
 
-def declared_links(html: Column) -> Column:
-    """What a page's canonical links and refresh redirects name, all of them, as they stand there."""
+#: What markup holds that isn't read as tags: comments, and elements whose content is text.
+UNREAD = r"(?is)<!--.*?(?:-->|$)|<(script|style|template|noscript|textarea|title|xmp|iframe)\b.*?(?:</\1\s*>|$)"
+#: The inside of a tag, quoted values whole, and one attribute in it with or without a value.
+INSIDE = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+ATTRIBUTE = r"[^\s\"'>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
+
+
+def _tags(html: Column, name: str) -> Column:
+    """The insides of all tags of a name, as they stand there."""
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}(?=[\s/])({INSIDE})>"), F.lit(1))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The first value of an attribute, without quotes and blanks around it; null if there is none."""
+    given = F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda x: x.rlike(rf"(?is)^{name}\s*="))
+    value = F.regexp_replace(F.get(given, F.lit(0)), r"(?is)^[^=]*=\s*", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(value, "^[\"']|[\"']$", ""), "&amp;", "&"))
+
 
-    def named(tag: str, address: str) -> Column:
-        tags = F.regexp_extract_all(html, F.lit(rf"(?is)(<{tag}[^>]*>)"), F.lit(1))
-        return F.transform(tags, lambda x: F.regexp_replace(F.regexp_extract(x, address, 1), "&amp;", "&"))
+def declared_links(html: Column) -> Column:
+    """What a page's canonical links and refresh redirects name, all of them, as they stand there.
 
-    canonical = named(r"link\b[^>]*\brel\s*=\s*[\"']?canonical\b", r"(?is)href\s*=\s*[\"']?([^\"'\s>]+)")
-    refresh = named(r"meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b", r"(?is)\burl\s*=\s*['\"]?([^\"'\s>]+)")
-    return F.concat(canonical, refresh)
+    Attributes are read by name, ``rel`` as a list of words; comments, scripts, styles and other elements of text aren't markup.
+    """
+    live = F.regexp_replace(html, UNREAD, " ")
+    canonical = F.filter(
+        _tags(live, "link"), lambda x: F.array_contains(F.split(F.lower(F.coalesce(_attribute(x, "rel"), F.lit(""))), r"\s+"), "canonical")
+    )
+    refresh = F.filter(_tags(live, "meta"), lambda x: F.lower(F.coalesce(_attribute(x, "http-equiv"), F.lit(""))) == "refresh")
+    to = F.transform(refresh, lambda x: F.trim(F.regexp_extract(_attribute(x, "content"), r"(?is)\burl\s*=\s*[\"']?([^\"']+)", 1)))
+    return F.array_compact(F.concat(F.transform(canonical, lambda x: _attribute(x, "href")), to))
 
 
 def alias_edges(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Distinct links (a, b) from a page's URL to its canonical address, and to every address that its page declares."""
+    """Distinct links (a, b) from a page's URL to its canonical address, and to every address that its page declares.
+
+    Relative addresses start from the page's first ``base`` with an ``href``, else from its own. What a page declares is stored before
+    it is resolved, so that markup is read once.
+    """
+    url, html = F.col(url_col), F.col(html_col)
     none = F.array().cast("array<string>")
-    declared = F.when(F.col(html_col).rlike("(?i)canonical|refresh"), declared_links(F.col(html_col))).otherwise(none)
-    links = pages.select(F.col(url_col).alias("u"), F.explode(F.concat(F.array(canonical_of(F.col(url_col))), declared)).alias("link"))
-    links = links.select("u", resolved(F.col("u"), F.col("link")).alias("v")).where("v is not null and u is not null")
+    declares = html.rlike("(?i)canonical|refresh")
+    bases = F.transform(_tags(F.regexp_replace(html, UNREAD, " "), "base"), lambda x: _attribute(x, "href"))
+    read = written(
+        pages.where(url.isNotNull()).select(
+            url.alias("u"),
+            F.when(declares, F.get(F.array_compact(bases), F.lit(0))).alias("base"),
+            F.when(declares, declared_links(html)).otherwise(none).alias("declared"),
+        )
+    )
+    base = F.when(F.col("base").isNull(), F.col("u")).otherwise(F.coalesce(resolved(F.col("u"), F.col("base")), F.col("u")))
+    based = written(read.select("u", base.alias("base"), F.explode(F.concat(F.array(canonical_of(F.col("u"))), "declared")).alias("link")))
+    links = written(based.select("u", resolved(F.col("base"), F.col("link")).alias("v")))
     ends = links.select(F.col("u").alias("a"), F.col("v").alias("b"))
     # a declared address is itself a variant of its canonical one
-    return ends.unionByName(links.select(F.col("v").alias("a"), canonical_of(F.col("v")).alias("b"))).where("a != b").distinct()
+    both = ends.unionByName(links.select(F.col("v").alias("a"), canonical_of(F.col("v")).alias("b")))
+    edges = written(both.where("a is not null and b is not null and a != b").distinct())
+    discard(read, based, links)
+    return edges
 
 
 def url_verdicts(
