@@ -1,0 +1,59 @@
+"""Declared links of pages: where markup is read and where it isn't."""
+
+from __future__ import annotations
+
+import pytest
+
+from lendrisk.llm import queries, url_filter
+from lendrisk.llm.scratch import importable
+
+HOME = "http://a.net/dir/p?q=1"
+
+
+@pytest.fixture(autouse=True)
+def _workers(spark):
+    importable(spark)
+
+
+@pytest.mark.parametrize(
+    ("html", "links"),
+    [
+        ("<!-- <link rel=canonical href='http://b.net/1'> -->", []),
+        ("<script>var t = \"<link rel='canonical' href='http://b.net/1'>\";</script>", []),
+        ("<style>/* <link rel=canonical href=x> */</style><title><link rel=canonical href=x></title>", []),
+        ("<!-- never closed <link rel=canonical href=x>", []),
+        ("<link data-href='http://b.net/no' href='http://b.net/1' rel='canonical'>", ["http://b.net/1"]),
+        ("<link rel='shortlink CANONICAL' href=http://b.net/1>", ["http://b.net/1"]),
+        ("<link rel='not-canonical' href=http://b.net/1><link rel=stylesheet title='rel=canonical' href=c.css>", []),
+        ("<link title='a > b rel=\"x\"' rel=canonical href='/one'>", ["http://a.net/one"]),
+        ("<base target=x><base href='/other/'><base href='/third/'><LINK REL=canonical HREF=two>", ["http://a.net/other/two"]),
+        ("<base href='http://c.net/x/y'><link rel=canonical href='../z?a=1&amp;b=2'>", ["http://c.net/z?a=1&b=2"]),
+        ("<meta http-equiv=Refresh content=\"0; URL='http://b.net/2'\"><link rel=canonical href='//b.net/3'>", ["http://b.net/2", "http://b.net/3"]),
+        ("<meta content='0;url=/r' http-equiv='refresh'/><meta http-equiv=refresh content=5>", ["http://a.net/r"]),
+        ("<link rel=canonical><link rel=canonical href=''><link rel=canonical href='mailto:x'>", []),
+        ("<links rel=canonical href=/no><a rel=canonical href=/no>", []),
+        (None, []), ("", []),
+    ],
+)
+def test_declared_links(spark, html, links):
+    pages = spark.createDataFrame([(1, HOME, html)], "page_id int, url string, html string")
+    edges = url_filter.alias_edges(pages).where(f"a = '{HOME}'").collect()
+    assert sorted(e.b for e in edges if e.b != "https://a.net/dir/p?q=1") == sorted(links)
+
+
+def test_a_block_in_a_comment_or_script_blocks_nothing(spark):
+    rows = [
+        (1, "http://a.net/1", "<!-- <link rel=canonical href='http://k.com/de/1'> -->"),
+        (2, "http://a.net/2", "<script>'<link rel=canonical href=\"http://k.com/de/1\">'</script>"),
+        (3, "http://a.net/3", "<link rel='x canonical' data-href=/no href='http://k.com/de/1'>"),
+        (4, "http://a.net/4?ref=5", ""), (5, "http://a.net/4?ref=6", "<link rel=canonical href='http://k.com/de/2'>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    found = {r.page_id: r.verdict for r in url_filter.url_verdicts(pages, queries.URL_RULES).collect()}
+    assert found == {1: "allow", 2: "allow", 3: "block", 4: "allow", 5: "block"}
+
+
+def test_very_long_markup(spark):
+    html = "<link " + "a='b' " * 3000 + "rel=canonical href=/x>" + "<p title=\"" + "x" * 200_000 + "<!--" * 5000
+    pages = spark.createDataFrame([(1, HOME, html)], "page_id int, url string, html string")
+    assert "http://a.net/x" in {e.b for e in url_filter.alias_edges(pages).collect()}
