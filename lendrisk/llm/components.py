@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendrisk.llm.scratch import written
+from lendrisk.llm.scratch import discard, written
 
 
-def _toward_least(edges: DataFrame, up: bool) -> DataFrame:
+def _toward_least(edges: DataFrame, up: bool) -> tuple[DataFrame, DataFrame]:
     """Link each node's neighbours (the larger ones if ``up``, else the smaller ones and itself) to the least of them.
 
-    A hub's neighbours are met by a combined minimum and a join, never gathered in one task.
+    A hub's neighbours are met by a combined minimum and a join, never gathered in one task. Returns the links and the stored
+    minima that they are read from.
     """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if up:
@@ -26,20 +27,25 @@ def _toward_least(edges: DataFrame, up: bool) -> DataFrame:
         linked = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             least.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )
-    return linked.where(F.col("a") != F.col("b")).distinct()
+    return linked.where(F.col("a") != F.col("b")).distinct(), least
 
 
 def components(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
     """The components of undirected ``edges`` (a, b): one row (node, component) per node, component being its least node.
 
     Nodes may be of any orderable type. Edges with a null end or equal ends are left out. Each round stores its edges in the
-    shared folder. Raises if ``most_rounds`` don't settle the graph; they are logarithmic in its size.
+    shared folder and removes those of the round before. Raises if ``most_rounds`` don't settle the graph; they are
+    logarithmic in its size.
     """
     links = edges.select("a", "b").where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = written(links)
     before = None
     for _ in range(most_rounds):
-        links = written(_toward_least(_toward_least(links, True), False))
+        up, least_up = _toward_least(links, True)
+        down, least_down = _toward_least(up, False)
+        settled = written(down)
+        discard(links, least_up, least_down)
+        links = settled
         now = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors reach.
 
-    Only a local session without that setting, as in tests, gets a temporary folder; any other session without it is refused.
+    Only a local session without that setting gets a temporary folder; any other session without it is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -29,7 +28,19 @@ def written(df: DataFrame, **options: str) -> DataFrame:
     spark = df.sparkSession
     folder = shared_folder(spark)
     df.write.options(**options).parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    back = spark.read.schema(df.schema).parquet(folder)
+    back._scratch_folder = folder
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` stored. Only for tables that nothing to be run any more reads, not even after a lost task."""
+    for table in tables:
+        folder = getattr(table, "_scratch_folder", None)
+        if folder:
+            context = table.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def importable(spark: SparkSession) -> None:
