@@ -7,24 +7,24 @@ keeps the earliest of the points that fall on it, so two documents agree on a po
 Jaccard similarity. Points later than what every position needs are never drawn, so the work is that of the windows plus a
 constant per document.
 
-Equal bands make candidates. No bucket is expanded into all its pairs: texts are compared with the bucket's smallest text,
-verified links join classes, and texts of a bucket that then lie in different classes are compared where they share enough of
-what the smallest text lacks. That step is exact: similar texts that aren't both similar to the smallest one share it.
+Equal bands make candidates. No bucket is expanded into all its pairs: a bucket's texts are compared with one of them, verified links
+join classes, and only texts of a bucket that then lie in different classes are compared with each other. Before any elements
+are moved, two bounds leave out most pairs that aren't similar: their sizes, and 2,048 parities of their elements. The bounds lose
+no similar pair, and what they leave is verified by the multiset overlap itself.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendrisk.llm.components import components
 from lendrisk.llm.pretokens import slices
-from lendrisk.llm.scratch import written
+from lendrisk.llm.scratch import discard, written
 from lendrisk.llm.words import mix, word_hashes
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -32,10 +32,8 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MOST_TEXTS = 1 << 16
 #: Places of the parities that bound how similar two texts can be.
 PARITY_BITS = 2048
-#: Numbers of 64 such places that are compared first.
-FOLDS = 8
-#: Preceding elements by which a pair that has met before is known.
-LOOK_BACK = 32
+#: Texts of one bucket that meet in one task, and those compared at a time.
+CELL_TEXTS, BLOCK_TEXTS = 4096, 16
 
 
 def _u64(x: int | np.ndarray) -> np.ndarray:
@@ -134,8 +132,39 @@ def digest_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+def _elements_of(text: np.ndarray, value: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of n texts as distinct numbers, sorted within a text, and each text's first one plus the end.
+
+    The k-th occurrence of a window is a number of its own, so that two texts share as many numbers as their multisets do.
+    """
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    each = mix(np.repeat(value, count) + _u64(nth) * GOLDEN)
+    owner = np.repeat(text, count)
+    each = each[np.lexsort((each, owner))]
+    return each, np.r_[0, np.cumsum(np.bincount(text, weights=count, minlength=n).astype(np.int64))]
+
+
+def _parities(each: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(text, word): for each of ``PARITY_BITS`` hashed places whether an odd number of the text's elements falls there.
+
+    Two texts differ in at least as many elements as their parities differ in places.
+    """
+    out = np.zeros((len(first) - 1, PARITY_BITS // 64), np.uint64)
+    place = (each % np.uint64(PARITY_BITS)).astype(np.int64)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    np.bitwise_xor.at(out.reshape(-1), row * (PARITY_BITS // 64) + place // 64, np.uint64(1) << _u64(place % 64))
+    return out
+
+
+def _fixed(rows: np.ndarray) -> pa.Array:
+    """An array of one binary value per row."""
+    rows = np.ascontiguousarray(rows)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * (rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows.tobytes())])
+
+
 def _signed(texts: DataFrame, bands: int, rows: int, window: int) -> DataFrame:
-    """(digest, weight, keys) of (digest, text); texts without words get no keys."""
+    """(digest, weight, keys, parity) of (digest, text); texts without words get no keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,101 +177,146 @@ def _signed(texts: DataFrame, bands: int, rows: int, window: int) -> DataFrame:
                 filled = weight > 0
                 first = np.r_[0, np.cumsum(filled * bands)]
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(keys[filled].ravel()))
-                yield pa.record_batch([part.column(0), pa.array(weight), lists], names=["digest", "weight", "keys"])
+                parity = _fixed(_parities(*_elements_of(text, value, count, n)))
+                yield pa.record_batch([part.column(0), pa.array(weight), lists, parity], names=["digest", "weight", "keys", "parity"])
 
-    return texts.mapInArrow(work, "digest binary, weight bigint, keys array<bigint>")
+    return texts.mapInArrow(work, "digest binary, weight bigint, keys array<bigint>, parity binary")
 
 
 def _elements(texts: DataFrame, window: int) -> DataFrame:
-    """(digest, elements, parity) of (digest, text).
-
-    Elements are a text's windows as distinct numbers, the k-th occurrence of one window being a number of its own. parity says
-    for each of ``PARITY_BITS`` hashed places whether an odd number of elements falls there: two texts differ in at least as
-    many elements as their parities differ in places.
-    """
+    """(t, elements) of (t, text), the elements as the bytes of sorted numbers."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 part = batch.slice(a, b - a)
-                text, value, count = windows(part.column(1), window)
-                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                each = mix(np.repeat(value, count) + _u64(nth) * GOLDEN).view(np.int64)
-                first = np.r_[0, np.cumsum(np.bincount(text, weights=count, minlength=part.num_rows).astype(np.int64))]
-                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(each))
-                place = np.repeat(np.arange(part.num_rows), np.diff(first)) * PARITY_BITS + (each.view(np.uint64) % np.uint64(PARITY_BITS)).astype(np.int64)
-                odd = np.bincount(place, minlength=part.num_rows * PARITY_BITS) & 1
-                words = np.packbits(odd.astype(bool)).view(np.int64)
-                parity = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * (PARITY_BITS // 64), pa.int32()), pa.array(words))
-                yield pa.record_batch([part.column(0), lists, parity], names=["digest", "elements", "parity"])
+                each, first = _elements_of(*windows(part.column(1), window), part.num_rows)
+                held = [each[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
+                yield pa.record_batch([part.column(0), pa.array(held, pa.binary())], names=["t", "elements"])
 
-    return texts.mapInArrow(work, "digest binary, elements array<bigint>, parity array<bigint>")
+    return texts.mapInArrow(work, "t bigint, elements binary")
 
 
-def _met(pairs: DataFrame, elements: DataFrame) -> DataFrame:
-    """The pairs (a, b) with their elements x and y, their sizes n and m, and the number s of elements they share."""
-    left = elements.select(F.col("digest").alias("a"), F.col("elements").alias("x"))
-    # only what the pairs ask for is moved; a small stored table of pairs goes to where the elements are
-    right = elements.join(pairs.select(F.col("b").alias("digest")).distinct(), "digest", "left_semi")
-    right = right.select(F.col("digest").alias("b"), F.col("elements").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("s", F.size(F.array_intersect("x", "y")))
-    return both.withColumn("n", F.size("x")).withColumn("m", F.size("y"))
+def _grows(table: DataFrame) -> DataFrame:
+    """A side of a join that grows with the documents and so is never to be broadcast, however few rows it has this time."""
+    return table.hint("merge")
 
 
-def _similar(threshold: float) -> Column:
-    return F.col("s") >= threshold * (F.col("n") + F.col("m") - F.col("s"))
+def _may_be_similar(threshold: float, one: str, two: str) -> Column:
+    """Whether sizes and parities of two texts, in columns of these endings, leave a similarity of ``threshold`` possible."""
+    n, m = F.col(f"weight{one}"), F.col(f"weight{two}")
+    return (n >= threshold * m) & (m >= threshold * n) & (F.col("differ") <= (1 - threshold) / (1 + threshold) * (n + m) + 1e-9)
 
 
-def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of digests whose multiset Jaccard similarity is at least ``threshold``, stored."""
-    return written(_met(written(pairs), elements).where(_similar(threshold)).select("a", "b"))
+def _possible(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b, ...) whose sizes and parities leave the similarity possible: 256 bytes a text are moved, and no elements."""
+    @F.arrow_udf("int")
+    def differing(one: pa.Array, two: pa.Array) -> pa.Array:
+        if not len(one):
+            return pa.array([], pa.int32())
+        x, y = (np.frombuffer(b"".join(p.to_pylist()), np.uint64).reshape(len(p), -1) for p in (one, two))
+        return pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int32))
+
+    side = signed.select("t", "weight", "parity")
+    one, two = (side.select(F.col("t").alias(x), F.col("weight").alias(f"weight_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab")
+    sized = pairs.join(_grows(one), "a").join(_grows(two), "b").withColumn("differ", differing("parity_a", "parity_b"))
+    return sized.where(_may_be_similar(threshold, "_a", "_b")).select(*pairs.columns)
 
 
-def _sharing_rare(open_: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
-    """Every pair (a, b), of different classes, that may be similar, of texts that met a common leading text, stored.
+def _dealt(rows: DataFrame, group: str, size: str, key: str) -> DataFrame:
+    """``rows`` with ``part``: one of ceil(``size`` / ``CELL_TEXTS``) parts of their group, by a hash of ``key``."""
+    parts = F.ceil(F.col(size) / CELL_TEXTS).cast("int")
+    return rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64(key, group), F.col("parts")).cast("int"))
 
-    ``open_`` holds (a, class, b) for texts a, their classes and leading texts b, which are no larger. Let a and c be similar and
-    met by b. If both are similar to b, they share its class. Else they share elements that b lacks: with the similarity
-    t they share at least t / (1 + t) of their sizes' sum, and within b no more than either of them does. A text that isn't
-    similar to b thus shares at least ``must`` of its elements outside b with any such partner, and so one of the first
-    |outside| - must + 1 of them, in any order. The order is by rarity among the texts that b met, so that elements of one text
-    alone come first and most texts have no other among them. Pairs whose parities differ too much are left out unseen.
+
+def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of texts whose multiset Jaccard similarity is at least ``threshold``, stored.
+
+    Every b is a cell that its texts a come to. A cell of very many texts is dealt out, b with each part.
+    """
+    pairs = written(pairs)
+    dealt = written(_dealt(pairs.join(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b"), "b", "n", "a").select("a", "b", "part"))
+    comers = dealt.select(F.col("b").alias("cell"), "part", F.col("a").alias("t"))
+    hosts = dealt.select(F.col("b").alias("cell"), "part", F.col("b").alias("t")).distinct()
+    asked = comers.unionByName(hosts).join(_grows(elements), "t").repartition("cell", "part")
+    sorted_ = asked.sortWithinPartitions("cell", "part", F.col("t") != F.col("cell"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, host = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            out = []
+            cells, texts, elements = (batch.column(c) for c in ("cell", "t", "elements"))
+            for own, t, held in zip(cells.to_pylist(), texts.to_pylist(), elements, strict=True):
+                mine = np.frombuffer(held.as_buffer(), np.uint64)
+                if t == own:  # a cell's host comes first
+                    cell, host = own, mine
+                    continue
+                assert own == cell
+                place = np.searchsorted(host, mine)
+                place[place == len(host)] = 0
+                shared = int((host[place] == mine).sum()) if len(host) else 0
+                if shared >= threshold * (len(mine) + len(host) - shared):
+                    out.append((t, own))
+            yield pa.record_batch([pa.array([x[k] for x in out], pa.int64()) for k in range(2)], names=["a", "b"])
+
+    links = written(sorted_.select("cell", "t", "elements").mapInArrow(work, "a bigint, b bigint"))
+    discard(pairs, dealt)
+    return links
+
+
+def _across(members: DataFrame, label: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """Every pair (a, b) of texts in one bucket and of different classes that may be similar by sizes and parities.
+
+    A bucket's texts are compared in blocks, parity by parity; nothing but what may be similar leaves the task. A bucket of very
+    many texts falls into parts, and each two parts meet in a cell of their own.
     """
-    met = _met(open_, elements).withColumn("near", _similar(threshold))
-    half = threshold / (1 + threshold)
-    must = F.ceil(half * (F.greatest(F.col("m"), threshold * F.col("n")) + F.col("n")) - F.col("s") - 1e-9)
-    count = F.when(F.col("near"), F.size("outside")).otherwise(F.size("outside") - F.greatest(must, F.lit(1)) + 1)
-    rare = met.withColumn("outside", F.array_except("x", "y")).withColumn("count", count.cast("int")).where("count > 0")
-    rare = rare.select("a", "class", "n", "near", "b", "count", F.size("outside").alias("outside"), F.explode("outside").alias("e"))
-    rare = written(rare.withColumn("key", F.xxhash64("b", "e")).drop("e"))
-    several = written(rare.groupBy("key").agg(F.count(F.lit(1)).alias("texts"), F.min("class").alias("p"), F.max("class").alias("q")).where("texts > 1"))
-    rare = rare.join(several, "key").withColumn("single", F.col("outside") - F.count(F.lit(1)).over(Window.partitionBy("a", "b")))
-    place = F.row_number().over(Window.partitionBy("a", "b").orderBy("texts", "key"))
-    # an element that only one class has outside b can't join two
-    rare = rare.withColumn("place", place).where("place <= count - single and p != q")
-    # the elements just before, by which a pair that has met already is known
-    before = F.collect_list("key").over(Window.partitionBy("a", "b").orderBy("texts", "key").rowsBetween(-LOOK_BACK, -1))
-    rare = rare.withColumn("before", before).select("key", "a", "class", "n", "near", "before")
-    parity = elements.select(F.col("digest").alias("a"), "parity", *_folded("parity"))
-    rare = written(rare.join(parity, "a"))
-    one, two = rare.alias("one"), rare.alias("two")
-    most = (1 - threshold) / (1 + threshold) * (F.col("one.n") + F.col("two.n")) + 1e-9
-    apart = (F.col("one.a") < F.col("two.a")) & (F.col("one.class") != F.col("two.class")) & ~(F.col("one.near") & F.col("two.near"))
-    apart &= (F.col("one.n") >= threshold * F.col("two.n")) & (F.col("two.n") >= threshold * F.col("one.n"))
-    # cheapest first
-    apart &= sum((F.bit_count(F.col(f"one.fold{k}").bitwiseXOR(F.col(f"two.fold{k}"))) for k in range(FOLDS)), F.lit(0)) <= most
-    apart &= ~F.arrays_overlap("one.before", "two.before")
-    differ = F.zip_with("one.parity", "two.parity", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart &= F.aggregate(differ, F.lit(0), lambda x, y: x + y) <= most
-    joined = one.join(two, (F.col("one.key") == F.col("two.key")) & apart)
-    return written(joined.select(F.col("one.a").alias("a"), F.col("two.a").alias("b")).distinct())
-
-
-def _folded(parity: str) -> list[Column]:
-    """``FOLDS`` numbers that hold the parities of a text in fewer places."""
-    n = PARITY_BITS // 64
-    parts = ([F.col(parity)[j] for j in range(k, n, FOLDS)] for k in range(FOLDS))
-    return [functools.reduce(Column.bitwiseXOR, words).alias(f"fold{k}") for k, words in enumerate(parts)]
+    classed = members.join(label, F.col("t") == F.col("node"), "left").select("key", "t", F.coalesce("component", "t").alias("class"))
+    named = written(classed)
+    split = named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q"), F.count(F.lit(1)).alias("n")).where("p != q")
+    open_ = written(_dealt(named.join(_grows(split.select("key", "n")), "key"), "key", "n", "t").select("key", "t", "class", "parts", "part"))
+    sized = open_.join(_grows(signed.select("t", "weight", "parity")), "t").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cell = F.struct("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")).alias("cell")
+    met = sized.select(cell, (F.col("part") > F.col("other")).alias("second"), "t", "class", "weight", "parity").repartition("cell")
+    met = met.sortWithinPartitions("cell", "second").select(F.xxhash64("cell").alias("cell"), "second", "t", "class", "weight", "parity")
+    most = (1 - threshold) / (1 + threshold)
+
+    def compared(rows: pa.Table) -> pa.RecordBatch:
+        t, class_, weight = (rows.column(c).to_numpy() for c in ("t", "class", "weight"))
+        second = rows.column("second").to_numpy()
+        parity = np.frombuffer(b"".join(rows.column("parity").to_pylist()), np.uint64).reshape(len(t), -1)
+        found = []
+        crossed = second.any()
+        ones = np.flatnonzero(~second)
+        twos = np.flatnonzero(second) if crossed else ones
+        for k in range(0, len(ones), BLOCK_TEXTS):
+            mine = ones[k : k + BLOCK_TEXTS]
+            far = np.bitwise_count(parity[mine][:, None] ^ parity[twos][None]).sum(axis=2, dtype=np.int32)
+            n, m = weight[mine][:, None], weight[twos][None]
+            near = (far <= most * (n + m) + 1e-9) & (n >= threshold * m) & (m >= threshold * n) & (class_[mine][:, None] != class_[twos][None])
+            i, j = np.nonzero(near)
+            found.append((t[mine[i]], t[twos[j]]))
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(2))
+        return pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # one cell: two parts at most
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            ends = np.r_[np.flatnonzero(cells[1:] != cells[:-1]) + 1, len(cells)].astype(int)
+            at = 0
+            for end in ends:
+                part = batch.slice(at, end - at)
+                if held and held[0].column("cell")[0].as_py() != cells[at]:
+                    yield compared(pa.Table.from_batches(held).combine_chunks())
+                    held = []
+                held.append(part)
+                at = end
+        if held:
+            yield compared(pa.Table.from_batches(held).combine_chunks())
+
+    pairs = written(met.mapInArrow(work, "a bigint, b bigint").distinct())
+    discard(named, open_)
+    return pairs
 
 
 def near_copies(
@@ -254,7 +328,6 @@ def near_copies(
     threshold: float = 0.8,
     bands: int = 24,
     rows: int = 4,
-    more_leads: int = 3,
 ) -> DataFrame:
     """Classes of near copies: (``id_col``, class_id, n_links), one row per row of ``documents``.
 
@@ -264,7 +337,7 @@ def near_copies(
     already share a class needn't all be compared. Equal texts share a class, null and empty ones theirs; texts of fewer than
     five words are one window. Null ids keep their class. Bands of 4 of 96 positions miss a pair at 0.8 three times in a million.
     """
-    return _labelled(*_linked(documents, id_col, text_col, window, threshold, bands, rows, more_leads), id_col)
+    return _labelled(*_linked(documents, id_col, text_col, window, threshold, bands, rows), id_col)
 
 
 def first_rows(
@@ -276,68 +349,50 @@ def first_rows(
     threshold: float = 0.8,
     bands: int = 24,
     rows: int = 4,
-    more_leads: int = 3,
 ) -> DataFrame:
     """One row (id, digest) per class of ``near_copies``: its least id, null if it has none, and of that id's texts the least digest."""
-    found, label = _linked(documents, id_col, text_col, window, threshold, bands, rows, more_leads)
-    named = _named(found, label)
+    named = _named(*_linked(documents, id_col, text_col, window, threshold, bands, rows))
     first = F.min(F.struct(F.col("least").isNull().alias("unnamed"), F.col("least").alias("id"), "digest"))
     return named.groupBy("class").agg(first.alias("first")).select("first.id", "first.digest")
 
 
 def _linked(
-    documents: DataFrame, id_col: str, text_col: str, window: int, threshold: float, bands: int, rows: int, more_leads: int
+    documents: DataFrame, id_col: str, text_col: str, window: int, threshold: float, bands: int, rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows (id, digest) of ``documents``, and (node, component, n_links) of the digests that have links."""
+    """The rows (id, digest) of ``documents``, and (digest, component, n_links) of the texts that have links, stored."""
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", digest_of(F.col("text")))
-    signed = written(_signed(texts.select("digest", "text"), bands, rows, window).dropDuplicates(["digest"]))
-    buckets = signed.select("digest", "weight", F.explode("keys").alias("key"))
-    # a bucket's leading text is its smallest
-    shared = buckets.groupBy("key").agg(F.min(F.struct("weight", "digest")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(buckets.join(written(shared.select("key", F.col("least.digest").alias("lead"))), "key").select("key", "digest", "lead"))
-    wanted = written(members.select("digest").distinct())  # stored, so that the join can split a text of very many copies
-    once = texts.select("digest", "text").join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    signed = _signed(texts.select("digest", "text"), bands, rows, window).dropDuplicates(["digest"])
+    signed = written(signed.withColumn("t", F.monotonically_increasing_id()))  # a short number per text
+    buckets = signed.select("t", F.explode("keys").alias("key"))
+    shared = written(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    members = written(buckets.join(_grows(shared), "key"))
+    # a bucket's texts meet one drawn by hash, in each bucket another
+    leads = written(members.groupBy("key").agg(F.min_by("t", F.xxhash64("t", "key")).alias("lead")))
+    led = members.join(_grows(leads), "key").where("t != lead").groupBy(F.col("t").alias("a"), F.col("lead").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    led = written(_possible(written(led), signed, threshold))
+    discard(shared, leads)
+    wanted = written(members.select("t").distinct().join(_grows(signed.select("t", "digest")), "t"))  # stored, so that the join can split a text of very many copies
+    once = texts.select("digest", "text").join(_grows(wanted), "digest").groupBy("t").agg(F.first("text").alias("text"))
     elements = written(_elements(once, window))
-    led = written(
-        members.where("digest != lead").groupBy(F.col("digest").alias("a"), F.col("lead").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    # each text first meets the leading text with which it shares most bands
+    # each text first meets the text with which it shares most bands
     closest = written(led.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b")))
     links = _verified(closest, elements, threshold)
     label = written(components(links))
-    # then its other leading texts, if they are of another class
-    others = led.select("a", "b").join(closest, ["a", "b"], "left_anti")
-    new = _verified(_apart(others, label), elements, threshold)
+    # then the others that it was drawn to, if they are of another class
+    new = _verified(_apart(led.select("a", "b").join(closest, ["a", "b"], "left_anti"), label), elements, threshold)
     links, label = links.unionByName(new), _merged(label, new)
-    # then, in buckets of several classes, the closest of texts drawn to lead each bucket anew
-    named = _classed(members, label)
-    for turn in range(more_leads):
-        if named.isEmpty():
-            break
-        drawn = named.groupBy("key").agg(F.min_by(F.struct("digest", "class"), F.xxhash64("digest", "key", F.lit(turn))).alias("d"))
-        drawn = written(drawn.select("key", F.col("d.digest").alias("b"), F.col("d.class").alias("other")))
-        shares = named.join(drawn, "key").where("class != other").groupBy(F.col("digest").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
-        nearest = shares.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-        new = _verified(nearest, elements, threshold)
-        if new.isEmpty():
-            break
-        links, label = links.unionByName(new), _merged(label, new)
-        named = _classed(members, label)
-    # at last the texts of a bucket that are still apart meet over what its leading text lacks
-    open_ = written(named.where("digest != lead").select(F.col("digest").alias("a"), "class", F.col("lead").alias("b")).distinct())
-    new = _verified(_sharing_rare(open_, elements, threshold), elements, threshold)
+    discard(closest, led)
+    # at last all texts of a bucket that are still apart
+    new = _verified(_across(members, label, signed, threshold), elements, threshold)
     links, label = written(links.unionByName(new)), _merged(label, new)
+    discard(members, elements)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    return texts.select("id", "digest"), label.join(degree, "node")
-
-
-def _classed(members: DataFrame, label: DataFrame) -> DataFrame:
-    """The members (key, digest, lead, class) of the buckets that hold more than one class, stored."""
-    named = members.join(label, F.col("digest") == F.col("node"), "left")
-    named = written(named.select("key", "digest", "lead", F.coalesce("component", "digest").alias("class")))
-    split = named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).where("p != q").select("key")
-    return written(named.join(split, "key", "left_semi"))
+    found = label.join(degree, "node").join(signed.select(F.col("t").alias("node"), "digest"), "node")
+    # 20 bytes, which no digest has
+    found = written(found.select("digest", F.lpad(F.col("component").cast("string"), 20, "0").cast("binary").alias("component"), "n_links"))
+    discard(signed, links, label, wanted)
+    return texts.select("id", "digest"), found
 
 
 def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
@@ -348,10 +403,12 @@ def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
     across = written(named.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a != b").distinct())
     if across.isEmpty():
         return label
-    over = written(components(across)).select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    over = written(components(across).select(F.col("node").alias("part"), F.col("component").alias("whole")))
     known = label.unionByName(over.select(F.col("part").alias("node"), F.col("part").alias("component"))).distinct()
     found = known.join(over, F.col("component") == F.col("part"), "left")
-    return written(found.select("node", F.coalesce("whole", "component").alias("component")))
+    merged = written(found.select("node", F.coalesce("whole", "component").alias("component")))
+    discard(label, across, over)
+    return merged
 
 
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -362,15 +419,17 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _named(rows: DataFrame, label: DataFrame) -> DataFrame:
+def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Each text (digest) with its least id, its links and its class; equal texts are counted together before any join."""
     least = rows.groupBy("digest").agg(F.min("id").alias("least"))
-    return least.join(label, F.col("digest") == F.col("node"), "left").withColumn("class", F.coalesce("component", "digest"))
+    return least.join(_grows(found), "digest", "left").withColumn("class", F.coalesce("component", "digest"))
 
 
-def _labelled(rows: DataFrame, label: DataFrame, id_col: str) -> DataFrame:
+def _labelled(rows: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
     """Each row with its class's least id and its text's links."""
-    named = _named(rows, label)
+    named = written(_named(rows, found))
     class_id = named.groupBy("class").agg(F.min("least").alias("class_id"))
     of_digest = named.join(class_id, "class").select("digest", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
-    return rows.join(written(of_digest), "digest").select(F.col("id").alias(id_col), "class_id", "n_links")
+    of_digest = written(of_digest)
+    discard(named, found)
+    return rows.join(_grows(of_digest), "digest").select(F.col("id").alias(id_col), "class_id", "n_links")
