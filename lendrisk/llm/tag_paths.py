@@ -4,8 +4,10 @@ Each text node belongs to the path of tags from the root to it. Per path the pag
 divided by the path's nodes; the two ratios are fused, smoothed over neighbouring paths, and paths below a share of the best are
 dropped. Elements that are something else by tag or role (menus, footers, forms, ...) take no part. Names of classes and ids
 (adverts, comments, ...) lower the ratios below them, unless what bears the name holds most of the page's text and punctuation.
-Paths inside a marked article count ``MARKED`` times their own ratio against the page's best, and compete with all others. Headings
-in a mark count as much as its best path; else headings and quotes count as much as the paths beside them.
+Paths inside a marked article count ``MARKED`` times their own ratio against the page's best, and compete with all others; where a
+mark's unnamed paths win, its other unnamed paths stay too, unless they are mostly links. Beside a marked article comments are left out
+however long they are, known by name or by short dated texts that repeat. Headings in a mark count as much as its best path;
+else headings and quotes count as much as the paths beside them.
 """
 
 from __future__ import annotations
@@ -41,8 +43,13 @@ NAMES = frozenset(
     " pagination footer footnav masthead topbar toolbar share sharing social related recommended recommendations teaser"
     " header heading newsletter subscribe subscription signup login comment comments commentlist respond disqus reply replies widget".split()
 )
-#: A part after one of these says that something is there or not, elsewhere.
-SAYING = frozenset("no has with without".split())
+#: Those of them that name reader comments.
+COMMENTS = frozenset("comment comments commentlist respond disqus reply replies".split())
+#: A part after one of these, or before one of those, says that something is there or not, elsewhere.
+SAYING, STATE = frozenset("no has with without".split()), frozenset("open closed enabled disabled allowed on off".split())
+#: A short text with a date or a time of day, as posts of readers bear.
+DATED = re.compile(r"\b\d{1,2}:\d\d\b|\b\d{4}-\d\d-\d\d\b|\b\d{1,2}[./]\s?\d{1,2}[./]\s?\d{2,4}\b|\b(?:19|20)\d\d\b|\b\d+\s+\w+\s+ago\b")
+SHORT_TEXT, POSTS, POST_TEXTS = 60, 3, 6
 #: A start tag of the first kind ends an open element of the second.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BLOCKS_END_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -69,7 +76,7 @@ def _names(attributes: dict[str, str]) -> set[str]:
     for value in (attributes.get("class", ""), attributes.get("id", "")):
         for word in value.split():
             parts = [p.lower() for p in NAME_PART.findall(word)]
-            found |= {p for k, p in enumerate(parts) if not k or parts[k - 1] not in SAYING}
+            found |= {p for k, p in enumerate(parts) if (not k or parts[k - 1] not in SAYING) and parts[k + 1 : k + 2] not in ([x] for x in STATE)}
     return found
 
 
@@ -191,8 +198,25 @@ def _weights(nodes: list[Node]) -> dict[frozenset[str], float]:
         for name in ("", *names):
             length[name] += n
             marks[name] += m
+    # where an article is marked apart from the comments, they are comments however long
+    told = any(region and not names & COMMENTS for _, _, region, names, _, _ in nodes)
     share = {x: ((length[x] / length[""]) + (marks[x] / marks[""] if marks[""] else length[x] / length[""])) / 2 if length[""] else 0.0 for x in length}
-    return {names: max(NAMED, min((max(2 * share[x] - 1, 0.0) ** 2 for x in names), default=1.0)) for names in {node[3] for node in nodes}}
+    least = {names: max(NAMED, min((max(2 * share[x] - 1, 0.0) ** 2 for x in names), default=1.0)) for names in {node[3] for node in nodes}}
+    return {names: 0.0 if told and names & COMMENTS else value for names, value in least.items()}
+
+
+def _posts(nodes: list[Node]) -> set[int]:
+    """The paths that repeat short dated texts ``POSTS`` times or more, outside marks on a page with one: posts of readers, whatever
+    their names. A path is given by the number of what its texts lie in; it holds no more than ``POST_TEXTS`` texts for each date.
+    """
+    if not any(node[2] for node in nodes):
+        return set()
+    dated, others = Counter(), Counter()
+    for _, path, region, _, _, text in nodes:
+        if not region:
+            short = len(text) <= SHORT_TEXT and DATED.search(text)
+            (dated if short else others).update({path[0], path[2]})
+    return {inside for inside, n in dated.items() if n >= POSTS and others[inside] <= POST_TEXTS * n}
 
 
 def _kept_paths(nodes: list[Node]) -> set[Key]:
@@ -205,13 +229,14 @@ def _kept_paths(nodes: list[Node]) -> set[Key]:
         marks[key] += len(PUNCTUATION.findall(text))
         count[key] += 1
     order = list(length)
-    weight = _weights(nodes)
+    weight, posts = _weights(nodes), _posts(nodes)
     fused = [(length[k] - linked[k]) / count[k] * (1 + marks[k] / count[k]) for k in order]
     score = {}
     for at, (key, value) in enumerate(zip(order, fused, strict=True)):
         beside = [fused[j] for j in (at - 1, at + 1) if 0 <= j < len(fused) and order[j][1:] == key[1:]]
         smooth = (1 - NEIGHBOUR * len(beside)) * value + NEIGHBOUR * sum(beside)
-        score[key] = math.sqrt(value * smooth) * weight[key[2]]  # a path without any ratio of its own stays out
+        post = not key[1] and (key[0][2] in posts or key[0][0] in posts)
+        score[key] = 0.0 if post else math.sqrt(value * smooth) * weight[key[2]]  # a path without any ratio of its own stays out
     best_of: dict[object, float] = {}
     for (path, region, names), value in score.items():
         for shared in (region, ("beside", path[2]), ("beside", path[2], names)):
@@ -224,10 +249,13 @@ def _kept_paths(nodes: list[Node]) -> set[Key]:
         score[path, region, names] = value
     best = max(score.values(), default=0.0)
     marked = any(region for _, region, _ in order)
-    return {
+    kept = {
         key for key, value in score.items()
         if value * (MARKED if key[1] else 1.0) >= LEAST_SHARE * best and (value > 0 or best == 0 and bool(key[1]) == marked)
     }
+    # within a chosen mark all that isn't named or mostly linked is the article's: lists, tables, short sections
+    chosen = {region for _, region, names in kept if region and not names}
+    return kept | {key for key in order if key[1] in chosen and not key[2] and 2 * linked[key] <= length[key]}
 
 
 def main_text(html: str | None) -> str:
@@ -242,7 +270,11 @@ def main_text(html: str | None) -> str:
 
 
 def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(``id_col``, ``url_col``, text, n_chars) for every page; null and empty html give the empty text."""
+    """(``id_col``, ``url_col``, text, n_chars) for every row of ``pages``.
+
+    Null and empty html give the empty text; null ids and urls stay as they are, repeated rows give repeated results, an empty table
+    none, and other columns are ignored, whatever their names. Pages are read whole, however long.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
