@@ -2,10 +2,11 @@
 
 A store is a folder of shards in ascending order of the document key, one row each in Parquet files, so that any file system Spark
 reaches can hold it. A shard's payload is the raw little-endian ids of its documents, each document ended by an id; two bytes
-an id if the vocabulary allows, else four. Its index maps a key to the place of its documents in constant time and without
-holding keys: levels of bits give every key a number of its own from 0 to n - 1, under which a fingerprint of the key and the
-first of its rows stand. A key that isn't there is told by the fingerprint. The rows of one key may fill several shards, each of
-which has the key in its index; their bounds, the first and last key, tell which ones.
+an id if the vocabulary allows, else four. Its index maps a key to the place of its documents in constant time and holds no
+keys itself: levels of bits give every key a number of its own from 0 to n - 1, under which a fingerprint of the key and the
+first of its rows stand. A key that isn't there is told by the fingerprint, all but one in two thousand millions. Beside the index
+a shard lists its rows' keys, from which the whole store is read back and a key that was found is told for certain. The rows of
+one key may fill several shards, each of which has the key in its index; their bounds, the first and last key, tell which ones.
 """
 
 from __future__ import annotations
@@ -164,13 +165,15 @@ def write_ids(
     ordered.mapInArrow(rows, schema).write.option("compression", "zstd").parquet(folder)
 
 
-def _loaded(shard: dict) -> tuple[PerfectHash, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A shard's index, fingerprints, first rows, row starts and payload."""
-    sizes = np.array(shard["level_sizes"], np.int64)
-    bits = np.unpackbits(np.frombuffer(shard["bits"], np.uint8), count=int(sizes.sum())).astype(bool)
-    index = PerfectHash(bits, sizes, np.array(shard["rest"], np.int64).view(np.uint64))
-    ids = np.frombuffer(shard["payload"], "<u2" if shard["width"] == 2 else "<u4")
-    return index, np.array(shard["fingerprints"], np.int32), np.array(shard["first_rows"], np.int64), np.array(shard["row_starts"], np.int64), ids
+def _loaded(shards: pa.RecordBatch, at: int) -> tuple[PerfectHash, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's index, fingerprints, first rows, row starts and payload, as arrays over the row that holds them."""
+    numbers = {c: shards.column(c)[at].values.to_numpy() for c in ("level_sizes", "rest", "fingerprints", "first_rows", "row_starts")}
+    bits, payload = (shards.column(c)[at].as_buffer() for c in ("bits", "payload"))
+    sizes = numbers["level_sizes"].astype(np.int64)
+    packed = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(sizes.sum())).astype(bool)
+    index = PerfectHash(packed, sizes, numbers["rest"].view(np.uint64))
+    ids = np.frombuffer(payload, "<u2" if shards.column("width")[at].as_py() == 2 else "<u4")
+    return index, numbers["fingerprints"], numbers["first_rows"].astype(np.int64), numbers["row_starts"], ids
 
 
 def _first_rows(index: PerfectHash, prints: np.ndarray, first_rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -198,16 +201,15 @@ def read_ids(spark: SparkSession, folder: str, *, id_col: str = "doc_id") -> Dat
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                shard = batch.slice(at, 1).to_pylist()[0]
-                index, prints, first_rows, row_starts, ids = _loaded(shard)
-                hashes = np.array(shard["hashes"], np.int64).view(np.uint64)
+                index, prints, first_rows, row_starts, ids = _loaded(batch, at)
+                hashes = batch.column("hashes")[at].values.to_numpy().view(np.uint64)
                 found = _first_rows(index, prints, first_rows, hashes)
                 # rows of one key follow its first
                 nth = np.arange(len(found)) - np.maximum.accumulate(np.where(np.r_[True, found[1:] != found[:-1]], np.arange(len(found)), 0))
                 opens, closes = row_starts[found + nth], row_starts[found + nth + 1]
                 wide = ids.astype("<u4")
                 crc = [zlib.crc32(wide[a:b].tobytes()) for a, b in zip(opens.tolist(), closes.tolist(), strict=True)]
-                start = base[shard["part"]] + shard["start_in_part"] + opens
+                start = base[batch.column("part")[at].as_py()] + batch.column("start_in_part")[at].as_py() + opens
                 yield pa.record_batch(
                     [batch.column("keys").slice(at, 1).flatten(), pa.array(start, pa.int64()), pa.array(closes - opens, pa.int64()), pa.array(crc, pa.int64())],
                     names=[id_col, "start", "n_tokens", "ids_crc32"],
@@ -220,7 +222,8 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame, *, id_col: str = "
     """The ids of some documents: (``id_col``, ids array<bigint>), a row per row of the store with one of the ``keys``.
 
     Keys that the store doesn't hold give no row; repeated keys count once. Keys must be of the store's type, and null finds
-    nothing. Only the shards that the keys fall into are read further than their bounds.
+    nothing. Only the shards that the keys fall into are read further than their bounds. A shard's arrays are used where they lie:
+    of its keys and ids only those asked for become Python objects.
     """
     store = spark.read.parquet(folder).withColumn("shard", F.struct("part", "seq"))
     bounds = store.select("part", "seq", "first", "last").orderBy("part", "seq").limit(MOST_SHARDS + 1).collect()
@@ -245,11 +248,13 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame, *, id_col: str = "
 
     def block(shards: pa.Table, wanted: pa.Table) -> pa.Table:
         out = {id_col: [], "ids": []}
-        for shard in shards.to_pylist():
-            index, prints, first_rows, row_starts, ids = _loaded(shard)
+        rows = shards.combine_chunks().to_batches()
+        for batch, at in ((batch, at) for batch in rows for at in range(batch.num_rows)):
+            index, prints, first_rows, row_starts, ids = _loaded(batch, at)
+            keys = batch.column("keys")[at].values
             found = _first_rows(index, prints, first_rows, wanted.column("hash").to_numpy().view(np.uint64))
             for key, row in zip(wanted.column("key").to_pylist(), found.tolist(), strict=True):
-                while 0 <= row < len(shard["keys"]) and shard["keys"][row] == key:
+                while 0 <= row < len(keys) and keys[row].as_py() == key:
                     out[id_col].append(key)
                     out["ids"].append(ids[row_starts[row] : row_starts[row + 1]].tolist())
                     row += 1
