@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lendrisk.llm import bagminhash, bpe, fertility, neighbour_vote, soft_mixing
 from lendrisk.llm.queries import labelled_languages
-from lendrisk.llm.scratch import importable, written
+from lendrisk.llm.scratch import discard, importable, written
 
 #: SQL can't express the tokenisers, the classifiers or the signatures; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -75,5 +75,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        kept = written(stage(spark, docs, sf_dir))
+        discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

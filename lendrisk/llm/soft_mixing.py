@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lendrisk.llm import bpe, latent
 from lendrisk.llm.pretokens import slices
-from lendrisk.llm.scratch import written
+from lendrisk.llm.scratch import discard, written
 
 #: The public vocabulary whose ids are counted as tokens.
 VOCABULARY = "byte_bpe_50k.json"
@@ -132,10 +132,13 @@ def fit_rates(
     scale = np.where(now > 1e-9, 1 / np.maximum(now, 1e-9), 0.0)
     root = np.sqrt(scale)
     step = 1 / (np.linalg.eigvalsh(root[:, None] * gram * root).max() + ridge)
-    rows, rate = members.withColumn("rate", F.lit(1.0)), F.col("rate")
+    # the steps need two columns; whatever else the rows hold is neither moved nor stored again
+    rows, rate = members.select("n_tokens", "posterior").withColumn("rate", F.lit(1.0)), F.col("rate")
+    pulls: list[list[float]] = []
     for k in range(1, most_steps + 1):
+        pulls.append(((now - targets) * scale).tolist())
         pull = F.lit(0.0)
-        for x, r in zip(p, ((now - targets) * scale).tolist(), strict=True):
+        for x, r in zip(p, pulls[-1], strict=True):
             pull = pull + x * r
         rate = F.greatest(F.lit(0.0), rate * (1 - step * ridge) + step * ridge - step * pull)
         moved = np.array(rows.agg(*(F.sum(share * x * rate) for x in p)).first())
@@ -144,8 +147,21 @@ def fit_rates(
         if still or np.abs((now - targets)[scale > 0]).max() < tolerance:
             break
         if k % stored_every == 0:
-            rows, rate = written(rows.withColumn("rate", rate)), F.col("rate")
-    return rows.withColumn("rate", rate), now.tolist()
+            stepped = written(rows.withColumn("rate", rate))
+            discard(rows)
+            rows, rate = stepped, F.col("rate")
+    discard(rows)
+
+    @F.arrow_udf("double")
+    def replayed(posterior: pa.Array) -> pa.Array:
+        """The rate that the same steps lead to from each posterior."""
+        flat = posterior.flatten().to_numpy().reshape(len(posterior), -1)
+        out = np.ones(len(posterior))
+        for pull in pulls if len(posterior) else ():
+            out = np.maximum(0.0, out * (1 - step * ridge) + step * ridge - step * (flat @ pull))
+        return pa.array(out, pa.float64())
+
+    return members.withColumn("rate", replayed("posterior")), now.tolist()
 
 
 def copies_of(rate: Column, *key: Column) -> Column:
