@@ -12,21 +12,65 @@ def _canonical(of: str) -> str:
         || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END END"""
 
 
+def _attribute(tag: str, name: str) -> str:
+    given = f"""list_filter(regexp_extract_all({tag}, '[^\\s"''>/=]+(?:\\s*=\\s*(?:"[^"]*"|''[^'']*''|[^\\s"''>]+))?', 0),
+        lambda g: regexp_matches(g, '(?is)^{name}\\s*='))[1]"""
+    return f"""trim(replace(regexp_replace(regexp_replace({given}, '(?is)^[^=]*=\\s*', ''), '^["'']|["'']$', '', 'g'), '&amp;', '&'))"""
+
+
+def _tags(name: str) -> str:
+    return f"""regexp_extract_all(live, '(?is)<{name}([\\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*)>', 1)"""
+
+
+def _without_dots(path: str) -> str:
+    """A path with its ``.`` and ``..`` parts carried out: parts are appended to a text and cut off again."""
+    parts = f"string_split(substr({path}, 2), '/')"
+    done = f"""list_reduce(list_prepend('', {parts}), lambda x, y:
+        CASE y WHEN '.' THEN x WHEN '..' THEN regexp_replace(x, '/[^/]*$', '') ELSE x || '/' || y END)"""
+    ends = f"CASE WHEN {parts}[-1] IN ('.', '..') AND {done} <> '' THEN '/' ELSE '' END"
+    return f"CASE WHEN regexp_matches({path}, '/\\.\\.?(?:/|$)') THEN coalesce(nullif({done}, ''), '/') || {ends} ELSE {path} END"
+
+
+def _resolved(url: str, link: str) -> str:
+    root = f"regexp_extract({url}, '(?s)^(.*?://[^/?#]*)', 1)"
+    path = f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    own = f"regexp_extract({link}, '(?s)^([^?#]*)', 1)"
+    rest = f"substr({link}, length({own}) + 1)"
+    folder = f"CASE {path} WHEN '' THEN '/' ELSE regexp_replace({path}, '[^/]*$', '') END"
+    return f"""CASE WHEN regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {link}
+        WHEN {link} = '' OR regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*:') OR regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1) = '' THEN NULL
+        WHEN starts_with({link}, '//') THEN regexp_extract({url}, '(?s)^(.*?)://', 1) || ':' || {link}
+        WHEN starts_with({link}, '/') THEN {root} || {_without_dots(own)} || {rest}
+        WHEN starts_with({link}, '?') THEN {root} || {path} || {link}
+        WHEN starts_with({link}, '#') THEN regexp_extract({url}, '(?s)^([^#]*)', 1) || {link}
+        ELSE {root} || {_without_dots(f"({folder} || {own})")} || {rest} END"""
+
+
+_UNREAD = "|".join(["<!--.*?(?:-->|\\z)", *(
+    f"<{name}\\b.*?(?:</{name}\\s*>|\\z)" for name in ("script", "style", "template", "noscript", "textarea", "title", "xmp", "iframe")
+)])
+
 URL_FILTER = f"""
-WITH RECURSIVE declared AS (
-  SELECT url,
-    regexp_extract(coalesce(html, ''), '(<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>)', 1, 'si') AS link,
-    regexp_extract(coalesce(html, ''), '(<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>)', 1, 'si') AS refresh
-  FROM pages WHERE url IS NOT NULL),
-named AS (
-  SELECT url, replace(CASE WHEN regexp_extract(link, 'href\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'si') <> ''
-      THEN regexp_extract(link, 'href\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'si')
-      ELSE regexp_extract(refresh, '\\burl\\s*=\\s*[''"]?([^"''\\s>]+)', 1, 'si') END, '&amp;', '&') AS target
-  FROM declared),
+WITH RECURSIVE read AS (
+  SELECT url, regexp_replace(html, '(?is){_UNREAD}', ' ', 'g') AS live
+  FROM pages WHERE url IS NOT NULL AND regexp_matches(html, '(?i)canonical|refresh')),
+tags AS (
+  SELECT url, {_tags("link")} AS link_tags, {_tags("meta")} AS meta_tags,
+    list_filter(list_transform({_tags("base")}, lambda t: {_attribute("t", "href")}), lambda h: h IS NOT NULL)[1] AS base
+  FROM read),
+based AS (SELECT url, coalesce({_resolved("url", "base")}, url) AS base, link_tags, meta_tags FROM tags),
+tag AS (SELECT url, base, unnest(link_tags) AS t, false AS meta FROM based UNION ALL SELECT url, base, unnest(meta_tags), true FROM based),
+given AS (
+  SELECT url, base, CASE
+    WHEN NOT meta AND list_contains(regexp_split_to_array(lower({_attribute("t", "rel")}), '\\s+'), 'canonical') THEN {_attribute("t", "href")}
+    WHEN meta AND lower({_attribute("t", "http-equiv")}) = 'refresh'
+      THEN trim(regexp_extract({_attribute("t", "content")}, '(?is)\\burl\\s*=\\s*["'']?([^"'']+)', 1)) END AS link
+  FROM tag),
+named AS (SELECT url, {_resolved("base", "link")} AS target FROM given WHERE link IS NOT NULL),
 links AS (
   SELECT url AS a, {_canonical('url')} AS b FROM pages WHERE url IS NOT NULL
-  UNION SELECT url, target FROM named WHERE contains(target, '://')
-  UNION SELECT target, {_canonical('target')} FROM named WHERE contains(target, '://')),
+  UNION SELECT url, target FROM named WHERE target IS NOT NULL
+  UNION SELECT target, {_canonical('target')} FROM named WHERE target IS NOT NULL),
 edges AS (SELECT a, b FROM links WHERE a <> b AND b IS NOT NULL UNION SELECT b, a FROM links WHERE a <> b AND b IS NOT NULL),
 reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
 urls AS (SELECT node AS u FROM reach UNION SELECT url FROM pages WHERE url IS NOT NULL),
