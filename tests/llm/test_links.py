@@ -57,3 +57,26 @@ def test_very_long_markup(spark):
     html = "<link " + "a='b' " * 3000 + "rel=canonical href=/x>" + "<p title=\"" + "x" * 200_000 + "<!--" * 5000
     pages = spark.createDataFrame([(1, HOME, html)], "page_id int, url string, html string")
     assert "http://a.net/x" in {e.b for e in url_filter.alias_edges(pages).collect()}
+
+
+def test_the_sql_reads_links_alike(spark, tmp_path):
+    """The registered SQL over a table of declared links, against the query."""
+    import duckdb
+
+    from lendrisk.llm.oracle import LLM_ORACLE_SQL
+
+    targets = ["http://k.com/de/1", "/x", "../y/./z?a=1", "?q=2", "#f", "//k.com/fr/9", "mailto:a", "", "a/..", "http://a.net/dir/7", "./../../..", "b//c/../d"]
+    forms = ["<link rel=canonical href='%s'>", "<link href=\"%s\" rel=\"x Canonical\">", "<!-- <link rel=canonical href='%s'> -->",
+             "<meta http-equiv=refresh content=\"0; url=%s\">", "<script><link rel=canonical href='%s'></script>",
+             "<base href='/base/of/'><link rel=canonical data-href='/no' href='%s'>", "<title>refresh</title><link rel=next href='%s'>"]
+    rows = [(k, f"http://a.net/dir/{k}?s={k % 3}", form % target) for k, (form, target) in enumerate((f, t) for f in forms for t in targets)]
+    rows += [(200, None, "<link rel=canonical href=/x>"), (201, "no host", "<link rel=canonical href=/x>"), (202, "http://m.a.net/dir/5.html", None)]
+    rows += [(300 + k, "http://k.com/de/1" if k else "https://a.net/y/z?a=1", "") for k in range(2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    expected = connection.execute(LLM_ORACLE_SQL["op4_url_filter"]).fetchall()
+    found = url_filter.url_verdicts(pages, queries.URL_RULES).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    assert len({r.verdict for r in found if r.rule is None}) == 2
