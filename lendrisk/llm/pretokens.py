@@ -62,6 +62,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, "right")) - 1)
         yield at, min(end, len(texts))
+        pa.default_memory_pool().release_unused()
         at = min(end, len(texts))
 
 

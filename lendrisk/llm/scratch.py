@@ -10,6 +10,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Arrays of this size are mapped apart from a worker's heap, which otherwise keeps their place.
+RETURNED_BYTES = 4 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors reach.
 
@@ -44,9 +48,13 @@ def discard(*tables: DataFrame) -> None:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, if it isn't installed there."""
+    """Let Python workers import this package from where the driver has it, if it isn't installed there.
+
+    Workers live on from stage to stage, so they also give arrays of ``RETURNED_BYTES`` and more back to the system when done with them.
+    """
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(RETURNED_BYTES))
