@@ -5,7 +5,7 @@ divided by the path's nodes; the two ratios are fused, smoothed over neighbourin
 dropped. Elements that are something else by tag or role (menus, footers, forms, ...) take no part. Names of classes and ids
 (adverts, comments, ...) lower the ratios below them, unless what bears the name holds most of the page's text and punctuation.
 Paths inside a marked article count ``MARKED`` times their own ratio against the page's best, and compete with all others; where a
-mark's unnamed paths win, its other unnamed paths stay too, unless they are mostly links. Beside a marked article comments are left out
+mark's unnamed paths win, its other unnamed paths stay too, unless they are mostly links or a few bare words in a ``div``. Beside a marked article comments are left out
 however long they are, known by name or by short dated texts that repeat. Headings in a mark count as much as its best path;
 else headings and quotes count as much as the paths beside them.
 """
@@ -50,6 +50,8 @@ SAYING, STATE = frozenset("no has with without".split()), frozenset("open closed
 #: A short text with a date or a time of day, as posts of readers bear.
 DATED = re.compile(r"\b\d{1,2}:\d\d\b|\b\d{4}-\d\d-\d\d\b|\b\d{1,2}[./]\s?\d{1,2}[./]\s?\d{2,4}\b|\b(?:19|20)\d\d\b|\b\d+\s+\w+\s+ago\b")
 SHORT_TEXT, POSTS, POST_TEXTS = 60, 3, 6
+#: Mean length up to which texts without punctuation that lie in a ``div`` itself aren't an article's by its mark alone.
+LOOSE_TEXT = 20
 #: A start tag of the first kind ends an open element of the second.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BLOCKS_END_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -255,7 +257,9 @@ def _kept_paths(nodes: list[Node]) -> set[Key]:
     }
     # within a chosen mark all that isn't named or mostly linked is the article's: lists, tables, short sections
     chosen = {region for _, region, names in kept if region and not names}
-    return kept | {key for key in order if key[1] in chosen and not key[2] and 2 * linked[key] <= length[key]}
+    # but short texts without punctuation that stand in a bare container, as buttons and adverts do, have to win by their ratio
+    loose = {key for key in order if key[0][1] == "div" and not marks[key] and length[key] <= LOOSE_TEXT * count[key]}
+    return kept | {key for key in order if key[1] in chosen and not key[2] and 2 * linked[key] <= length[key] and key not in loose}
 
 
 def main_text(html: str | None) -> str:

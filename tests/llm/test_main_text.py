@@ -38,6 +38,12 @@ def test_comments_beside_an_article(n, beside):
     assert tag_paths.main_text(f"<body><article>{body}</article>{beside}</body>") == " ".join(PARAGRAPHS[:n])
 
 
+def test_bare_words_in_a_container_are_no_part_of_an_article():
+    extra = "<div class=y>Then a short remark, unnamed.</div><div class=x><span>Get it here</span></div><ul><li>one</li></ul>"
+    text = tag_paths.main_text(f"<article><h1>Title</h1>{BODY}{extra}</article>")
+    assert text == " ".join(["Title", *PARAGRAPHS, "Then a short remark, unnamed.", "one"])
+
+
 def test_a_state_is_no_name():
     html = f"<body class='comments-open'><div class='layout comments-closed'><article class='post comments-open'>{BODY}</article></div></body>"
     assert tag_paths.main_text(html) == " ".join(PARAGRAPHS)
