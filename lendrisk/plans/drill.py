@@ -10,6 +10,9 @@ from lendrisk.plans.book import LoanBook
 from lendrisk.plans.marts import member_loan_summary, payment_detail
 from lendrisk.sources.clustered import Clustered
 
+#: Places that loan ids are hashed to when one member's payments are looked for: less than a megabyte.
+LOAN_PLACES = 1 << 16
+
 
 def kpi_overview(book: LoanBook, delinquency: DataFrame) -> DataFrame:
     """One row of headline numbers over the cleaned tables, with the flagged members.
@@ -52,12 +55,21 @@ def member_detail(
     return scored.orderBy(F.desc("risk_score"), "member_id")
 
 
+def _of_loans(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """``rows`` of the loans ``own``. Places of hashed ids, which are ``LOAN_PLACES`` at most and so are broadcast whatever the
+    member, leave out nearly all other rows before any is shuffled; the ids themselves decide about the rest."""
+    place = F.pmod(F.xxhash64("loan_id"), F.lit(LOAN_PLACES)).alias("_place_of_loan")
+    places = F.broadcast(own.select(place).distinct())
+    near = rows.select("*", place).join(places, "_place_of_loan", "left_semi").drop("_place_of_loan")
+    return near.join(own, "loan_id", "left_semi")
+
+
 def for_member(book: LoanBook, member_id: str) -> LoanBook:
     """The book of one member: the id filter reaches the member and loan scans, and payments keep only their loans.
 
-    A member's loans are usually few, and adaptive execution then broadcasts them when it sees their size; a member with very
-    many loans gets a shuffle join. Nothing runs before the result is asked for. All rows share the one member id, so it
-    counts as hot.
+    A member's loans are usually few, and only the payments that may be theirs are then shuffled, however many there are of
+    other loans; a member with very many loans gets a shuffle join. Nothing runs before the result is asked for. All rows share
+    the one member id, so it counts as hot.
     """
     loans = book.loans.where(F.col("member_id") == member_id)
     own = loans.select("loan_id")
@@ -65,10 +77,10 @@ def for_member(book: LoanBook, member_id: str) -> LoanBook:
         book,
         members=book.members.where(F.col("member_id") == member_id),
         loans=loans,
-        payments=book.payments.join(own, "loan_id", "left_semi"),
+        payments=_of_loans(book.payments, own),
         hot_members=(member_id,),
-        stats=None if book.stats is None else book.stats.join(own, "loan_id", "left_semi"),
-        activity=None if book.activity is None else book.activity.join(own, "loan_id", "left_semi"),
+        stats=None if book.stats is None else _of_loans(book.stats, own),
+        activity=None if book.activity is None else _of_loans(book.activity, own),
     )
 
 

@@ -2,7 +2,7 @@
 
 import re
 
-from helpers import as_set, plan_text
+from helpers import as_set, plan_text, rows
 from pyspark.sql import functions as F
 
 from lendrisk.operators.cleaning import clean_members
@@ -180,3 +180,15 @@ def test_drill_into_one_member_runs_nothing_before_it_is_asked(spark):
     payments.collect()
     assert "BroadcastHashJoin" in payments._jdf.queryExecution().executedPlan().toString()
 
+
+
+def test_one_members_payments_are_found_before_a_shuffle(spark, setting):
+    """Other loans' payments don't reach the join by loan, neither when the member's loans are too many to be broadcast."""
+    book = LoanBook.from_raw(skewed(spark, 300))
+    expected = rows(drill.for_member(book, "M7").payments.orderBy("payment_id"))
+    setting(autoBroadcastJoinThreshold="-1")
+    payments = drill.for_member(book, "M7").payments
+    plan = plan_text(payments)
+    assert re.search(r"BroadcastHashJoin \[_place_of_loan.*LeftSemi, BuildRight", plan)
+    assert plan.index("SortMergeJoin [loan_id") < plan.index("hashpartitioning(loan_id") < plan.index("BroadcastHashJoin [_place_of_loan")
+    assert expected and rows(payments.orderBy("payment_id")) == expected
