@@ -81,6 +81,7 @@ def for_member(book: LoanBook, member_id: str) -> LoanBook:
         hot_members=(member_id,),
         stats=None if book.stats is None else _of_loans(book.stats, own),
         activity=None if book.activity is None else _of_loans(book.activity, own),
+        totals=None,
     )
 
 

@@ -118,6 +118,17 @@ def test_one_member_reads_few_files(spark, tmp_path):
     assert table.lookup(spark, "nobody").count() == 0 and files_read(table.lookup(spark, "nobody")) == 0
 
 
+def test_ranges_grow_in_number_and_not_in_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("lendrisk.sources.clustered.RANGE_ROWS", 250)
+    df = spark.range(0, 4000, 1, 4).select((F.col("id") % 997).cast("string").alias("k"), "id")
+    table = Clustered(str(tmp_path / "t"), "k", df.schema, ("id",))
+    assert as_set(table.write(df, 4, 4000)) == as_set(df)
+    sizes = [r["rows"] for r in rows(table.files(spark))]
+    assert len(sizes) == 16 and max(sizes) < 2 * 250
+    table.write(df, 20, 4000)
+    assert table.files(spark).count() == 20
+
+
 def test_a_hot_member_spans_files(spark, tmp_path):
     df = spark.range(0, 3000, 1, 4).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     table = Clustered(str(tmp_path / "t"), "k", df.schema, ("id",))
