@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -48,6 +49,11 @@ class Vocabulary:
     token_first: np.ndarray
     special: tuple[bytes, int] | None
 
+    @functools.cached_property
+    def byte_pairs(self) -> np.ndarray:
+        """The place of each pair of bytes, the first one times 256 plus the second."""
+        return self.pair(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256))
+
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place of each pair among the keys, or -1."""
         key = left * self.size + right
@@ -120,10 +126,11 @@ def merge_words(vocab: Vocabulary, data: np.ndarray, first: np.ndarray) -> tuple
         done_symbol.append(np.array(ids, np.int64))
     short = np.flatnonzero((length > 0) & (length <= LONG_WORD))
     word = np.repeat(short, length[short])
-    symbol = vocab.byte_ids[data[spread(first[short], length[short])]]
+    byte = data[spread(first[short], length[short])].astype(np.int64)
+    symbol = vocab.byte_ids[byte]
     place = np.full(len(symbol), -1, np.int64)
     inner = np.flatnonzero(word[1:] == word[:-1])
-    place[inner] = vocab.pair(symbol[inner], symbol[inner + 1])
+    place[inner] = vocab.byte_pairs[byte[inner] * 256 + byte[inner + 1]]
     while len(word):
         rank = np.where(place >= 0, vocab.ranks[place], NO_RANK)
         opens = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
@@ -132,7 +139,8 @@ def merge_words(vocab: Vocabulary, data: np.ndarray, first: np.ndarray) -> tuple
         if over.any():
             done_word.append(word[over])
             done_symbol.append(symbol[over])
-            word, symbol, place, rank, low = (x[~over] for x in (word, symbol, place, rank, low))
+            left = np.flatnonzero(~over)
+            word, symbol, place, rank, low = (x[left] for x in (word, symbol, place, rank, low))
             if not len(word):
                 break
         hit = np.flatnonzero(rank == low)
@@ -172,20 +180,34 @@ class WordStore:
         self.flat = np.array([x for v in values for x in v], np.int64)
         self.start = np.cumsum(self.length) - self.length
 
+    def keep(self, words: list[bytes]) -> None:
+        """Forget all words but those among ``words``, which needn't be worked out again."""
+        held = [(w, self.at[w]) for w in words if w in self.at and w not in self.known]
+        rows = np.array([k for _, k in held], np.int64)
+        start, length, flat = self.start[rows], self.length[rows], self.flat
+        self.clear()
+        self.at.update((w, len(self.known) + k) for k, (w, _) in enumerate(held))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
+        self.flat = np.concatenate([self.flat, flat[spread(start, length)]])
+        self.length = np.concatenate([self.length, length])
+
     def places(self, words: pa.Array) -> np.ndarray:
         """Each word's row in ``start`` and ``length``."""
         listed = words.to_pylist()
         if len(self.at) > KEPT_WORDS:
-            self.clear()
+            self.keep(listed)
         at = self.at
-        new = [w for w in listed if w not in at]
-        if new:
+        found = np.fromiter(map(at.get, listed, itertools.repeat(-1)), np.int64, len(listed))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [listed[k] for k in missing.tolist()]
             flat, length = self.work(new)
-            at.update(zip(new, range(len(self.length), len(self.length) + len(new)), strict=True))
+            found[missing] = np.arange(len(self.length), len(self.length) + len(new))
+            at.update(zip(new, found[missing].tolist(), strict=True))
             self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
             self.length = np.concatenate([self.length, length])
             self.flat = np.concatenate([self.flat, flat])
-        return np.fromiter(map(at.__getitem__, listed), np.int64, len(listed))
+        return found
 
 
 @functools.cache

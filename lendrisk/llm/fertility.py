@@ -11,6 +11,7 @@ base counts.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,8 +88,9 @@ def _piece_counts(path: str) -> bpe.WordStore:
 
     def work(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         coded = model.encode([x.decode("utf-8", "replace") for x in words], num_threads=1)
-        counts = np.array([(len(ids), single[ids].sum() if ids else 0) for ids in coded], np.int64)
-        return counts.ravel(), np.full(len(words), 2)
+        n = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids = np.fromiter(itertools.chain.from_iterable(coded), np.int64, int(n.sum()))
+        return np.c_[n, _per_text(single[ids], np.cumsum(np.r_[0, n]))].ravel(), np.full(len(words), 2)
 
     return bpe.WordStore(work)
 

@@ -7,12 +7,14 @@ import math
 import random
 import re
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from lendrisk.llm import fertility
+from lendrisk.llm import bpe, fertility
 from lendrisk.llm.scratch import importable
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -105,3 +107,40 @@ def test_measures_bands_and_verdicts(spark, seed):
     kept = _verdicts(docs)
     assert [found[i].kept for i, _, _ in rows] == kept
     assert 0 < sum(kept) < len(kept)
+
+
+def test_words_at_hand_outlive_a_full_store(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 4)
+    asked = []
+
+    def work(words):
+        asked.extend(words)
+        return np.array([c for w in words for c in w], np.int64), np.array([len(w) for w in words], np.int64)
+
+    store = bpe.WordStore(work, {b"<s>": [7]})
+    for words in ([b"a", b"bb", b"ccc"], [b"bb", b"dddd", b""], [b"bb", b"<s>", b"ee"], [b"ee", b"a", b"bb"]):
+        place = store.places(pa.array(words, pa.binary()))
+        got = [store.flat[store.start[k] : store.start[k] + store.length[k]].tolist() for k in place]
+        assert got == [[7] if w == b"<s>" else list(w) for w in words]
+    assert asked.count(b"bb") == asked.count(b"ee") == 1 and len(store.at) <= 4 + 3
+
+
+def test_piece_counts_of_many_words_at_once():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    words = ["word", "日本語", "\U0001f600", "x", "antidisestablishmentarianism", "é"]
+    store = fertility._piece_counts(path)
+    place = store.places(pa.array([w.encode() for w in words], pa.binary()))
+    for w, at in zip(words, store.start[place].tolist(), strict=True):
+        ids = model.encode(w)
+        assert store.flat[at : at + 2].tolist() == [len(ids), sum(model.is_byte(k) or model.is_unknown(k) for k in ids)]
+
+
+def test_workers_take_arrows_memory_from_their_heap(spark):
+    importable(spark)
+
+    def pools(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([pa.default_memory_pool().backend_name] * batch.num_rows)], names=["pool"])
+
+    assert {r.pool for r in spark.range(8).mapInArrow(pools, "pool string").collect()} == {"system"}

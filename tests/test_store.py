@@ -161,6 +161,16 @@ def test_one_month_is_read_and_replaced_alone(spark, tmp_path, make_raw):
     assert as_set(of_month) == as_set(marts.payment_detail(book).where(F.col("member_id") == member).where("due_date like '2022-03%'"))
 
 
+def test_totals_and_status_over_stored_tables(spark, tmp_path, make_raw):
+    book = LoanBook.from_raw(make_raw(**messy_data(25)))
+    store = refresh.store_tables(book, str(tmp_path), blocks=3)
+    assert "member_rollup" not in store.entries()
+    assert as_set(store.table("member_monthly_status")) == as_set(marts.member_monthly_status(book))
+    assert store.table("member_monthly_status").schema == marts.member_monthly_status(book).schema
+    for mart in (marts.member_delinquency, marts.delinquency_by_credit_tier, marts.delinquency_by_city):
+        assert as_set(store.table(mart.__name__)) == as_set(mart(book))
+
+
 def test_drill_through_over_the_store(spark, tmp_path, make_raw):
     book = LoanBook.from_raw(make_raw(**messy_data(24)))
     store = refresh.store_tables(book, str(tmp_path), blocks=5)
