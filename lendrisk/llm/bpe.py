@@ -10,7 +10,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
-import itertools
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -21,12 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lendrisk.llm.pretokens import pretokens, slices, spread
+from lendrisk.llm.words import mix
 
 NO_RANK = np.int64(1) << 40
 #: Bytes above which a word is merged by a queue, whose cost doesn't grow with the square of the word.
 LONG_WORD = 1024
-#: Words kept from earlier batches, per Python worker.
-KEPT_WORDS = 200_000
+#: Words kept from earlier batches, per Python worker; slots to find them by, of which a word tries some; bytes that tell short words apart.
+KEPT_WORDS, SLOTS, PROBES, KEY_BYTES = 400_000, 1 << 20, 4, 24
+#: The lowest 0 to 8 bytes of a number.
+LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _byte_symbols() -> dict[str, int]:
@@ -167,49 +170,111 @@ def merge_words(vocab: Vocabulary, data: np.ndarray, first: np.ndarray) -> tuple
 
 
 class WordStore:
-    """Values of words seen so far: a flat array and each word's part of it. ``work`` gives those of new words."""
+    """Values of words seen so far: a flat array and each word's part of it. ``work`` gives those of new words.
+
+    A word of at most ``KEY_BYTES`` bytes is known by these bytes and its size, as numbers, and found for all words of a batch at
+    once through a table of slots; a longer one by a dictionary.
+    """
 
     def __init__(self, work: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], known: dict[bytes, list[int]] | None = None):
         self.work, self.known = work, known or {}
         self.clear()
 
     def clear(self) -> None:
-        self.at = {w: k for k, w in enumerate(self.known)}
-        values = list(self.known.values())
-        self.length = np.array([len(v) for v in values], np.int64)
-        self.flat = np.array([x for v in values for x in v], np.int64)
-        self.start = np.cumsum(self.length) - self.length
-
-    def keep(self, words: list[bytes]) -> None:
-        """Forget all words but those among ``words``, which needn't be worked out again."""
-        held = [(w, self.at[w]) for w in words if w in self.at and w not in self.known]
-        rows = np.array([k for _, k in held], np.int64)
-        start, length, flat = self.start[rows], self.length[rows], self.flat
+        self.slots = np.full(SLOTS, -1, np.int32)
+        self.key = np.zeros((KEY_BYTES // 8 + 1, 0), np.uint64)
+        self.at = np.zeros(0, np.int32)  # each row's first slot
+        self.long: dict[bytes, int] = {}
+        self.flat = np.zeros(0, np.int32)
+        self.start, self.length = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        if self.known:
+            key, at = _word_keys(*_word_bytes(pa.array(list(self.known), pa.binary())))
+            values = list(self.known.values())
+            self._add(key, at, list(self.known), np.array([x for v in values for x in v]), np.array([len(v) for v in values]))
+
+    def _add(self, key: np.ndarray, at: np.ndarray, words: list[bytes], flat: np.ndarray, length: np.ndarray) -> None:
+        """Rows for ``words``, which have none."""
+        row = np.arange(len(self.at), len(self.at) + len(at), dtype=np.int32)
+        size = key[-1]
+        self.long.update((words[k], int(row[k])) for k in np.flatnonzero(size > KEY_BYTES).tolist())
+        self.start = np.concatenate([self.start, (len(self.flat) + np.cumsum(length) - length).astype(np.int32)])
+        self.length = np.concatenate([self.length, length.astype(np.int32)])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.key, self.at = np.concatenate([self.key, key], axis=1), np.concatenate([self.at, at])
+        left = np.flatnonzero(size <= KEY_BYTES)
+        for turn in range(PROBES):  # a word without a free slot is worked out again when it comes again
+            slot = (at[left] + turn) & (SLOTS - 1)
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = row[left[free]]
+            left = left[self.slots[slot] != row[left]]
+
+    def _found(self, key: np.ndarray, at: np.ndarray, words: pa.Array) -> np.ndarray:
+        """Each word's row, or -1."""
+        found = np.full(len(at), -1, np.int64)
+        for k in np.flatnonzero(key[-1] > KEY_BYTES).tolist():
+            found[k] = self.long.get(words[k].as_py(), -1)
+        left = np.flatnonzero(key[-1] <= KEY_BYTES)
+        for turn in range(PROBES):
+            row = self.slots[(at[left] + turn) & (SLOTS - 1)]
+            left, row = left[row >= 0], row[row >= 0]
+            same = np.ones(len(row), bool)
+            for mine, theirs in zip(self.key, key, strict=True):
+                same &= mine[row] == theirs[left]
+            found[left[same]] = row[same]
+            left = left[~same]
+        return found
+
+    def keep(self, rows: np.ndarray) -> None:
+        """Forget all words but those of ``rows``, which needn't be worked out again."""
+        rows = np.setdiff1d(rows[rows >= len(self.known)], [])
+        names = {row: word for word, row in self.long.items()}
+        words = [names.get(k, b"") for k in rows.tolist()] if names else [b""] * len(rows)
+        key, at, length = self.key[:, rows], self.at[rows], self.length[rows]
+        flat = self.flat[spread(self.start[rows], length)]
         self.clear()
-        self.at.update((w, len(self.known) + k) for k, (w, _) in enumerate(held))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
-        self.flat = np.concatenate([self.flat, flat[spread(start, length)]])
-        self.length = np.concatenate([self.length, length])
+        self._add(key, at, words, flat, length)
 
     def places(self, words: pa.Array) -> np.ndarray:
-        """Each word's row in ``start`` and ``length``."""
-        listed = words.to_pylist()
+        """Each word's row in ``start`` and ``length``; ``words`` are distinct."""
+        key, at = _word_keys(*_word_bytes(words))
+        found = self._found(key, at, words)
         if len(self.at) > KEPT_WORDS:
-            self.keep(listed)
-        at = self.at
-        found = np.fromiter(map(at.get, listed, itertools.repeat(-1)), np.int64, len(listed))
+            self.keep(found)
+            found = self._found(key, at, words)
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            new = [listed[k] for k in missing.tolist()]
+            new = words.take(pa.array(missing)).to_pylist()
             flat, length = self.work(new)
-            found[missing] = np.arange(len(self.length), len(self.length) + len(new))
-            at.update(zip(new, found[missing].tolist(), strict=True))
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
-            self.length = np.concatenate([self.length, length])
-            self.flat = np.concatenate([self.flat, flat])
+            found[missing] = np.arange(len(self.at), len(self.at) + len(new))
+            self._add(key[:, missing], at[missing], new, flat, length)
         return found
 
 
+def _word_bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of binary ``words`` and the places where they begin, plus the end."""
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int32)
+    words = words.cast(pa.binary())
+    first = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), first
+
+
+def _word_keys(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's first ``KEY_BYTES`` bytes as numbers, with its size in a last row, and its slot."""
+    size = np.diff(first).astype(np.int64)
+    padded = np.concatenate([data, np.zeros(KEY_BYTES + 8, np.uint8)])
+    eights = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))  # at every byte, it and the seven after it
+    key = np.empty((KEY_BYTES // 8 + 1, len(size)), np.uint64)
+    key[-1] = size
+    mixed = key[-1].copy()
+    for k in range(KEY_BYTES // 8):
+        inside = np.clip(size - 8 * k, 0, 8)
+        key[k] = eights[np.minimum(first[:-1] + 8 * k, len(data))] & LOW_BYTES[inside]
+        mixed = mix(mixed * GOLDEN + key[k])
+    return key, (mixed & np.uint64(SLOTS - 1)).astype(np.int32)
+
+
 @functools.cache
 def word_ids(path: str) -> WordStore:
     """The ids of words under a vocabulary, kept for the life of a Python worker."""
@@ -221,14 +286,24 @@ def word_ids(path: str) -> WordStore:
     return WordStore(work, {vocab.special[0]: [vocab.special[1]]} if vocab.special else None)
 
 
-def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts (null: empty) in one array, and each text's first id plus the end."""
+def _encoded(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of all pre-tokens in ``word_ids``, and each text's first id plus the end."""
     store, vocab = word_ids(path), vocabulary(path)
     cut = pretokens(texts, vocab.special[0] if vocab.special else None)
     place = store.places(cut.words)[cut.index]
-    length = store.length[place]
-    ids = store.flat[spread(store.start[place], length)]
-    return ids, np.r_[0, np.cumsum(length)][cut.first]
+    return place, np.r_[0, np.cumsum(store.length[place])][cut.first]
+
+
+def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts (null: empty) in one array, and each text's first id plus the end."""
+    place, first = _encoded(texts, path)
+    store = word_ids(path)
+    return store.flat[spread(store.start[place], store.length[place])], first
+
+
+def id_counts(texts: pa.Array, path: str) -> np.ndarray:
+    """How many ids ``encode`` gives each text."""
+    return np.diff(_encoded(texts, path)[1])
 
 
 def decode(ids: np.ndarray, first: np.ndarray, path: str) -> list[str]:

@@ -6,6 +6,7 @@ import collections
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -144,3 +145,33 @@ def test_workers_take_arrows_memory_from_their_heap(spark):
             yield pa.record_batch([pa.array([pa.default_memory_pool().backend_name] * batch.num_rows)], names=["pool"])
 
     assert {r.pool for r in spark.range(8).mapInArrow(pools, "pool string").collect()} == {"system"}
+
+
+def test_a_store_tells_words_apart_by_all_their_bytes():
+    """Words of any bytes and sizes, long ones included, with values that their bytes fix; asked in parts, sliced and again."""
+    draw = np.random.default_rng(2)
+    asked = []
+
+    def work(words):
+        asked.extend(words)
+        return np.array([zlib.crc32(w) >> 1 for w in words], np.int64), np.ones(len(words), np.int64)
+
+    words = [b"", b"\0", b"\0\0", b"a", b"a\0", b"x" * 24, b"x" * 25, b"x" * 2000, b"x" * 24 + b"\0"]
+    words += [bytes(draw.integers(0, 3, k % 40, dtype=np.uint8)) for k in range(3000)]
+    words = list(dict.fromkeys(words))
+    store = bpe.WordStore(work)
+    for part in (words[:500], words[300:], words[::-1]):
+        place = store.places(pa.array([b"before", *part], pa.binary()).slice(1))
+        assert store.flat[store.start[place]].tolist() == [zlib.crc32(w) >> 1 for w in part]
+    assert len(asked) == len(words)
+
+
+def test_a_store_forgets_what_it_cannot_keep(monkeypatch):
+    """Slots for 64 words: the others are worked out again, with the same values."""
+    monkeypatch.setattr(bpe, "SLOTS", 64)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 300)
+    store = bpe.WordStore(lambda words: (np.array([int(w) for w in words]), np.ones(len(words), np.int64)))
+    for a in (0, 100, 0, 250, 400):
+        place = store.places(pa.array([str(k).encode() for k in range(a, a + 200)], pa.binary()))
+        assert store.flat[store.start[place]].tolist() == [*range(a, a + 200)]
+        assert len(store.at) <= 300 + 200

@@ -553,3 +553,8 @@ def test_all_declared_links_carry_verdicts(spark):
     pages = spark.createDataFrame(rows, "page_id int, url string, html string")
     got = {r.page_id: r.verdict for r in url_filter.url_verdicts(pages, queries.URL_RULES).collect()}
     assert got == dict.fromkeys(range(1, 8), "block") | {8: "allow"}
+
+
+def test_counts_of_ids_are_those_of_the_encoder():
+    texts = pa.array([None, "", "one two  three", "<|endoftext|>x", "é日本 \n\n 12.5", "word " * 3000])
+    assert bpe.id_counts(texts, VOCABULARY).tolist() == np.diff(bpe.encode(texts, VOCABULARY)[1]).tolist()
