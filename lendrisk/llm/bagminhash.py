@@ -10,7 +10,8 @@ constant per document.
 Equal bands make candidates. No bucket is expanded into all its pairs: a bucket's texts are compared with one of them, verified links
 join classes, and only texts of a bucket that then lie in different classes are compared with each other. Before any elements
 are moved, two bounds leave out most pairs that aren't similar: their sizes, and 2,048 parities of their elements. The bounds lose
-no similar pair, and what they leave is verified by the multiset overlap itself.
+no similar pair, and what they leave is verified by the multiset overlap itself. At last a bucket's elements meet in one task, which hands
+out no more links than join its classes.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendrisk.llm.components import components
-from lendrisk.llm.pretokens import slices
+from lendrisk.llm.pretokens import slices, spread
 from lendrisk.llm.scratch import discard, written
+from lendrisk.llm.sliced_simhash import Forest
 from lendrisk.llm.words import mix, word_hashes
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -32,8 +34,10 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MOST_TEXTS = 1 << 16
 #: Places of the parities that bound how similar two texts can be.
 PARITY_BITS = 2048
-#: Texts of one bucket that meet in one task, and those compared at a time.
-CELL_TEXTS, BLOCK_TEXTS = 4096, 16
+#: Texts of one bucket that meet in one task, and their elements, as two such parts; texts compared at a time.
+CELL_TEXTS, CELL_ELEMENTS, BLOCK_TEXTS = 4096, 1 << 21, 16
+#: Text bytes whose windows are worked on at a time: points and elements take many times their room.
+WINDOW_BYTES = 512 << 10
 
 
 def _u64(x: int | np.ndarray) -> np.ndarray:
@@ -168,7 +172,7 @@ def _signed(texts: DataFrame, bands: int, rows: int, window: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), WINDOW_BYTES):
                 part = batch.slice(a, b - a)
                 text, value, count = windows(part.column(1), window)
                 n = part.num_rows
@@ -188,7 +192,7 @@ def _elements(texts: DataFrame, window: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), WINDOW_BYTES):
                 part = batch.slice(a, b - a)
                 each, first = _elements_of(*windows(part.column(1), window), part.num_rows)
                 held = [each[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
@@ -264,59 +268,109 @@ def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFr
     return links
 
 
-def _across(members: DataFrame, label: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    """Every pair (a, b) of texts in one bucket and of different classes that may be similar by sizes and parities.
+def cell_links(
+    t: np.ndarray, class_: np.ndarray, second: np.ndarray, each: np.ndarray, first: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) of verified similar texts that join all classes of one cell which any such pair joins; each joins two that were apart.
 
-    A bucket's texts are compared in blocks, parity by parity; nothing but what may be similar leaves the task. A bucket of very
-    many texts falls into parts, and each two parts meet in a cell of their own.
+    Text k holds the elements ``each[first[k]:first[k + 1]]``. Texts of one side are compared with each other, those of two sides across.
+    """
+    parity, size = _parities(each, first), np.diff(first)
+    code = np.unique(each, return_inverse=True)[1].astype(np.int32)
+    node = np.unique(class_, return_inverse=True)[1]
+    forest = Forest(int(node.max(initial=-1)) + 1)
+    marked = np.zeros(int(code.max(initial=-1)) + 1, bool)
+    found = []
+    ones = np.flatnonzero(~second)
+    twos = np.flatnonzero(second) if second.any() else ones
+    for k in range(0, len(ones), BLOCK_TEXTS):
+        mine = ones[k : k + BLOCK_TEXTS]
+        near = _near(parity, size, mine, twos, threshold)
+        for i, row in zip(mine.tolist(), near, strict=True):
+            other = twos[row]
+            other = other[forest.roots[node[other]] != forest.roots[node[i]]]
+            if not len(other):
+                continue
+            marked[code[first[i] : first[i + 1]]] = True
+            held = marked[code[spread(first[other], size[other])]]
+            shared = np.add.reduceat(held, np.cumsum(size[other]) - size[other], dtype=np.int64)
+            marked[code[first[i] : first[i + 1]]] = False
+            other = other[shared >= threshold * (size[i] + size[other] - shared)]
+            other = other[np.unique(forest.roots[node[other]], return_index=True)[1]]
+            found += [(t[i], t[j]) for j in other.tolist()]
+            forest.join(np.full(len(other), node[i]), node[other])
+    ends = np.array(found, np.int64).reshape(-1, 2)
+    return ends.max(axis=1), ends.min(axis=1)
+
+
+def _near(parity: np.ndarray, weight: np.ndarray, ones: np.ndarray, twos: np.ndarray, threshold: float) -> np.ndarray:
+    """(one, two): whether the sizes and parities of two texts leave the similarity possible."""
+    far = np.bitwise_count(parity[ones][:, None] ^ parity[twos][None]).sum(axis=2, dtype=np.int32)
+    n, m = weight[ones][:, None], weight[twos][None]
+    return (far <= (1 - threshold) / (1 + threshold) * (n + m) + 1e-9) & (n >= threshold * m) & (m >= threshold * n)
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one ``cell`` after another; equal cells lie together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        cells = batch.column("cell").to_numpy()
+        at = 0
+        for end in np.r_[np.flatnonzero(cells[1:] != cells[:-1]) + 1, len(cells)].astype(int) if len(cells) else ():
+            if held and held[0].column("cell")[0].as_py() != cells[at]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(at, end - at))
+            at = end
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _across(members: DataFrame, label: DataFrame, signed: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join all classes of which two texts of one bucket are similar, stored.
+
+    A bucket's texts are compared in blocks, parity by parity, and the texts that may be similar to one of another class are
+    handed on, each once. Their elements then meet in the same cells, which hand out links that join classes. So neither step makes
+    more rows than it reads. A bucket of very many texts or elements falls into parts, and each two parts meet in a cell of their own.
     """
     classed = members.join(label, F.col("t") == F.col("node"), "left").select("key", "t", F.coalesce("component", "t").alias("class"))
     named = written(classed)
-    split = named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q"), F.count(F.lit(1)).alias("n")).where("p != q")
-    open_ = written(_dealt(named.join(_grows(split.select("key", "n")), "key"), "key", "n", "t").select("key", "t", "class", "parts", "part"))
+    split = named.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).where("p != q").select("key")
+    opened = written(named.join(_grows(split), "key").join(_grows(signed.select("t", "weight")), "t"))
+    size = F.greatest(F.count(F.lit(1)).cast("double"), F.sum("weight") * (CELL_TEXTS / CELL_ELEMENTS)).alias("n")
+    open_ = written(_dealt(opened.join(_grows(opened.groupBy("key").agg(size)), "key"), "key", "n", "t").select("key", "t", "class", "parts", "part"))
     sized = open_.join(_grows(signed.select("t", "weight", "parity")), "t").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cell = F.struct("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")).alias("cell")
     met = sized.select(cell, (F.col("part") > F.col("other")).alias("second"), "t", "class", "weight", "parity").repartition("cell")
     met = met.sortWithinPartitions("cell", "second").select(F.xxhash64("cell").alias("cell"), "second", "t", "class", "weight", "parity")
-    most = (1 - threshold) / (1 + threshold)
-
-    def compared(rows: pa.Table) -> pa.RecordBatch:
-        t, class_, weight = (rows.column(c).to_numpy() for c in ("t", "class", "weight"))
-        second = rows.column("second").to_numpy()
-        parity = np.frombuffer(b"".join(rows.column("parity").to_pylist()), np.uint64).reshape(len(t), -1)
-        found = []
-        crossed = second.any()
-        ones = np.flatnonzero(~second)
-        twos = np.flatnonzero(second) if crossed else ones
-        for k in range(0, len(ones), BLOCK_TEXTS):
-            mine = ones[k : k + BLOCK_TEXTS]
-            far = np.bitwise_count(parity[mine][:, None] ^ parity[twos][None]).sum(axis=2, dtype=np.int32)
-            n, m = weight[mine][:, None], weight[twos][None]
-            near = (far <= most * (n + m) + 1e-9) & (n >= threshold * m) & (m >= threshold * n) & (class_[mine][:, None] != class_[twos][None])
-            i, j = np.nonzero(near)
-            found.append((t[mine[i]], t[twos[j]]))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(2))
-        return pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # one cell: two parts at most
-        for batch in batches:
-            cells = batch.column("cell").to_numpy()
-            ends = np.r_[np.flatnonzero(cells[1:] != cells[:-1]) + 1, len(cells)].astype(int)
-            at = 0
-            for end in ends:
-                part = batch.slice(at, end - at)
-                if held and held[0].column("cell")[0].as_py() != cells[at]:
-                    yield compared(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                held.append(part)
-                at = end
-        if held:
-            yield compared(pa.Table.from_batches(held).combine_chunks())
-
-    pairs = written(met.mapInArrow(work, "a bigint, b bigint").distinct())
-    discard(named, open_)
-    return pairs
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells(batches):
+            class_, weight, second = (rows.column(c).to_numpy() for c in ("class", "weight", "second"))
+            parity = np.frombuffer(b"".join(rows.column("parity").to_pylist()), np.uint64).reshape(len(class_), -1)
+            ones = np.flatnonzero(~second)
+            twos = np.flatnonzero(second) if second.any() else ones
+            asked = np.zeros(len(class_), bool)
+            for k in range(0, len(ones), BLOCK_TEXTS):
+                mine = ones[k : k + BLOCK_TEXTS]
+                near = _near(parity, weight, mine, twos, threshold) & (class_[mine][:, None] != class_[twos][None])
+                asked[mine] |= near.any(axis=1)
+                asked[twos] |= near.any(axis=0)
+            yield from rows.select(["cell", "second", "t", "class"]).filter(pa.array(asked)).combine_chunks().to_batches()
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells(batches):
+            t, class_, second = (rows.column(c).to_numpy() for c in ("t", "class", "second"))
+            held = rows.column("elements").to_pylist()
+            each = np.frombuffer(b"".join(held), np.uint64)
+            a, b = cell_links(t, class_, second, each, np.cumsum([0, *(len(x) // 8 for x in held)]), threshold)
+            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    asked = written(met.mapInArrow(possible, "cell bigint, second boolean, t bigint, class bigint"))
+    full = asked.join(_grows(elements), "t").select("cell", "second", "t", "class", "elements").repartition("cell").sortWithinPartitions("cell", "second")
+    links = written(full.mapInArrow(linked, "a bigint, b bigint").distinct())
+    discard(named, opened, open_, asked)
+    return links
 
 
 def near_copies(
@@ -383,7 +437,7 @@ def _linked(
     links, label = links.unionByName(new), _merged(label, new)
     discard(closest, led)
     # at last all texts of a bucket that are still apart
-    new = _verified(_across(members, label, signed, threshold), elements, threshold)
+    new = _across(members, label, signed, elements, threshold)
     links, label = written(links.unionByName(new)), _merged(label, new)
     discard(members, elements)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))

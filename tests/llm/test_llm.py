@@ -555,6 +555,57 @@ def test_all_declared_links_carry_verdicts(spark):
     assert got == dict.fromkeys(range(1, 8), "block") | {8: "allow"}
 
 
+@pytest.mark.parametrize("sides", [1, 2])
+def test_a_cell_of_near_copies_gives_a_forest(sides):
+    draw = np.random.default_rng(5)
+    held = []
+    for _ in range(5):  # similar within a family, some texts drifting out of reach of others
+        text = draw.integers(1 << 60, size=60, dtype=np.uint64)
+        for _ in range(24):
+            held.append(np.unique(text))
+            text = text.copy()
+            text[draw.integers(60)] = draw.integers(1 << 60, dtype=np.uint64)
+    n = len(held)
+    t, second = draw.permutation(n) + 1000, np.arange(n) % 2 >= 3 - sides
+    class_ = np.where(np.arange(n) % 3 == 0, t // 2, t)
+
+    def similar(i, j):
+        both = len(np.intersect1d(held[i], held[j]))
+        return both >= 0.8 * (len(held[i]) + len(held[j]) - both)
+
+    def classes(links):
+        forest = {c: c for c in class_.tolist()}
+
+        def root(c):
+            while forest[c] != c:
+                c = forest[c]
+            return c
+
+        of = dict(zip(t.tolist(), class_.tolist(), strict=True))
+        for a, b in links:
+            forest[root(of[a])] = root(of[b])
+        groups = collections.defaultdict(set)
+        for c in forest:
+            groups[root(c)].add(c)
+        return sorted(map(sorted, groups.values()))
+
+    order = np.argsort(second, kind="stable")
+    place = {int(x): k for k, x in enumerate(t)}
+    each = np.concatenate([held[k] for k in order])
+    a, b = bagminhash.cell_links(t[order], class_[order], second[order], each, np.cumsum([0, *(len(held[k]) for k in order)]), 0.8)
+    links = list(zip(a.tolist(), b.tolist(), strict=True))
+    pairs = [(int(t[i]), int(t[j])) for i in range(n) for j in range(i) if (sides == 1 or second[i] != second[j]) and similar(i, j)]
+    assert all(similar(place[x], place[y]) for x, y in links)
+    assert classes(links) == classes(pairs)
+    assert len(links) == len(set(class_.tolist())) - len(classes(pairs)) < len(pairs) / 2
+
+
+def test_near_copies_of_buckets_in_parts(spark, monkeypatch):
+    """Every bucket falls into parts, and no link of different texts is lost between them."""
+    monkeypatch.setattr(bagminhash, "CELL_ELEMENTS", 256)
+    test_near_copies_equal_brute_force(spark)
+
+
 def test_counts_of_ids_are_those_of_the_encoder():
     texts = pa.array([None, "", "one two  three", "<|endoftext|>x", "é日本 \n\n 12.5", "word " * 3000])
     assert bpe.id_counts(texts, VOCABULARY).tolist() == np.diff(bpe.encode(texts, VOCABULARY)[1]).tolist()
