@@ -175,3 +175,11 @@ def test_a_store_forgets_what_it_cannot_keep(monkeypatch):
         place = store.places(pa.array([str(k).encode() for k in range(a, a + 200)], pa.binary()))
         assert store.flat[store.start[place]].tolist() == [*range(a, a + 200)]
         assert len(store.at) <= 300 + 200
+
+
+def test_a_full_store_takes_little_memory():
+    store = bpe.WordStore(lambda words: (np.zeros(3 * len(words), np.int64), np.full(len(words), 3)))
+    for a in range(0, 400_000, 50_000):
+        store.places(pa.array([b"word-%d" % k for k in range(a, a + 50_000)], pa.binary()))
+    held = (store.slots, store.key, store.at, store.flat, store.start, store.length)
+    assert len(store.at) == 400_000 and sum(x.nbytes for x in held) < 40e6 and not store.long
