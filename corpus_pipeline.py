@@ -53,7 +53,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
     rates = soft_mixing.mixed(rows, labelled_languages(docs, labels), keep_text=False)
-    return rates.where("copies > 0").select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
+    # no copies explode into no row; a filter on them would work out the rates twice, in two more Python workers a task
+    return rates.select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("_doc.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

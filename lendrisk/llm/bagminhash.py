@@ -234,11 +234,10 @@ def _dealt(rows: DataFrame, group: str, size: str, key: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of texts whose multiset Jaccard similarity is at least ``threshold``, stored.
+    """The pairs (a, b) of stored texts' pairs whose multiset Jaccard similarity is at least ``threshold``, stored.
 
     Every b is a cell that its texts a come to. A cell of very many texts is dealt out, b with each part.
     """
-    pairs = written(pairs)
     dealt = written(_dealt(pairs.join(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b"), "b", "n", "a").select("a", "b", "part"))
     comers = dealt.select(F.col("b").alias("cell"), "part", F.col("a").alias("t"))
     hosts = dealt.select(F.col("b").alias("cell"), "part", F.col("b").alias("t")).distinct()
@@ -264,7 +263,7 @@ def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFr
             yield pa.record_batch([pa.array([x[k] for x in out], pa.int64()) for k in range(2)], names=["a", "b"])
 
     links = written(sorted_.select("cell", "t", "elements").mapInArrow(work, "a bigint, b bigint"))
-    discard(pairs, dealt)
+    discard(dealt)
     return links
 
 
@@ -433,12 +432,13 @@ def _linked(
     links = _verified(closest, elements, threshold)
     label = written(components(links))
     # then the others that it was drawn to, if they are of another class
-    new = _verified(_apart(led.select("a", "b").join(closest, ["a", "b"], "left_anti"), label), elements, threshold)
+    apart = written(_apart(led.select("a", "b").join(closest, ["a", "b"], "left_anti"), label))
+    new = _verified(apart, elements, threshold)
     links, label = links.unionByName(new), _merged(label, new)
-    discard(closest, led)
+    discard(closest, led, apart)
     # at last all texts of a bucket that are still apart
     new = _across(members, label, signed, elements, threshold)
-    links, label = written(links.unionByName(new)), _merged(label, new)
+    links, label = links.unionByName(new), _merged(label, new)
     discard(members, elements)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))

@@ -19,7 +19,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lendrisk.llm.pretokens import pretokens, slices, spread
+from lendrisk.llm.pretokens import SMALL_SLICE_BYTES, pretokens, slices, spread
 from lendrisk.llm.words import mix
 
 NO_RANK = np.int64(1) << 40
@@ -327,7 +327,7 @@ def encode_documents(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SMALL_SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 ids, first = encode(part.column(1), path)
                 yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))], names=[id_col, "ids"])

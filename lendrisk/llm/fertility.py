@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendrisk.llm import bpe
-from lendrisk.llm.pretokens import slices
+from lendrisk.llm.pretokens import SMALL_SLICE_BYTES, slices
 from lendrisk.llm.scratch import written
 from lendrisk.llm.words import Words, words_of
 
@@ -146,7 +146,7 @@ def measured(
     @F.arrow_udf("struct<" + ",".join(f"{c}:{'bigint' if k == pa.int64() else 'double'}" for c, k in kinds.items()) + ">")
     def fertility(texts: pa.Array) -> pa.Array:
         parts = [pa.array([], pa.struct(list(kinds.items())))]
-        for a, b in slices(texts):
+        for a, b in slices(texts, SMALL_SLICE_BYTES):
             found = measure(texts.slice(a, b - a), token_path, piece_path)
             parts.append(pa.StructArray.from_arrays([pa.array(found[c], k) for c, k in kinds.items()], names=list(kinds)))
         return pa.concat_arrays(parts)

@@ -20,8 +20,8 @@ LETTER, NUMBER, SPACE, OTHER = range(4)
 WHITE_SPACE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: What may follow an apostrophe as a pre-token of its own, in the pattern's order.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Text bytes taken at a time.
-SLICE_BYTES = 2 << 20
+#: Text bytes taken at a time; and where a worker holds much besides, beyond which larger slices save little time.
+SLICE_BYTES, SMALL_SLICE_BYTES = 2 << 20, 512 << 10
 
 
 @functools.cache

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendrisk.llm import bpe, latent
-from lendrisk.llm.pretokens import slices
+from lendrisk.llm.pretokens import SMALL_SLICE_BYTES, slices
 from lendrisk.llm.scratch import discard, written
 
 #: The public vocabulary whose ids are counted as tokens.
@@ -94,7 +94,7 @@ def memberships(documents: DataFrame, model: DomainModel, *, text_col: str = "te
         kind = pa.struct([("n", pa.int64()), ("p", pa.list_(pa.float64()))])
         if not len(texts):
             return pa.array([], kind)
-        n = np.concatenate([bpe.id_counts(texts.slice(a, b - a), file) for a, b in slices(texts)])
+        n = np.concatenate([bpe.id_counts(texts.slice(a, b - a), file) for a, b in slices(texts, SMALL_SLICE_BYTES)])
         p = shared.value.posteriors(texts)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), lists], fields=list(kind))

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lendrisk.llm import bagminhash, bpe, fertility, keyed_ids, multi_index, neighbour_vote, queries, soft_mixing, tag_paths, trie_counts, url_filter
+from lendrisk.llm import bagminhash, bpe, fertility, keyed_ids, multi_index, neighbour_vote, queries, scratch, soft_mixing, tag_paths, trie_counts, url_filter
 from lendrisk.llm.components import components
 from lendrisk.llm.scratch import importable, shared_folder
 
@@ -136,6 +136,36 @@ def test_components_of_paths_stars_and_loops(spark):
     assert got == {k: 1 for k in range(1, 61)} | {100 + k: 100 for k in range(40)} | {200: 200, 201: 200}
 
 
+def test_components_store_little_of_few_links(spark, monkeypatch):
+    """Stars are settled as they come, and few links lie in few parts, however many Spark shuffles them to."""
+    parts = []
+
+    def written(df):
+        out = scratch.written(df)
+        parts.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr("lendrisk.llm.components.written", written)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(before, ("50", "false"), strict=True):
+            spark.conf.set(k, v)
+        stars = components(spark.createDataFrame([(k, k % 5) for k in range(5, 100)], "a long, b long"))
+        assert len(parts) == 1 and {r.node: r.component for r in stars.collect()} == {k: k % 5 for k in range(100)}
+        parts.clear()
+        path = components(spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long"))
+        assert len(parts) > 3 and max(parts[1:]) == 1 and {r.component for r in path.collect()} == {0} and path.count() == 201
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_unsettled_components_stop_the_run(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(edges, most_rounds=1)
+
+
 PAGE = """<html><head><title>T</title></head><body class="no-sidebar"><header><h1>Site</h1></header><div class="cookie-notice">We use
 cookies. OK?</div><ul id=menu><li>A<li>B</ul>%s<form>Search <input></form><div id="comments"><p>Nice, I think. Really.</p></div>
 <aside>side. text</aside><footer>&copy; 2020</footer><script>var t="</p>";</script></body>"""

@@ -8,7 +8,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from lendrisk.llm import bagminhash, fertility, queries
+from lendrisk.llm import bagminhash, fertility, queries, soft_mixing
 
 SF = "/root/testdata/sf0.01"
 
@@ -67,3 +67,16 @@ def test_copies_without_an_id_keep_a_row_of_each_class(spark):
     docs = spark.createDataFrame([(None, text), (4, text), (4, text), (3, text), (None, other), (None, None)], "doc_id long, text string")
     got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(3, text), (None, other), (None, None)], key=str)
+
+
+def test_mixing_works_out_the_rates_once(spark, tmp_path):
+    """A second evaluation would take another Python worker for each task, which then lives on with all it holds."""
+    rows = [(k, "en" if k % 3 else "de", f"text {k} has some words in it and {k % 7} more" * (1 + k % 4)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    spark.createDataFrame([(k, 1) for k, _, _ in rows], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    mixed = corpus_pipeline.mixing(spark, docs, str(tmp_path))
+    assert mixed._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    copies = collections.Counter(r.doc_id for r in mixed.collect())
+    model = soft_mixing.mixed(docs, queries.labelled_languages(docs, spark.read.parquet(f"{tmp_path}/labels.parquet")))
+    assert copies == {r.doc_id: r.copies for r in model.collect() if r.copies > 0}
+    assert len(copies) < len(rows) or max(copies.values()) > 1
