@@ -5,12 +5,14 @@ import math
 
 import pytest
 from helpers import BruteForce, as_set, band, messy_data, rows
+from pyspark.sql import functions as F
 
 from lendrisk import fixed_values as V
 from lendrisk.__main__ import main
 from lendrisk.plans import drill, marts
 from lendrisk.plans.book import LoanBook
 from lendrisk.plans.refresh import full_refresh
+from lendrisk.sources import raw
 from lendrisk.sources.raw import read_csv, read_raw, register, row_counts, with_ingest_seq
 from lendrisk.sources.sinks import export_csv, scratch_path, write_table
 
@@ -191,3 +193,30 @@ def test_numbered_files_keep_their_order(spark, tmp_path):
         (tmp_path / f"part-{number}.csv").write_text(f"member_id\nM{number}\n")
     scan = with_ingest_seq(spark.read.options(header=True).csv(str(tmp_path)))
     assert [row["member_id"] for row in scan.orderBy("ingest_seq").collect()] == ["M7", "M99999", "M100000"]
+
+
+def test_a_path_is_taken_apart_once_a_file(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in 7%20 ä#"
+    folder.mkdir()
+    for n in (2, 10):
+        write_csv(folder / f"part {n}.csv", ["member_id"], [{"member_id": f"M{n}-{k}"} for k in range(3)])
+    scan = spark.read.options(header=True).csv(str(folder))
+    whole = rows(with_ingest_seq(scan).orderBy("ingest_seq"))
+    assert [row["member_id"] for row in whole] == ["M2-0", "M2-1", "M2-2", "M10-0", "M10-1", "M10-2"]
+    real, calls = raw._path_order, []
+
+    def by_file(path):
+        calls.append(path)
+        return real(path) if len(calls) == 1 else F.raise_error(F.lit("worked out by row")).cast("string")
+
+    monkeypatch.setattr(raw, "_path_order", by_file)
+    assert rows(with_ingest_seq(scan).orderBy("ingest_seq")) == whole and len(calls) == 2
+
+
+def test_a_path_that_no_list_names_is_taken_apart_by_row(spark, tmp_path, monkeypatch):
+    for n in (2, 10):
+        write_csv(tmp_path / f"part-{n}.csv", ["member_id"], [{"member_id": f"M{n}"}])
+    scan = spark.read.options(header=True).csv(str(tmp_path))
+    whole = rows(with_ingest_seq(scan).orderBy("ingest_seq"))
+    monkeypatch.setattr(type(scan), "inputFiles", lambda self: ["elsewhere:/part-2.csv"])
+    assert rows(with_ingest_seq(scan).orderBy("ingest_seq")) == whole
