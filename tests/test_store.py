@@ -1,6 +1,7 @@
 """Versions behind a manifest, tables laid out by member and month, rejects, typed exports and reports made while writing."""
 
 import json
+import time
 from dataclasses import replace
 
 import pytest
@@ -16,7 +17,7 @@ from lendrisk.plans.book import LoanBook
 from lendrisk.sources.clustered import Clustered, complete
 from lendrisk.sources.raw import read_csv, read_csv_checked, read_raw, rejected_cells, usable_rows
 from lendrisk.sources.sinks import export_csv, read_export
-from lendrisk.sources.store import TableStore
+from lendrisk.sources.store import REMOVE_SHUFFLES, TableStore, shuffles_removed
 
 
 def files_read(df):
@@ -171,6 +172,62 @@ def test_totals_and_status_over_stored_tables(spark, tmp_path, make_raw):
         assert as_set(store.table(mart.__name__)) == as_set(mart(book))
 
 
+def shuffle_files(spark):
+    """How many shuffle files the session has on disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(k).getName().startswith("shuffle_") for k in range(files.size()))
+
+
+def test_a_run_leaves_no_shuffles(spark, tmp_path, make_raw):
+    book = LoanBook.from_raw(make_raw(**messy_data(32)))
+    before, setting = shuffle_files(spark), spark.conf.get(REMOVE_SHUFFLES)
+    store = refresh.store_results(book, str(tmp_path), blocks=3).store
+    assert spark.conf.get(REMOVE_SHUFFLES) == setting
+    for _ in range(50):  # they are removed in the background
+        if shuffle_files(spark) > before:
+            time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert store.table("payment_detail").count() == marts.payment_detail(book).count()
+    with pytest.raises(RuntimeError), shuffles_removed(spark):
+        raise RuntimeError("a step failed")
+    assert spark.conf.get(REMOVE_SHUFFLES) == setting
+
+
+def test_derived_columns_are_not_moved(spark, tmp_path):
+    df = spark.range(0, 300, 1, 3).select("id", (F.col("id") % 7).cast("string").alias("k"), F.concat(F.lit("p"), F.col("id") % 2).alias("part"), (F.col("id") * 2).alias("twice"))
+    derived = {"twice": F.col("id") * 2, "part": F.concat(F.lit("p"), F.col("id") % 2)}
+    table = Clustered(str(tmp_path / "t"), "k", df.schema, ("id",), "part", derived)
+    # what is derived is worked out of the columns it follows from, wherever the rows come from
+    assert as_set(table.write(df.withColumn("twice", F.lit(-1).cast("bigint")), 4).select(df.columns)) == as_set(df)
+    assert complete(table, spark) and {r["part"] for r in rows(table.files(spark))} == {"p0", "p1"}
+    table.rewrite(df.where("part = 'p1'"), 2)
+    assert as_set(table.read(spark).select(df.columns)) == as_set(df) and complete(table, spark)
+
+
+def test_a_stored_detail_is_sorted_by_what_is_moved(spark, make_raw):
+    detail = marts.payment_detail(LoanBook.from_raw(make_raw(**messy_data(33)))).localCheckpoint()
+    found = marts.sorted_detail(detail)
+    assert found.columns == detail.columns and as_set(found) == as_set(detail)
+    keys = ("member_id", "due_date", "loan_id", "payment_id")
+    whole = rows(marts.by_member_and_due_date(marts.with_place(detail)))
+    assert [[r[k] for k in keys] for r in rows(found)] == [[r[k] for k in keys] for r in whole]
+    plan = plan_text(found)
+    assert plan.index("shortfall") < plan.index("Exchange") and "shortfall" not in plan[plan.index("Exchange"):plan.index("Scan")]
+
+
+def test_marts_from_loans_with_their_statistics(spark, tmp_path, make_raw):
+    data = messy_data(34)
+    data["loans"] += data["loans"][:20] + [{**row, "loan_type": None} for row in data["loans"][:3]] + [{**row, "member_id": None} for row in data["loans"][3:6]]
+    book = LoanBook.from_raw(make_raw(**data))
+    marts.loan_rollup(book).write.parquet(str(tmp_path / "r"))
+    rolled = replace(book, loan_totals=spark.read.parquet(str(tmp_path / "r")))
+    for mart in (marts.member_rollup, marts.delinquency_by_loan_type, marts.member_loan_summary, marts.member_delinquency, marts.delinquency_by_city):
+        assert mart(rolled).dtypes == mart(book).dtypes and as_set(mart(rolled)) == as_set(mart(book))
+    by_type = marts.delinquency_by_loan_type
+    assert by_type(rolled).schema["total_loans"] == by_type(book).schema["total_loans"]
+    assert "Join" not in plan_text(marts.delinquency_by_loan_type(rolled))
+
+
 def test_drill_through_over_the_store(spark, tmp_path, make_raw):
     book = LoanBook.from_raw(make_raw(**messy_data(24)))
     store = refresh.store_tables(book, str(tmp_path), blocks=5)
