@@ -2,6 +2,7 @@
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -16,7 +17,7 @@ from lendrisk.plans import drill, marts, quality, refresh
 from lendrisk.plans.book import LoanBook
 from lendrisk.sources.clustered import Clustered, complete
 from lendrisk.sources.raw import read_csv, read_csv_checked, read_raw, rejected_cells, usable_rows
-from lendrisk.sources.sinks import export_csv, read_export
+from lendrisk.sources.sinks import export_csv, export_tables, read_export
 from lendrisk.sources.store import REMOVE_SHUFFLES, TableStore, shuffles_removed
 
 
@@ -337,6 +338,22 @@ def test_exported_marts_come_back(spark, tmp_path, make_raw):
         assert as_set(read_export(spark, str(tmp_path / name))) == as_set(mart)
 
 
+def test_sorted_tables_are_exported_before_the_others(spark, tmp_path, monkeypatch):
+    done = []
+
+    def slow(df, path, single=False):
+        time.sleep(0.3 if path.endswith("c.csv") else 0)
+        done.append(path.rpartition("/")[2])
+        return export_csv(df, path, single)
+
+    monkeypatch.setattr("lendrisk.sources.sinks.export_csv", slow)
+    tables = {name: spark.range(n) for n, name in enumerate("abcd", 1)}
+    with ThreadPoolExecutor(4) as pool:
+        exported = export_tables(tables, str(tmp_path), pool, first={"c", "b"})
+    assert set(done[:2]) == {"b.csv", "c.csv"}
+    assert [tuple(r) for r in rows(exported)] == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+
+
 # --- order, hot keys, one pre-aggregate, data that can fail -------------------------------------------------------------
 
 
