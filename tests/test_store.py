@@ -351,7 +351,7 @@ def test_sorted_tables_are_exported_before_the_others(spark, tmp_path, monkeypat
     with ThreadPoolExecutor(4) as pool:
         exported = export_tables(tables, str(tmp_path), pool, first={"c", "b"})
     assert set(done[:2]) == {"b.csv", "c.csv"}
-    assert [tuple(r) for r in rows(exported)] == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert [(r["table"], r["rows"]) for r in rows(exported)] == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
 
 
 # --- order, hot keys, one pre-aggregate, data that can fail -------------------------------------------------------------
